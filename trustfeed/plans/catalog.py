@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trustfeed.operators import quality, views
+from trustfeed.operators.dedupe import duplicate_keys
 from trustfeed.operators.posts import post_flags, posts_with_stats
 from trustfeed.operators.scoring import top_posts
 from trustfeed.operators.trust import latest_snapshot
@@ -79,3 +81,96 @@ def q_top_posts(spark, sf_dir):
 def q_heuristic_labels(spark, sf_dir):
     return chain.labelled_posts(_src(spark, sf_dir)).select(
         "post_id", "followship_rank", "post_score", "recommend")
+
+
+# ------------------------------------------------------------- views (K1-K7)
+@register("view_collects")
+def q_view_collects(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return views.view_collects(src.collected_records(), src.profile())
+
+
+@register("view_comments")
+def q_view_comments(spark, sf_dir):
+    return views.view_comments(_src(spark, sf_dir).post_comment())
+
+
+@register("view_follows")
+def q_view_follows(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return views.view_follows(src.follower(), src.profile())
+
+
+@register("view_mirrors")
+def q_view_mirrors(spark, sf_dir):
+    return views.view_mirrors(_src(spark, sf_dir).profile_post())
+
+
+@register("view_posts")
+def q_view_posts(spark, sf_dir):
+    return views.view_posts(_src(spark, sf_dir).profile_post())
+
+
+@register("view_profiles")
+def q_view_profiles(spark, sf_dir):
+    return views.view_profiles(_src(spark, sf_dir).profile())
+
+
+@register("view_follow_counts")
+def q_view_follow_counts(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return views.view_follow_counts(views.view_follows(src.follower(), src.profile()))
+
+
+# ------------------------------------------------- collect samples
+@register("collected_posts")
+def q_collected_posts(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return views.collected_posts(src.publication_stats(), src.profile_post())
+
+
+@register("collect_currency")
+def q_collect_currency(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return views.collect_currency(src.collect_module_details(), src.profile_post())
+
+
+# ------------------------------------------------ quality
+@register("label_counts")
+def q_label_counts(spark, sf_dir):
+    return quality.value_counts(chain.labelled_posts(_src(spark, sf_dir)), "recommend")
+
+
+@register("duplicate_keys")
+def q_duplicate_keys(spark, sf_dir):
+    # wallets that own more than one profile (the fan-out of the wallet joins)
+    return duplicate_keys(_src(spark, sf_dir).profile(), ["owned_by"])
+
+
+@register("rank_range")
+def q_rank_range(spark, sf_dir):
+    return quality.rank_range(chain.posts_with_trust(_src(spark, sf_dir)))
+
+
+@register("column_profile")
+def q_column_profile(spark, sf_dir):
+    return quality.column_profile(chain.scored_posts(_src(spark, sf_dir)).select(*chain.score_columns()))
+
+
+@register("id_lookup")
+def q_id_lookup(spark, sf_dir):
+    # profiles looked up by the ids that follow events point at
+    src = _src(spark, sf_dir)
+    return quality.id_lookup(views.view_profiles(src.profile()),
+                             src.follower().select("follow_profile_id"), key="profile_id")
+
+
+@register("unlabelled_posts")
+def q_unlabelled_posts(spark, sf_dir):
+    return quality.unlabelled(chain.labelled_posts(_src(spark, sf_dir))).select(
+        "post_id", "followship_rank", "post_score")
+
+
+@register("table_sizes")
+def q_table_sizes(spark, sf_dir):
+    return quality.table_sizes(spark, sf_dir)
