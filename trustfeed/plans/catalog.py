@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustfeed.operators import quality, views
-from trustfeed.operators.dedupe import duplicate_keys
+from trustfeed.operators import feed, quality, views
+from trustfeed.operators.dedupe import duplicate_keys, latest_per_post
+from trustfeed.operators.sampling import weighted_sample
 from trustfeed.operators.posts import post_flags, posts_with_stats
 from trustfeed.operators.scoring import top_posts
 from trustfeed.operators.trust import latest_snapshot
+from trustfeed.params import FeedParams
 from trustfeed.plans import chain
 from trustfeed.sources.driver_tables import SourceTables
 
@@ -174,3 +176,93 @@ def q_unlabelled_posts(spark, sf_dir):
 @register("table_sizes")
 def q_table_sizes(spark, sf_dir):
     return quality.table_sizes(spark, sf_dir)
+
+
+# --------------------------------------------------- feed
+def _history(spark, sf_dir):
+    return chain.prediction_history(_src(spark, sf_dir))
+
+
+def _eligible(spark, sf_dir):
+    return feed.feed_eligible(latest_per_post(_history(spark, sf_dir)))
+
+
+@register("fill_nulls")
+def q_fill_nulls(spark, sf_dir):
+    return chain.current_predictions(_src(spark, sf_dir))
+
+
+@register("latest_per_post")
+def q_latest_per_post(spark, sf_dir):
+    return latest_per_post(_history(spark, sf_dir)).select("post_id", "dtime", "recommend")
+
+
+@register("engagement_score")
+def q_engagement_score(spark, sf_dir):
+    return chain.current_predictions(_src(spark, sf_dir)).select(
+        "post_id", feed.engagement_expr().alias("engagement_score"))
+
+
+@register("feed_eligible")
+def q_feed_eligible(spark, sf_dir):
+    return _eligible(spark, sf_dir)
+
+
+@register("recency_bucket")
+def q_recency_bucket(spark, sf_dir):
+    return feed.recency_bucket(_eligible(spark, sf_dir), chain.FEED_NOW, FeedParams().buckets)
+
+
+@register("recency_bucket_packed")
+def q_recency_bucket_packed(spark, sf_dir):
+    return feed.recency_bucket(_eligible(spark, sf_dir), chain.FEED_NOW, FeedParams().buckets, mode="packed")
+
+
+@register("bucket_counts")
+def q_bucket_counts(spark, sf_dir):
+    b = feed.recency_bucket(_eligible(spark, sf_dir), chain.FEED_NOW, FeedParams().buckets)
+    return quality.value_counts(b, "time_ago")
+
+
+@register("capped_bucket_sample")
+def q_capped_bucket_sample(spark, sf_dir):
+    return feed.sampled_candidates(_history(spark, sf_dir), chain.FEED_NOW, FeedParams())
+
+
+@register("popularity_bins")
+def q_popularity_bins(spark, sf_dir):
+    return feed.popularity_bins(feed.sampled_candidates(_history(spark, sf_dir), chain.FEED_NOW, FeedParams()))
+
+
+@register("popularity_cut_points")
+def q_popularity_cut_points(spark, sf_dir):
+    return feed.popularity_cut_points(
+        feed.sampled_candidates(_history(spark, sf_dir), chain.FEED_NOW, FeedParams()))
+
+
+@register("feed_weights")
+def q_feed_weights(spark, sf_dir):
+    return feed.weighted_candidates(_history(spark, sf_dir), chain.FEED_NOW, FeedParams())
+
+
+@register("feed_weights_v1")
+def q_feed_weights_v1(spark, sf_dir):
+    return feed.weighted_candidates(_history(spark, sf_dir), chain.FEED_NOW,
+                                    FeedParams(weight_profile="v1"))
+
+
+@register("weighted_feed_sample")
+def q_weighted_feed_sample(spark, sf_dir):
+    p = FeedParams()
+    w = feed.weighted_candidates(_history(spark, sf_dir), chain.FEED_NOW, p)
+    return weighted_sample(w, "weights", p.feed_size, seed=p.seed + "-w")
+
+
+@register("feed_ranked")
+def q_feed_ranked(spark, sf_dir):
+    return feed.generate_feed(_history(spark, sf_dir), chain.FEED_NOW, FeedParams())
+
+
+@register("feed_ranked_recent")
+def q_feed_ranked_recent(spark, sf_dir):
+    return feed.generate_feed(_history(spark, sf_dir), chain.FEED_NOW, FeedParams.prototype(), order="recent")

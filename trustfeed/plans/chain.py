@@ -58,3 +58,37 @@ def score_columns() -> list[str]:
 
 def select_existing(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(c) for c in cols])
+
+
+# ------------------------------------------------------------------ predictions
+# Fixture runs: each post is predicted in one run chosen by month(post) % 4,
+# so the four recency buckets are all populated at FEED_NOW; posts whose hash
+# key is divisible by 7 were also predicted in an older run (PREVIOUS_RUN).
+FEED_NOW = "2024-02-01 00:00:00"
+RUN_DTIMES = (20240131120000, 20240129000000, 20240115000000, 20231101000000)
+PREVIOUS_RUN = 20230601000000
+PREDICTION_COLUMNS = [
+    "post_id", "profile_id", "is_original", "is_content_warning", "custom_filters_gardener_flagged",
+    "language", "region", "content_warning", "main_content_focus", "age", "upvotes", "downvotes",
+    "mirrors", "comments", "collects", "followship_rank", "followship_score", "post_score", "recommend",
+]
+
+
+def current_predictions(src: SourceTables) -> DataFrame:
+    """Labelled posts as a prediction run: B10 null filling plus the run id."""
+    from trustfeed.operators.feed import fill_nulls
+
+    lab = labelled_posts(src).select(*PREDICTION_COLUMNS, "block_timestamp")
+    run = F.element_at(F.array(*[F.lit(d) for d in RUN_DTIMES]),
+                       (F.month("block_timestamp") % 4 + 1).cast("int"))
+    return fill_nulls(lab.withColumn("dtime", run.cast("bigint")).drop("block_timestamp"))
+
+
+def prediction_history(src: SourceTables) -> DataFrame:
+    """Current run plus an older run holding a repeatable seventh of the posts."""
+    from trustfeed.functions.columns import uniform_u32
+
+    cur = current_predictions(src)
+    prev = cur.where(uniform_u32("post_id", "prev") % 7 == 0) \
+        .withColumn("dtime", F.lit(PREVIOUS_RUN).cast("bigint"))
+    return cur.unionByName(prev)
