@@ -23,12 +23,19 @@ def latest_snapshot(globaltrust: DataFrame, strategy=TRUST_STRATEGY,
 
 
 def trust_rank(globaltrust: DataFrame, profile: DataFrame, strategy=TRUST_STRATEGY,
-               strategy_col: str = "strategy_name", profile_key: str = "profile_id") -> DataFrame:
-    """rank (1 = highest v), score, profile_handle, profile_id for the newest snapshot.
+               strategy_col: str = "strategy_name", profile_key: str = "profile_id",
+               snapshot_date=None) -> DataFrame:
+    """rank (1 = highest v), score, profile_handle, profile_id for the newest
+    snapshot of ``strategy`` (or the snapshot of ``snapshot_date``).
 
     Ties in ``v`` are broken by profile id, so the rank is a permutation 1..n.
     """
-    snap = latest_snapshot(globaltrust, strategy, strategy_col).select("i", "v")
+    if snapshot_date is None:
+        snap = latest_snapshot(globaltrust, strategy, strategy_col)
+    else:
+        snap = globaltrust.where((F.col(strategy_col) == F.lit(strategy))
+                                 & (F.col("date") == F.lit(snapshot_date).cast("date")))
+    snap = snap.select("i", "v")
     prof = profile.select(F.col(profile_key).alias("profile_id"), F.col("handle"))
     joined = snap.join(prof, snap.i == prof.profile_id, "inner").select(
         F.col("v").alias("score"), F.col("handle").alias("profile_handle"), "profile_id")
@@ -53,7 +60,7 @@ def profile_trust_by_handle(profile: DataFrame, ranked: DataFrame) -> DataFrame:
     """
     by_handle = dedupe_by_key(
         ranked.select("profile_handle", "rank", "score", F.col("profile_id").alias("trust_profile_id")),
-        ["profile_handle"], [F.col("rank").asc(), F.col("trust_profile_id").asc()])
+        ["profile_handle"], ["rank", "trust_profile_id"])
     return profile.join(by_handle, profile.handle == by_handle.profile_handle, "left") \
         .drop("profile_handle")
 

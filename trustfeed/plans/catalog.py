@@ -11,14 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustfeed.operators import feed, quality, views
-from trustfeed.operators.dedupe import duplicate_keys, latest_per_post
+from trustfeed.operators import feed, features, quality, views
+from trustfeed.operators.dedupe import dedupe_by_key, duplicate_keys, latest_per_post
 from trustfeed.operators.sampling import weighted_sample
 from trustfeed.operators.posts import post_flags, posts_with_stats
 from trustfeed.operators.scoring import top_posts
-from trustfeed.operators.trust import latest_snapshot
+from trustfeed.operators.trust import latest_snapshot, post_author_trust, profile_trust_by_handle
 from trustfeed.params import FeedParams
 from trustfeed.plans import chain
+from trustfeed.session import scratch_path
+from trustfeed.sources import increments
 from trustfeed.sources.driver_tables import SourceTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -266,3 +268,100 @@ def q_feed_ranked(spark, sf_dir):
 @register("feed_ranked_recent")
 def q_feed_ranked_recent(spark, sf_dir):
     return feed.generate_feed(_history(spark, sf_dir), chain.FEED_NOW, FeedParams.prototype(), order="recent")
+
+
+# ------------------------------------------------- feature store
+@register("feature_ingest_posts")
+def q_feature_ingest_posts(spark, sf_dir):
+    return chain.post_feature_ingest(_src(spark, sf_dir))
+
+
+@register("feature_ingest_profiles")
+def q_feature_ingest_profiles(spark, sf_dir):
+    return chain.profile_feature_ingest(_src(spark, sf_dir), feature_time=chain.FIXTURE_FEATURE_TIME)
+
+
+@register("point_in_time_features")
+def q_point_in_time_features(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return features.point_in_time(
+        chain.lookup_instances(src),
+        [("entity_type_posts", chain.post_feature_history(src), "posts"),
+         ("entity_type_profiles", chain.profile_feature_history(src), "profiles")],
+        chain.LOOKUP_TIME, chain.LOOKUP_START)
+
+
+@register("point_in_time_asof")
+def q_point_in_time_asof(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return features.point_in_time_asof(
+        chain.lookup_instances(src, per_row_time=True),
+        [("entity_type_posts", chain.post_feature_history(src), "posts"),
+         ("entity_type_profiles", chain.profile_feature_history(src), "profiles")],
+        "timestamp", chain.LOOKUP_START)
+
+
+# --------------------------------------------- increments, cursors, CSV
+INCREMENT_WATERMARK = "1996-06-30 00:00:00"
+
+
+@register("incremental_extract")
+def q_incremental_extract(spark, sf_dir):
+    return increments.incremental_extract(_src(spark, sf_dir).profile_post(), INCREMENT_WATERMARK)
+
+
+@register("next_watermark")
+def q_next_watermark(spark, sf_dir):
+    inc = increments.incremental_extract(_src(spark, sf_dir).profile_post(), INCREMENT_WATERMARK)
+    return increments.next_watermark(inc)
+
+
+@register("increment_read")
+def q_increment_read(spark, sf_dir):
+    """Posts written as yearly runs dtime=YYYY0101000000, read back past 1996."""
+    posts = views.view_posts(_src(spark, sf_dir).profile_post())
+    root = scratch_path(spark, "runs")
+    runs = posts.withColumn("dtime", (F.year("created_at").cast("bigint") * F.lit(10 ** 10)
+                                      + F.lit(101000000)).cast("bigint"))
+    runs.write.mode("overwrite").partitionBy("dtime").parquet(root)
+    return increments.read_increment(spark, root, 19960101000000)
+
+
+@register("csv_multiline_roundtrip")
+def q_csv_multiline_roundtrip(spark, sf_dir):
+    """Document texts (quotes, line breaks) through the CSV export and back."""
+    docs = _src(spark, sf_dir).raw("documents").select("doc_id", "text", "lang", "source")
+    path = scratch_path(spark, "csv")
+    increments.write_csv_export(docs, path)
+    return increments.read_csv_export(spark, path, docs.schema)
+
+
+# ------------------------------------------------------- de-duplication, joins
+@register("dedupe_handles")
+def q_dedupe_handles(spark, sf_dir):
+    return dedupe_by_key(chain.ranked_profiles(_src(spark, sf_dir)), ["profile_handle"],
+                         ["rank", "profile_id"])
+
+
+@register("dedupe_owners")
+def q_dedupe_owners(spark, sf_dir):
+    """One profile per wallet: the best ranked, unranked last, then id."""
+    src = _src(spark, sf_dir)
+    ranked = chain.ranked_profiles(src).select("profile_id", "rank")
+    prof = src.profile().join(ranked, "profile_id", "left").select(
+        "owned_by", "profile_id", "handle", F.coalesce("rank", F.lit(10 ** 12)).alias("rank_or_last"))
+    return dedupe_by_key(prof, ["owned_by"], ["rank_or_last", "profile_id"])
+
+
+@register("profile_trust_by_handle")
+def q_profile_trust_by_handle(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return profile_trust_by_handle(src.profile(), chain.ranked_profiles(src)).select(
+        "profile_id", "handle", "rank", "score", "trust_profile_id")
+
+
+@register("post_author_trust")
+def q_post_author_trust(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return post_author_trust(views.view_posts(src.profile_post()), chain.ranked_profiles(src)) \
+        .select("post_id", "profile_id", "rank", "score")

@@ -92,3 +92,47 @@ def prediction_history(src: SourceTables) -> DataFrame:
     prev = cur.where(uniform_u32("post_id", "prev") % 7 == 0) \
         .withColumn("dtime", F.lit(PREVIOUS_RUN).cast("bigint"))
     return cur.unionByName(prev)
+
+
+# ------------------------------------------------------------------ feature store
+# Two ingests per entity type: posts at an older and the fixture feature time,
+# profiles once per followship snapshot (feature time = snapshot date).
+POST_INGEST_TIMES = ("2001-06-01 00:00:00", FIXTURE_FEATURE_TIME)
+PROFILE_SNAPSHOTS = ("2024-01-01", "2024-01-08")
+LOOKUP_START = "2001-01-01 00:00:00"
+LOOKUP_TIME = "2024-01-05 00:00:00"
+LOOKUP_TIME_LATE = "2024-01-10 00:00:00"
+
+
+def post_feature_ingest(src: SourceTables, feature_time=FIXTURE_FEATURE_TIME) -> DataFrame:
+    from trustfeed.operators.features import POST_FEATURES, ingest_features
+    return ingest_features(post_features(src, feature_time), "post_id", feature_time, POST_FEATURES)
+
+
+def profile_feature_ingest(src: SourceTables, snapshot_date=None, feature_time=None) -> DataFrame:
+    from trustfeed.operators.features import PROFILE_FEATURES, ingest_features
+    ranked = trust_rank(src.globaltrust(), src.profile(), TRUST_STRATEGY, snapshot_date=snapshot_date)
+    ft = feature_time or f"{snapshot_date} 00:00:00"
+    return ingest_features(ranked, "profile_id", ft, PROFILE_FEATURES,
+                           {"followship_rank": "rank", "followship_score": "score"})
+
+
+def post_feature_history(src: SourceTables) -> DataFrame:
+    a, b = (post_feature_ingest(src, t) for t in POST_INGEST_TIMES)
+    return a.unionByName(b)
+
+
+def profile_feature_history(src: SourceTables) -> DataFrame:
+    a, b = (profile_feature_ingest(src, d) for d in PROFILE_SNAPSHOTS)
+    return a.unionByName(b)
+
+
+def lookup_instances(src: SourceTables, per_row_time: bool = False) -> DataFrame:
+    """(entity_type_posts, entity_type_profiles, timestamp) for every post."""
+    p = src.profile_post()
+    ts = F.lit(LOOKUP_TIME).cast("timestamp")
+    if per_row_time:
+        ts = F.when(F.month("block_timestamp") % 2 == 0, ts) \
+            .otherwise(F.lit(LOOKUP_TIME_LATE).cast("timestamp"))
+    return p.select(F.col("post_id").alias("entity_type_posts"),
+                    F.col("profile_id").alias("entity_type_profiles"), ts.alias("timestamp"))
