@@ -121,3 +121,13 @@ def table_columns(spark: SparkSession, root: str, tables: list[str]) -> DataFram
 def _escape(s: str) -> str:
     import re
     return re.escape(s)
+
+
+def label_codes(df: DataFrame, label: str = "recommend") -> DataFrame:
+    """J1 as a table: each distinct label and its 0-based alphabetical code.
+
+    The window runs over the distinct labels only (a handful of rows).
+    """
+    from pyspark.sql import Window
+    distinct = df.where(F.col(label).isNotNull()).select(label).distinct()
+    return distinct.select(label, (F.row_number().over(Window.orderBy(label)) - 1).cast("bigint").alias("code"))

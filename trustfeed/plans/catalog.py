@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustfeed.operators import feed, features, quality, views
+from trustfeed.operators import feed, features, model, quality, sampling, views
 from trustfeed.operators.dedupe import dedupe_by_key, duplicate_keys, latest_per_post
+from trustfeed.operators.quality import label_codes
 from trustfeed.operators.sampling import weighted_sample
 from trustfeed.operators.posts import post_flags, posts_with_stats
 from trustfeed.operators.scoring import top_posts
 from trustfeed.operators.trust import latest_snapshot, post_author_trust, profile_trust_by_handle
-from trustfeed.params import FeedParams
+from trustfeed.params import STRATIFIED_TARGETS, FeedParams
 from trustfeed.plans import chain
 from trustfeed.session import scratch_path
 from trustfeed.sources import increments
@@ -365,3 +366,68 @@ def q_post_author_trust(spark, sf_dir):
     src = _src(spark, sf_dir)
     return post_author_trust(views.view_posts(src.profile_post()), chain.ranked_profiles(src)) \
         .select("post_id", "profile_id", "rank", "score")
+
+
+# ------------------------------------------------- samples and model
+@register("uniform_sample")
+def q_uniform_sample(spark, sf_dir):
+    return sampling.uniform_sample(views.view_posts(_src(spark, sf_dir).profile_post()), 100)
+
+
+@register("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    return chain.training_frame(_src(spark, sf_dir)).where(F.col("recommend").isNotNull()) \
+        .select("post_id", "recommend", "is_test")
+
+
+@register("stratified_sample")
+def q_stratified_sample(spark, sf_dir):
+    lab = chain.labelled_posts(_src(spark, sf_dir)).select("post_id", "recommend", "post_score")
+    return sampling.stratified_sample(lab, "recommend", STRATIFIED_TARGETS, seed=0)
+
+
+@register("label_encoding")
+def q_label_encoding(spark, sf_dir):
+    return label_codes(chain.labelled_posts(_src(spark, sf_dir)))
+
+
+@register("predict_labels")
+def q_predict_labels(spark, sf_dir):
+    return chain.model_predictions(_src(spark, sf_dir)).select("post_id", "recommend", "dtime")
+
+
+@register("predict_labels_gbt")
+def q_predict_labels_gbt(spark, sf_dir):
+    return chain.model_predictions(_src(spark, sf_dir), "gbt", max_iter=10, max_depth=4) \
+        .select("post_id", "recommend", "dtime")
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    m, _ = chain.trained_model(_src(spark, sf_dir))
+    return spark.createDataFrame(model.feature_importance(m), "feature string, importance double")
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    m, tf = chain.trained_model(_src(spark, sf_dir))
+    rows = []
+    for split, part in (("train", tf.where(~F.col("is_test"))), ("test", tf.where(F.col("is_test")))):
+        rows += [(split, k, v) for k, v in model.evaluate(m, part).items()]
+    return spark.createDataFrame(rows, "split string, metric string, value double")
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    m, tf = chain.trained_model(_src(spark, sf_dir))
+    return model.confusion(m, tf.where(F.col("is_test")))
+
+
+@register("prediction_histogram")
+def q_prediction_histogram(spark, sf_dir):
+    return quality.value_counts(chain.model_predictions(_src(spark, sf_dir)), "recommend")
+
+
+@register("feed_from_model")
+def q_feed_from_model(spark, sf_dir):
+    return feed.generate_feed(chain.model_predictions(_src(spark, sf_dir)), chain.FEED_NOW, FeedParams())

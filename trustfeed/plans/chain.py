@@ -136,3 +136,30 @@ def lookup_instances(src: SourceTables, per_row_time: bool = False) -> DataFrame
             .otherwise(F.lit(LOOKUP_TIME_LATE).cast("timestamp"))
     return p.select(F.col("post_id").alias("entity_type_posts"),
                     F.col("profile_id").alias("entity_type_profiles"), ts.alias("timestamp"))
+
+
+# ------------------------------------------------------------------ model
+def training_frame(src: SourceTables) -> DataFrame:
+    """Labelled posts with a repeatable, label-stratified test flag (I4)."""
+    from trustfeed.operators.sampling import train_test_split
+    from trustfeed.params import SPLIT_SEED, TEST_FRACTION
+    return train_test_split(labelled_posts(src), TEST_FRACTION, seed=SPLIT_SEED)
+
+
+def trained_model(src: SourceTables, classifier: str = "rf", **kw):
+    from trustfeed.operators.model import train
+    tf = training_frame(src)
+    return train(tf.where(~F.col("is_test")), classifier, **kw), tf
+
+
+def model_predictions(src: SourceTables, classifier: str = "rf", **kw) -> DataFrame:
+    """Every post with its predicted label (J5) as a prediction run."""
+    from trustfeed.operators.feed import fill_nulls
+    from trustfeed.operators.model import predict
+
+    model, tf = trained_model(src, classifier, **kw)
+    keep = [c for c in PREDICTION_COLUMNS if c != "recommend"] + ["block_timestamp"]
+    pred = predict(model, tf.drop("recommend"), keep=keep)
+    run = F.element_at(F.array(*[F.lit(d) for d in RUN_DTIMES]),
+                       (F.month("block_timestamp") % 4 + 1).cast("int"))
+    return fill_nulls(pred.withColumn("dtime", run.cast("bigint")).drop("block_timestamp"))
