@@ -22,6 +22,7 @@ from trustfeed.params import STRATIFIED_TARGETS, FeedParams
 from trustfeed.plans import chain
 from trustfeed.session import scratch_path
 from trustfeed.sources import increments
+from trustfeed.streaming import increments as stream_inc
 from trustfeed.sources.driver_tables import SourceTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -431,3 +432,66 @@ def q_prediction_histogram(spark, sf_dir):
 @register("feed_from_model")
 def q_feed_from_model(spark, sf_dir):
     return feed.generate_feed(chain.model_predictions(_src(spark, sf_dir)), chain.FEED_NOW, FeedParams())
+
+
+# ------------------------------------------------------- streaming and sinks
+def _yearly_runs(posts: DataFrame) -> DataFrame:
+    return posts.withColumn("dtime", (F.year("block_timestamp").cast("bigint") * F.lit(10 ** 10)
+                                      + F.lit(101000000)).cast("bigint"))
+
+
+@register("stream_increment")
+def q_stream_increment(spark, sf_dir):
+    """Posts arrive as yearly runs in two increments; each increment is
+    turned into post features exactly once by the file stream."""
+    src = _src(spark, sf_dir)
+    root, out, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-out", "stream-ckpt"))
+    runs = _yearly_runs(src.profile_post())
+    runs.where(F.col("dtime") < 19960101000000).write.mode("append").partitionBy("dtime").parquet(root)
+    schema = spark.read.parquet(root).schema
+    stats = src.publication_stats()
+
+    def transform(batch):
+        return posts_with_stats(post_flags(batch, chain.FIXTURE_FEATURE_TIME), stats)
+
+    stream_inc.run_increment(spark, root, schema, ckpt, out, transform)
+    runs.where(F.col("dtime") >= 19960101000000).write.mode("append").partitionBy("dtime").parquet(root)
+    stream_inc.run_increment(spark, root, schema, ckpt, out, transform)
+    return stream_inc.read_output(spark, out)
+
+
+@register("stream_dedupe")
+def q_stream_dedupe(spark, sf_dir):
+    """Prediction runs stream in; an older run arriving late does not
+    replace newer rows already stored (L2)."""
+    hist = _history(spark, sf_dir).select("post_id", "dtime", "recommend")
+    root, out, ckpt = (scratch_path(spark, n) for n in ("dedupe-src", "dedupe-out", "dedupe-ckpt"))
+    hist.where(F.col("dtime") != chain.PREVIOUS_RUN).write.mode("append").partitionBy("dtime").parquet(root)
+    schema = spark.read.parquet(root).schema
+    for _ in range(2):
+        stream_inc.run_increment(spark, root, schema, ckpt, out, lambda b: b, dedupe_key="post_id")
+        hist.where(F.col("dtime") == chain.PREVIOUS_RUN).write.mode("append").partitionBy("dtime").parquet(root)
+    return latest_per_post(stream_inc.read_output(spark, out)).select("post_id", "dtime", "recommend")
+
+
+@register("feed_publish")
+def q_feed_publish(spark, sf_dir):
+    """Publish two strategies, then republish one: the other stays untouched."""
+    hist = _history(spark, sf_dir)
+    table = scratch_path(spark, "feed")
+    proto = feed.generate_feed(hist, chain.FEED_NOW, FeedParams.prototype(), order="recent") \
+        .withColumn("strategy_name", F.lit("ml-recent"))
+    main = feed.generate_feed(hist, chain.FEED_NOW, FeedParams())
+    feed.publish_feed(proto, table)
+    feed.publish_feed(main, table)
+    feed.publish_feed(main, table)
+    return spark.read.parquet(table)
+
+
+@register("prediction_sink")
+def q_prediction_sink(spark, sf_dir):
+    """Model predictions written to dtime=<run>/recommend=<label> and read back."""
+    preds = chain.model_predictions(_src(spark, sf_dir)).drop("dtime")
+    root = scratch_path(spark, "predictions")
+    increments.save_predictions(preds, root, 20240201000000)
+    return increments.read_increment(spark, root, 20240101000000)
