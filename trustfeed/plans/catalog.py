@@ -335,7 +335,7 @@ def q_csv_multiline_roundtrip(spark, sf_dir):
     docs = _src(spark, sf_dir).raw("documents").select("doc_id", "text", "lang", "source")
     path = scratch_path(spark, "csv")
     increments.write_csv_export(docs, path)
-    return increments.read_csv_export(spark, path, docs.schema)
+    return increments.read_csv_export(spark, path, docs.schema, increments.CSV_NULL)
 
 
 # ------------------------------------------------------- de-duplication, joins

@@ -70,17 +70,26 @@ def save_predictions(preds: DataFrame, root: str, run_dtime: int) -> str:
     return path
 
 
-def read_csv_export(spark: SparkSession, path: str, schema) -> DataFrame:
+# NULL marker of our own CSV exports; with the reader default (empty field ->
+# NULL) an empty string could not be told apart from NULL.
+CSV_NULL = "\\N"
+
+
+def read_csv_export(spark: SparkSession, path: str, schema, null_value: str | None = None) -> DataFrame:
     """CSV with header, '"'-escaped quotes and fields spanning lines.
 
     An explicit schema avoids the extra inference pass over the data.
+    ``null_value``: the NULL marker (default: empty field is NULL).
     """
-    return spark.read.schema(schema).option("header", True).option("escape", '"') \
-        .option("multiLine", True).csv(path)
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"') \
+        .option("multiLine", True)
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
+    return reader.csv(path)
 
 
-def write_csv_export(df: DataFrame, path: str) -> None:
+def write_csv_export(df: DataFrame, path: str, null_value: str = CSV_NULL) -> None:
     """CSV writer matching ``read_csv_export`` (quotes doubled, whitespace kept)."""
     df.write.mode("overwrite").option("header", True).option("escape", '"') \
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
-        .csv(path)
+        .option("nullValue", null_value).csv(path)
