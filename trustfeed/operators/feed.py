@@ -14,6 +14,7 @@ from pyspark.sql.types import NumericType, StringType
 from trustfeed.functions.columns import dtime_to_timestamp
 from trustfeed.operators.dedupe import latest_per_post
 from trustfeed.operators.sampling import capped_sample, weighted_sample
+from trustfeed.session import materialize
 from trustfeed.params import (ENGAGEMENT_WEIGHTS, FEED_WEIGHTS_V1, FEED_WEIGHTS_V2, FILL_RANK,
                               POPULARITY_LABELS, FeedParams)
 
@@ -153,7 +154,13 @@ def sampled_candidates(preds: DataFrame, now, params: FeedParams = FeedParams())
 
 
 def weighted_candidates(preds: DataFrame, now, params: FeedParams = FeedParams()) -> DataFrame:
-    sample = sampled_candidates(preds, now, params)
+    """Capped sample with popularity and weight.
+
+    The sample (at most sum(caps) rows) is materialized: the tercile cut
+    points and the rows are then read from it instead of re-deriving the
+    sample from all predictions twice.
+    """
+    sample = materialize(sampled_candidates(preds, now, params), "feed-sample")
     return feed_weights(popularity_bins(sample), params.weight_profile)
 
 

@@ -6,8 +6,9 @@ A window without PARTITION BY moves every row into one task. Instead:
    the composite key, so even a value shared by a third of the rows is split
    across tasks by the tie-break column - and sorts each partition;
 2. ``monotonically_increasing_id`` records (partition index, position);
-3. a reliable checkpoint fixes that numbering (it is nondeterministic on
-   recomputation, e.g. after a lost executor);
+3. the numbered rows are written once to the shared checkpoint folder, which
+   fixes the numbering (it is nondeterministic on recomputation, e.g. after a
+   lost executor) and serves both the counts and the final join;
 4. rows per partition are counted (one row per partition) and turned into
    running offsets, which are broadcast - their size is bounded by the number
    of partitions, not by the data;
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trustfeed.session import checkpoint_dir
+from trustfeed.session import materialize
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -32,9 +33,8 @@ def global_row_number(df: DataFrame, order_cols: list[Column], name: str = "rank
     ``order_cols`` must form a unique key (add the id as last key) so the
     numbering is well defined.
     """
-    checkpoint_dir(df.sparkSession)
     numbered = df.orderBy(*order_cols).withColumn("_tf_mid", F.monotonically_increasing_id())
-    numbered = numbered.checkpoint(eager=True)
+    numbered = materialize(numbered, "numbered")
     numbered = numbered.withColumn("_tf_pid", F.shiftrightunsigned("_tf_mid", _POS_BITS))
 
     counts = numbered.groupBy("_tf_pid").agg(F.count(F.lit(1)).alias("_tf_n"))

@@ -36,8 +36,16 @@ def register(name: str):
     return deco
 
 
+_SOURCES: dict[tuple[int, str], SourceTables] = {}
+
+
 def _src(spark: SparkSession, sf_dir: str) -> SourceTables:
-    return SourceTables(spark, sf_dir)
+    """One set of table readers per session and data directory (the Parquet
+    footer job of each table runs once, not once per query)."""
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if key not in _SOURCES:
+        _SOURCES[key] = SourceTables(spark, sf_dir)
+    return _SOURCES[key]
 
 
 # ------------------------------------------------------------ trust

@@ -12,6 +12,7 @@ from trustfeed.operators.posts import post_feature_frame, post_flags, posts_with
 from trustfeed.operators.scoring import author_maxima, heuristic_labels, with_post_score
 from trustfeed.operators.trust import profile_trust_features, trust_rank
 from trustfeed.params import LabelParams, TRUST_STRATEGY
+from trustfeed.session import materialize
 from trustfeed.sources.driver_tables import SourceTables
 
 # Parameters that fit the driver tables (1,500 profiles at sf0.01): the label
@@ -32,10 +33,14 @@ def ranked_profiles(src: SourceTables, strategy=TRUST_STRATEGY) -> DataFrame:
 
 def posts_with_trust(src: SourceTables, feature_time=FIXTURE_FEATURE_TIME,
                      strategy=TRUST_STRATEGY) -> DataFrame:
-    """Post features plus the author's followship rank and score (left join)."""
+    """Post features plus the author's followship rank and score (left join).
+
+    This is the feature-lookup output of the prediction stage; it is written
+    once because the per-author maxima and the rows themselves both read it.
+    """
     feats = post_features(src, feature_time)
     trust = profile_trust_features(ranked_profiles(src, strategy))
-    return feats.join(trust, "profile_id", "left")
+    return materialize(feats.join(trust, "profile_id", "left"), "features")
 
 
 def scored_posts(src: SourceTables, feature_time=FIXTURE_FEATURE_TIME,
@@ -81,7 +86,8 @@ def current_predictions(src: SourceTables) -> DataFrame:
     lab = labelled_posts(src).select(*PREDICTION_COLUMNS, "block_timestamp")
     run = F.element_at(F.array(*[F.lit(d) for d in RUN_DTIMES]),
                        (F.month("block_timestamp") % 4 + 1).cast("int"))
-    return fill_nulls(lab.withColumn("dtime", run.cast("bigint")).drop("block_timestamp"))
+    return materialize(fill_nulls(lab.withColumn("dtime", run.cast("bigint")).drop("block_timestamp")),
+                       "predictions")
 
 
 def prediction_history(src: SourceTables) -> DataFrame:
@@ -118,8 +124,16 @@ def profile_feature_ingest(src: SourceTables, snapshot_date=None, feature_time=N
 
 
 def post_feature_history(src: SourceTables) -> DataFrame:
-    a, b = (post_feature_ingest(src, t) for t in POST_INGEST_TIMES)
-    return a.unionByName(b)
+    """Both post ingests from one materialized feature frame: only ``age``
+    depends on the feature time, so it is recomputed per ingest."""
+    from trustfeed.operators.features import POST_FEATURES, ingest_features
+    base = materialize(post_features(src, POST_INGEST_TIMES[-1]), "post-features")
+    parts = []
+    for t in POST_INGEST_TIMES:
+        at = base.withColumn("age", F.datediff(F.lit(t).cast("timestamp"), F.col("block_timestamp"))
+                             .cast("bigint"))
+        parts.append(ingest_features(at, "post_id", t, POST_FEATURES))
+    return parts[0].unionByName(parts[1])
 
 
 def profile_feature_history(src: SourceTables) -> DataFrame:
@@ -140,10 +154,15 @@ def lookup_instances(src: SourceTables, per_row_time: bool = False) -> DataFrame
 
 # ------------------------------------------------------------------ model
 def training_frame(src: SourceTables) -> DataFrame:
-    """Labelled posts with a repeatable, label-stratified test flag (I4)."""
+    """Labelled posts with a repeatable, label-stratified test flag (I4).
+
+    Written once: fitting makes several passes over its input (label and
+    category indexers, split candidates, bagging), and prediction reads the
+    same rows again.
+    """
     from trustfeed.operators.sampling import train_test_split
     from trustfeed.params import SPLIT_SEED, TEST_FRACTION
-    return train_test_split(labelled_posts(src), TEST_FRACTION, seed=SPLIT_SEED)
+    return materialize(train_test_split(labelled_posts(src), TEST_FRACTION, seed=SPLIT_SEED), "training")
 
 
 def trained_model(src: SourceTables, classifier: str = "rf", **kw):

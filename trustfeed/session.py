@@ -69,3 +69,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder (for written tables)."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet below the shared checkpoint folder and
+    continue from the written table.
+
+    Used at stage boundaries (scored features, bounded samples, numbered
+    rows) so that later steps that read a result more than once do not
+    recompute its lineage, and a lost executor does not send the job back to
+    the sources. The written table is read back with the known schema (no
+    inference job), and later scans get column pruning, filter pushdown and
+    real size statistics. One pass: unlike an eager ``checkpoint()`` of an
+    unpersisted Dataset, nothing is computed twice. Never node-local storage.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

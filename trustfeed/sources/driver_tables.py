@@ -32,9 +32,13 @@ class SourceTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        # one reader per table: the footer/schema job runs once per table
+        if name not in self._raw:
+            self._raw[name] = read_table(self.spark, self.sf_dir, name)
+        return self._raw[name]
 
     # profile(profile_id, handle, owned_by, profile_picture_s3_url, metadata_block_timestamp)
     def profile(self) -> DataFrame:
