@@ -311,3 +311,28 @@ def test_model_save_load_same_predictions(spark):
     assert p1 == p2
     assert {r[1] for r in p1} <= {"MAYBE", "NO"}
     assert dict(model.feature_importance(m))
+
+
+# ---------------------------------------------------------------- B9 typing, A5/A7 readers, A11 table
+def test_enforce_schema_try_cast_and_missing(spark):
+    from trustfeed import schemas
+    df = spark.createDataFrame([("p", "12", "notanumber")], "post_id string, age string, mirrors string")
+    out = schemas.enforce(df, schemas.POST_FEATURES).collect()[0]
+    assert out["age"] == 12 and out["mirrors"] is None and out["recommend"] is None and out["post_id"] == "p"
+
+
+def test_read_source_parquet_and_feature_table_roundtrip(spark):
+    from trustfeed.sources.readers import read_parquet, read_source
+    path = scratch_path(spark, "features")
+    a = features.ingest_features(spark.createDataFrame([("x", 1)], "id string, n bigint"), "id",
+                                 "2023-01-01 00:00:00", ["count"], {"count": "n"})
+    b = features.ingest_features(spark.createDataFrame([("x", 2)], "id string, n bigint"), "id",
+                                 "2023-02-01 00:00:00", ["count"], {"count": "n"})
+    features.write_feature_table(a, path)
+    features.write_feature_table(b, path)      # append: the older ingest stays
+    table = features.read_feature_table(spark, path)
+    assert sorted(r["count"] for r in table.collect()) == [1, 2]
+    latest = features.latest_features(table, "2023-03-01 00:00:00").collect()
+    assert [(r["entity_id"], r["count"]) for r in latest] == [("x", 2)]
+    assert read_source(spark, "parquet", table=path).count() == 2
+    assert read_parquet(spark, path).count() == 2

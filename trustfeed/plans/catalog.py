@@ -15,7 +15,8 @@ from trustfeed.operators import feed, features, model, quality, sampling, views
 from trustfeed.operators.dedupe import dedupe_by_key, duplicate_keys, latest_per_post
 from trustfeed.operators.quality import label_codes
 from trustfeed.operators.sampling import weighted_sample
-from trustfeed.operators.posts import post_flags, posts_with_stats
+from trustfeed import schemas
+from trustfeed.operators.posts import format_timestamp, post_flags, posts_with_stats
 from trustfeed.operators.scoring import top_posts
 from trustfeed.operators.trust import latest_snapshot, post_author_trust, profile_trust_by_handle
 from trustfeed.params import STRATIFIED_TARGETS, FeedParams
@@ -503,3 +504,38 @@ def q_prediction_sink(spark, sf_dir):
     root = scratch_path(spark, "predictions")
     increments.save_predictions(preds, root, 20240201000000)
     return increments.read_increment(spark, root, 20240101000000)
+
+
+# ------------------------------------------- labels back on posts, typing, previews
+@register("posts_with_labels")
+def q_posts_with_labels(spark, sf_dir):
+    """Every post with its label columns (left join on the post id)."""
+    src = _src(spark, sf_dir)
+    rec = chain.labelled_posts(src).select(
+        F.col("post_id").alias("recommend_post_id"), "recommend", "followship_rank",
+        "followship_score", "post_score")
+    posts = src.profile_post().select("post_id", "profile_id", "language", "main_content_focus",
+                                      "custom_filters_gardener_flagged")
+    return posts.join(rec, posts.post_id == rec.recommend_post_id, "left")
+
+
+@register("typed_post_features")
+def q_typed_post_features(spark, sf_dir):
+    """Post features cast to the feature value types (missing ones NULL)."""
+    feats = chain.post_features(_src(spark, sf_dir)).select("post_id", *schemas.POST_FEATURES.fieldNames()[:-2],
+                                                             "profile_id")
+    return schemas.enforce(feats, schemas.POST_FEATURES)
+
+
+@register("format_timestamp")
+def q_format_timestamp(spark, sf_dir):
+    """The post timestamp as text for the feature ingest."""
+    flags = post_flags(_src(spark, sf_dir).profile_post(), chain.FIXTURE_FEATURE_TIME)
+    return format_timestamp(flags.select("post_id", "block_timestamp"))
+
+
+@register("table_preview")
+def q_table_preview(spark, sf_dir):
+    """First rows of the profile table in id order (a limit without
+    an order would be arbitrary)."""
+    return views.view_profiles(_src(spark, sf_dir).profile()).orderBy("profile_id").limit(10)
