@@ -5,10 +5,14 @@ after rounding to 9 significant digits)."""
 from __future__ import annotations
 
 import math
+import os
 from decimal import Decimal
 
 import duckdb
 
+# 9 by default; ORACLE_FLOAT_DIGITS=17 compares doubles exactly
+FLOAT_DIGITS = int(os.environ.get("ORACLE_FLOAT_DIGITS", "9"))
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -29,7 +33,7 @@ def _norm(v):
             return "<null>"
         if v == 0:
             return "0"
-        return f"{v:.9g}"
+        return f"{v:.{FLOAT_DIGITS}g}"
     if isinstance(v, Decimal):
         return f"{float(v):.9g}"
     if hasattr(v, "isoformat"):

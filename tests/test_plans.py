@@ -66,3 +66,41 @@ def test_dedupe_combines_before_shuffle(spark):
     df = spark.range(0, 100).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     p = plan(dedupe_by_key(df, ["k"], ["v"]))
     assert "partial_min_by" in p
+
+
+def test_hot_author_join_is_split_by_aqe(spark):
+    """One author with a third of all posts: the maxima join back is a
+    sort-merge join whose hot partition AQE splits (thresholds lowered so the
+    small test data counts as skewed)."""
+    from trustfeed.operators.scoring import author_maxima
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        df = spark.range(0, n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 997 + 2).cast("bigint")
+            .alias("followship_rank"),
+            (F.col("id") % 50).alias("age"), (F.col("id") % 7).alias("mirrors"),
+            (F.col("id") % 5).alias("collects"), (F.col("id") % 3).alias("comments"))
+        out = author_maxima(df)
+        got = out.collect()                      # runs this Dataset's own (adaptive) plan
+        assert len(got) == n
+        assert {r["max_age"] for r in got if r["followship_rank"] == 1} == {49}
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final
+        joins = [line.strip() for line in final.splitlines() if "Join" in line]
+        assert any("SortMergeJoin(skew=true)" in j for j in joins), joins
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

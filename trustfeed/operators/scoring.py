@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustfeed.params import LabelParams, SCORE_WEIGHTS, SCORE_ZERO_DIVISOR
+from trustfeed.session import materialize
 
 MAX_COLUMNS = {"age": "max_age", "mirrors": "max_mirrors", "collects": "max_collects",
                "comments": "max_comments"}
@@ -21,10 +22,12 @@ def author_maxima(df: DataFrame, rank_col: str = "followship_rank",
 
     The author is identified by its rank (one rank per profile); a NULL rank
     forms no group and gets NULL maxima. The maxima are aggregated first
-    (map-side partial max, one row per author) and joined back; a hot author
-    does not end up as one window partition, and AQE splits a skewed join
-    partition. With ``zero_to_null`` a zero maximum becomes NULL (the score is
-    the same either way).
+    (map-side partial max, one row per author), written once, and joined
+    back. Written, the per-author table is broadcast when small; when it is
+    not, both join sides get their own shuffle, which is the shape AQE needs to
+    split the partition of a hot author (an aggregate directly under the join
+    reuses its shuffle and hides the skew from AQE). With ``zero_to_null`` a
+    zero maximum becomes NULL (the score is the same either way).
     """
     aggs = []
     for src, dst in MAX_COLUMNS.items():
@@ -32,7 +35,7 @@ def author_maxima(df: DataFrame, rank_col: str = "followship_rank",
         if zero_to_null:
             m = F.nullif(m, F.lit(0).cast("bigint"))
         aggs.append(m.alias(dst))
-    maxima = df.where(F.col(rank_col).isNotNull()).groupBy(rank_col).agg(*aggs)
+    maxima = materialize(df.where(F.col(rank_col).isNotNull()).groupBy(rank_col).agg(*aggs), "author-maxima")
     return df.join(maxima, on=rank_col, how="left")
 
 
