@@ -61,8 +61,6 @@ def score_columns() -> list[str]:
             "post_score"]
 
 
-def select_existing(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[F.col(c) for c in cols])
 
 
 # ------------------------------------------------------------------ predictions
