@@ -357,3 +357,18 @@ def test_stream_late_older_run_does_not_add_rows(spark):
     # a third run sees no new files and writes nothing new
     stream_inc.run_increment(spark, root, schema, ckpt, out, lambda b: b, dedupe_key="post_id")
     assert stream_inc.read_output(spark, out).count() == 3
+
+
+def test_point_in_time_asof_per_feature_carries_non_null(spark):
+    hist = spark.createDataFrame([
+        ("a", dt.datetime(2023, 1, 1), 1, "x"), ("a", dt.datetime(2023, 2, 1), None, None),
+        ("a", dt.datetime(2023, 3, 1), 3, None),
+    ], "entity_id string, feature_time timestamp, n int, s string")
+    inst = spark.createDataFrame([("a", dt.datetime(2023, 2, 15)), ("a", dt.datetime(2023, 3, 5))],
+                                 "e string, timestamp timestamp")
+    rowwise = sorted((r["timestamp"].month, r["n"], r["s"])
+                     for r in features.point_in_time_asof(inst, [("e", hist, "x")]).collect())
+    assert rowwise == [(2, None, None), (3, 3, None)]
+    per = sorted((r["timestamp"].month, r["n"], r["s"])
+                 for r in features.point_in_time_asof(inst, [("e", hist, "x")], per_feature=True).collect())
+    assert per == [(2, 1, "x"), (3, 3, "x")]

@@ -6,7 +6,7 @@ appended per ingest, stored as Parquet partitioned by the ingest date.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustfeed.session import materialize
@@ -98,25 +98,42 @@ def point_in_time(instances: DataFrame, lookups: list[tuple[str, DataFrame, str]
     return out
 
 
+def feature_intervals(features: DataFrame, start_time=None, per_feature: bool = False) -> DataFrame:
+    """Each feature version with its validity interval [feature_time, next).
+
+    The window runs per entity over its versions (one per ingest, so its size
+    is bounded by the number of ingests, not by the data). With
+    ``per_feature`` every feature carries its newest non-NULL value forward.
+    """
+    cols = _feature_cols(features)
+    f = features if start_time is None else \
+        features.where(F.col(FEATURE_TIME) >= F.lit(start_time).cast("timestamp"))
+    order = Window.partitionBy(ENTITY).orderBy(FEATURE_TIME)
+    if per_feature:
+        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        f = f.select(ENTITY, FEATURE_TIME, *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in cols])
+    return f.withColumn("_tf_until", F.lead(FEATURE_TIME).over(order))
+
+
 def point_in_time_asof(instances: DataFrame, lookups: list[tuple[str, DataFrame, str]],
                        ts_col: str = "timestamp", start_time=None, per_feature: bool = False) -> DataFrame:
     """A12/C12 with a timestamp per instance (general as-of join).
 
-    Distinct (entity, timestamp) keys are joined to the entity's feature
-    history on the entity id with ``feature_time <= timestamp`` as a join
-    filter; the newest match per key is kept with a grouped ``max_by`` and the
-    result is equi-joined back. Work is per distinct key and feature version,
-    never per instance pair.
+    Distinct (entity, timestamp) keys are joined on the entity id to the
+    version whose validity interval [feature_time, next feature_time)
+    contains the timestamp, so every key matches at most one version and no
+    key x version pairs are produced. The per-key result is written once and
+    equi-joined back to the instances (broadcast when small, otherwise a
+    shuffle join AQE can split for hot entities).
     """
     out = instances
     for inst_col, table, _ in lookups:
         cols = _feature_cols(table)
-        f = table if start_time is None else \
-            table.where(F.col(FEATURE_TIME) >= F.lit(start_time).cast("timestamp"))
+        iv = feature_intervals(table, start_time, per_feature)
         keys = instances.select(F.col(inst_col).alias("_tf_e"), F.col(ts_col).alias("_tf_t")).distinct()
-        cand = keys.join(f, (keys["_tf_e"] == f[ENTITY]) & (f[FEATURE_TIME] <= keys["_tf_t"]), "inner")
-        best = materialize(_expand(cand.groupBy("_tf_e", "_tf_t").agg(*_newest([], cand, cols, per_feature)),
-                                   cols, per_feature), "asof-features")
+        hit = (keys["_tf_e"] == iv[ENTITY]) & (iv[FEATURE_TIME] <= keys["_tf_t"]) \
+            & (iv["_tf_until"].isNull() | (keys["_tf_t"] < iv["_tf_until"]))
+        best = materialize(keys.join(iv, hit, "inner").select("_tf_e", "_tf_t", *cols), "asof-features")
         out = out.join(best, (out[inst_col] == best["_tf_e"]) & (out[ts_col] == best["_tf_t"]), "left") \
             .drop("_tf_e", "_tf_t")
     return out
