@@ -372,3 +372,15 @@ def test_point_in_time_asof_per_feature_carries_non_null(spark):
     per = sorted((r["timestamp"].month, r["n"], r["s"])
                  for r in features.point_in_time_asof(inst, [("e", hist, "x")], per_feature=True).collect())
     assert per == [(2, 1, "x"), (3, 3, "x")]
+
+
+def test_capped_sample_retry_path_is_exact(spark):
+    data = [(f"p{i}", "hot" if i % 3 == 0 else "cold") for i in range(9000)]
+    df = spark.createDataFrame(data, "post_id string, b string")
+    caps = {"hot": 40, "cold": 7}
+    got = set(r[0] for r in rows(sampling.capped_sample(df, "b", caps, seed="r", oversample=0.5), "post_id"))
+    keyed = df.withColumn("u", uniform_u32("post_id", "r")).toPandas()
+    expect = set()
+    for b, g in keyed.groupby("b"):
+        expect |= set(g.sort_values(["u", "post_id"]).head(caps[b])["post_id"])
+    assert got == expect

@@ -7,44 +7,69 @@ in the DuckDB oracle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustfeed.functions.columns import uniform01, uniform_u32
+from trustfeed.session import materialize
 
-# Sub-groups per bucket in the first level of the capped sample.
-SALT_BUCKETS = 64
+# Candidates kept per bucket, as a multiple of its cap, before the exact cut.
+OVERSAMPLE = 2.0
+_U32 = 1 << 32
 
 
-def capped_sample(df: DataFrame, bucket_col: str, caps: dict, key: str = "post_id",
-                  seed: str = "feed", salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Uniform sample without replacement of at most ``caps[b]`` rows per bucket.
+def _threshold(n: int, cap: int, factor: float) -> int:
+    """Keep draws u < threshold: all rows if the bucket fits its cap, else
+    about ``factor * cap`` of them (u is uniform on [0, 2^32))."""
+    if n <= cap or factor == float("inf"):
+        return _U32
+    return min(_U32, int(math.ceil(_U32 * factor * cap / n)))
 
-    The rows kept are the ``cap`` smallest ``md5(key || seed)`` values of each
-    bucket (ties by key). Few buckets hold all rows, so a plain window per
-    bucket would sort a whole bucket in one task. Two levels keep it bounded:
 
-    1. per (bucket, salt) keep the ``max_cap`` smallest keys; the literal bound
-       lets Spark insert a partial ``WindowGroupLimit`` before the shuffle;
-    2. per bucket keep the ``max_cap`` smallest of those (at most
-       ``salt_buckets * max_cap`` rows per bucket), then the bucket's own cap.
+def capped_sample(df: DataFrame, bucket_col: str, caps: dict, key: str = "post_id",
+                  seed: str = "feed", oversample: float = OVERSAMPLE) -> DataFrame:
+    """Uniform sample without replacement of at most ``caps[b]`` rows per bucket.
 
-    Exact: the global smallest ``cap`` of a bucket are among the per-salt
-    smallest ``cap``. Buckets without a cap are dropped.
+    The rows kept are the ``cap`` smallest ``md5(key || seed)`` draws of each
+    bucket (ties by key), computed without moving whole buckets:
+
+    1. rows per bucket are counted (one number per bucket reaches the driver);
+    2. a map-side filter keeps the draws below ``oversample * cap / n`` of the
+       draw range - about ``oversample * cap`` candidates per bucket,
+       whatever the data size - and the candidates are written once;
+    3. a bucket with fewer than ``min(cap, n)`` candidates (rare: a
+       binomial tail) is drawn again with a larger threshold, so the result
+       is exact;
+    4. the cap smallest candidates per bucket are kept by a window over
+       the candidates only.
+
+    A window over the raw rows would instead send every map task's ``cap``
+    rows per bucket to one task, which grows with the number of map tasks.
+    Buckets without a cap are dropped.
     """
-    max_cap = int(max(caps.values()))
-    cap_map = F.create_map(*[x for b, c in caps.items() for x in (F.lit(b), F.lit(int(c)))])
-    u = uniform_u32(key, seed)
-    keyed = df.where(F.col(bucket_col).isin(list(caps))) \
-        .withColumn("_tf_u", u) \
-        .withColumn("_tf_salt", F.pmod(F.col("_tf_u"), F.lit(salt_buckets)))
-    order = [F.col("_tf_u").asc(), F.col(key).asc()]
-    w1 = Window.partitionBy(bucket_col, "_tf_salt").orderBy(*order)
-    lvl1 = keyed.withColumn("_tf_rn", F.row_number().over(w1)).where(F.col("_tf_rn") <= max_cap)
-    w2 = Window.partitionBy(bucket_col).orderBy(*order)
-    lvl2 = lvl1.withColumn("_tf_rn", F.row_number().over(w2)).where(F.col("_tf_rn") <= max_cap)
-    return lvl2.where(F.col("_tf_rn") <= F.element_at(cap_map, F.col(bucket_col))) \
-        .drop("_tf_u", "_tf_salt", "_tf_rn")
+    caps = {b: int(c) for b, c in caps.items()}
+    keyed = df.where(F.col(bucket_col).isin(list(caps))).withColumn("_tf_u", uniform_u32(key, seed))
+    counts = {r[0]: r[1] for r in keyed.groupBy(bucket_col).count().collect()}
+    factor = {b: oversample for b in caps}
+    while True:
+        tau = {b: _threshold(counts.get(b, 0), caps[b], factor[b]) for b in caps}
+        tau_map = F.create_map(*[x for b, t in tau.items() for x in (F.lit(b), F.lit(t).cast("bigint"))])
+        cand = materialize(keyed.where(F.col("_tf_u") < F.element_at(tau_map, F.col(bucket_col))),
+                           "sample-candidates")
+        got = {r[0]: r[1] for r in cand.groupBy(bucket_col).count().collect()}
+        short = [b for b in caps if got.get(b, 0) < min(caps[b], counts.get(b, 0))]
+        if not short:
+            break
+        for b in short:
+            factor[b] = factor[b] * 4 if factor[b] < 64 else float("inf")
+    max_cap = max(caps.values())
+    cap_map = F.create_map(*[x for b, c in caps.items() for x in (F.lit(b), F.lit(c))])
+    w = Window.partitionBy(bucket_col).orderBy(F.col("_tf_u").asc(), F.col(key).asc())
+    ranked = cand.withColumn("_tf_rn", F.row_number().over(w)).where(F.col("_tf_rn") <= max_cap)
+    return ranked.where(F.col("_tf_rn") <= F.element_at(cap_map, F.col(bucket_col))) \
+        .drop("_tf_u", "_tf_rn")
 
 
 def weighted_sample(df: DataFrame, weight_col: str, n: int, key: str = "post_id",
