@@ -120,14 +120,21 @@ def stratified_fractions(counts: dict, targets: dict, digits: int = 2) -> dict:
     return out
 
 
-def stratified_sample(df: DataFrame, label_col: str, targets: dict, seed: int = 0,
-                      digits: int = 2) -> DataFrame:
+def stratified_sample(df: DataFrame, label_col: str, targets: dict, key: str = "post_id",
+                      seed: str = "0", digits: int = 2) -> DataFrame:
     """Per-label Bernoulli sample sized to about ``targets[label]`` rows.
 
-    The label counts are one small aggregation (one row per label); labels not
-    listed and NULL labels are dropped, as ``sampleBy`` does.
+    fraction(label) = min(1, round(target / rows with that label, digits)),
+    computed by one aggregation whose result (one row per listed label) is
+    broadcast; each row is kept when its repeatable draw md5(key || seed) falls
+    below its label's fraction. Labels not listed and NULL labels are dropped,
+    as with ``sampleBy``.
     """
-    counts = {r[0]: r[1] for r in df.where(F.col(label_col).isin(list(targets)))
-              .groupBy(label_col).count().collect()}
-    fractions = stratified_fractions(counts, targets, digits)
-    return df.stat.sampleBy(label_col, fractions, seed)
+    target = F.create_map(*[x for lab, t in targets.items() for x in (F.lit(lab), F.lit(float(t)))])
+    listed = df.where(F.col(label_col).isin(list(targets)))
+    frac = listed.groupBy(label_col).agg(F.count(F.lit(1)).alias("_tf_n")).select(
+        F.col(label_col).alias("_tf_label"),
+        F.least(F.lit(1.0), F.round(F.element_at(target, F.col(label_col)) / F.col("_tf_n"), digits))
+        .alias("_tf_frac"))
+    j = listed.join(F.broadcast(frac), F.col(label_col) == F.col("_tf_label"), "inner")
+    return j.where(uniform01(key, seed) < F.col("_tf_frac")).drop("_tf_label", "_tf_frac")

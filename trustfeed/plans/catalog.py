@@ -393,7 +393,7 @@ def q_train_test_split(spark, sf_dir):
 @register("stratified_sample")
 def q_stratified_sample(spark, sf_dir):
     lab = chain.labelled_posts(_src(spark, sf_dir)).select("post_id", "recommend", "post_score")
-    return sampling.stratified_sample(lab, "recommend", STRATIFIED_TARGETS, seed=0)
+    return sampling.stratified_sample(lab, "recommend", STRATIFIED_TARGETS, seed="0")
 
 
 @register("label_encoding")
