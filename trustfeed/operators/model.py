@@ -81,6 +81,11 @@ def train(labelled: DataFrame, classifier: str = "rf", leaky: bool = True, **kw)
     """Fit the pipeline on rows with a label; the returned model also maps
     the class id back to the label text (``predicted_recommend``)."""
     rows = labelled.where(F.col(LABEL_COL).isNotNull())
+    # Tree training makes one pass per level over its input: spread it over
+    # at least one partition per core (no-op for inputs already that wide).
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores)
     lab = label_indexer().fit(rows)
     pipeline, _ = build_pipeline(classifier, leaky, **kw)
     fitted = pipeline.fit(lab.transform(rows))
