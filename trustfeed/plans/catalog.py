@@ -37,16 +37,19 @@ def register(name: str):
     return deco
 
 
-_SOURCES: dict[tuple[int, str], SourceTables] = {}
-
-
 def _src(spark: SparkSession, sf_dir: str) -> SourceTables:
     """One set of table readers per session and data directory (the Parquet
-    footer job of each table runs once, not once per query)."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
-    if key not in _SOURCES:
-        _SOURCES[key] = SourceTables(spark, sf_dir)
-    return _SOURCES[key]
+    footer job of each table runs once, not once per query). The cache lives
+    on the session object, so a new session never sees readers of a stopped
+    one."""
+    cache = getattr(spark, "_trustfeed_sources", None)
+    if cache is None:
+        cache = {}
+        spark._trustfeed_sources = cache
+    key = sf_dir.rstrip("/")
+    if key not in cache:
+        cache[key] = SourceTables(spark, sf_dir)
+    return cache[key]
 
 
 # ------------------------------------------------------------ trust
