@@ -14,7 +14,6 @@ from pyspark.sql.types import NumericType, StringType
 from trustfeed.functions.columns import dtime_to_timestamp
 from trustfeed.operators.dedupe import latest_per_post
 from trustfeed.operators.sampling import capped_sample, weighted_sample
-from trustfeed.session import materialize
 from trustfeed.params import (ENGAGEMENT_WEIGHTS, FEED_WEIGHTS_V1, FEED_WEIGHTS_V2, FILL_RANK,
                               POPULARITY_LABELS, FeedParams)
 
@@ -156,11 +155,11 @@ def sampled_candidates(preds: DataFrame, now, params: FeedParams = FeedParams())
 def weighted_candidates(preds: DataFrame, now, params: FeedParams = FeedParams()) -> DataFrame:
     """Capped sample with popularity and weight.
 
-    The sample (at most sum(caps) rows) is materialized: the tercile cut
-    points and the rows are then read from it instead of re-deriving the
-    sample from all predictions twice.
+    The tercile cut points and the rows both read the sample; it is derived
+    from the candidate table that ``capped_sample`` wrote (about 2 x sum(caps)
+    rows), so reading it twice never goes back to the predictions.
     """
-    sample = materialize(sampled_candidates(preds, now, params), "feed-sample")
+    sample = sampled_candidates(preds, now, params)
     return feed_weights(popularity_bins(sample), params.weight_profile)
 
 
