@@ -7,7 +7,6 @@ import random
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trustfeed.functions.columns import id_head, id_tail, pg_concat, uniform_u32
 from trustfeed.operators import feed, features, quality, sampling, views

@@ -70,10 +70,6 @@ def unlabelled(df: DataFrame, label: str = "recommend") -> DataFrame:
     return df.where(F.col(label).isNull())
 
 
-def labelled(df: DataFrame, label: str = "recommend") -> DataFrame:
-    return df.where(F.col(label).isNotNull())
-
-
 def table_sizes(spark: SparkSession, root: str, top: int | None = None) -> DataFrame:
     """Bytes per table below ``root`` (one table per file or directory).
 

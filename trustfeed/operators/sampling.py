@@ -91,11 +91,6 @@ def uniform_sample(df: DataFrame, n: int, key: str = "post_id", seed: str = "pre
         .orderBy(F.col("_tf_u").asc(), F.col(key).asc()).limit(n).drop("_tf_u")
 
 
-def bernoulli_flag(key: str, fraction: float, seed: str) -> F.Column:
-    """True for a repeatable ``fraction`` of keys."""
-    return uniform01(key, seed) < F.lit(float(fraction))
-
-
 def train_test_split(df: DataFrame, test_fraction: float = 0.25, key: str = "post_id",
                      seed: str = "1", label_col: str | None = "recommend",
                      flag: str = "is_test") -> DataFrame:
