@@ -383,3 +383,19 @@ def test_capped_sample_retry_path_is_exact(spark):
     for b, g in keyed.groupby("b"):
         expect |= set(g.sort_values(["u", "post_id"]).head(caps[b])["post_id"])
     assert got == expect
+
+
+def test_stream_replayed_batch_keeps_its_rows(spark):
+    """A batch replayed after its output was written (but not committed) writes the same rows again."""
+    from trustfeed.streaming import increments as stream_inc
+    root, out, ckpt = (scratch_path(spark, n) for n in ("r-src", "r-out", "r-ckpt"))
+    rows_in = spark.createDataFrame([("p1", "YES", 20230602000000), ("p2", "NO", 20230602000000)],
+                                    "post_id string, recommend string, dtime bigint")
+    rows_in.write.partitionBy("dtime").parquet(root)
+    schema = spark.read.parquet(root).schema
+    stream_inc.run_increment(spark, root, schema, ckpt, out, lambda b: b, dedupe_key="post_id")
+    # simulate the replay: same batch id, same input, its output already on storage
+    fresh_ckpt = scratch_path(spark, "r-ckpt2")
+    stream_inc.run_increment(spark, root, schema, fresh_ckpt, out, lambda b: b, dedupe_key="post_id")
+    stored = sorted(rows(stream_inc.read_output(spark, out), "post_id", "recommend"))
+    assert stored == [("p1", "YES"), ("p2", "NO")]
