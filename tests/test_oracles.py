@@ -10,10 +10,20 @@ from oracle_harness import compare
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 
+# No registered query may plan a cartesian/nested-loop join or evaluate
+# Python row by row.
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+
+
+def assert_plan_clean(df):
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert not [m for m in FORBIDDEN if m in p], p
+
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck_small, name):
     df = QUERIES[name](spark, SF_SMALL)
+    assert_plan_clean(df)
     problems, _ = compare(df, duck_small, ORACLES[name])
     assert not problems, problems
 
@@ -21,6 +31,7 @@ def test_query_matches_oracle(spark, duck_small, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_rows_only_query_runs(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
+    assert_plan_clean(df)
     assert df.count() >= 0
     assert df.columns
 

@@ -105,17 +105,3 @@ def test_hot_author_join_is_split_by_aqe(spark):
             else:
                 spark.conf.set(k, v)
 
-
-def test_no_cross_join_or_python_udf_in_any_query(spark):
-    """No registered query plans a cartesian/nested-loop join or a
-    row-at-a-time Python evaluation."""
-    import __spark_entry__ as entry
-
-    forbidden = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
-    bad = {}
-    for name, fn in entry.queries().items():
-        p = plan(fn(spark, SF_SMALL))
-        hits = [m for m in forbidden if m in p]
-        if hits:
-            bad[name] = hits
-    assert not bad, bad
