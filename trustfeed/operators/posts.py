@@ -56,10 +56,8 @@ def posts_with_stats(flags: DataFrame, stats: DataFrame) -> DataFrame:
 
 def post_feature_frame(with_stats: DataFrame) -> DataFrame:
     """Feature-named post frame: counters renamed, publication id dropped."""
-    out = with_stats.drop("publication_id")
-    for src, dst in STATS_TO_FEATURES.items():
-        out = out.withColumnRenamed(src, dst)
-    return out
+    return with_stats.select(*[F.col(c).alias(STATS_TO_FEATURES.get(c, c))
+                               for c in with_stats.columns if c != "publication_id"])
 
 
 def format_timestamp(df: DataFrame, col: str = "block_timestamp",
