@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,3 +29,14 @@ def text_or_empty(col: str = "text") -> Column:
 
 def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("bigint")
+
+
+def arrow_rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """Rows as a record batch (integers stay integers beside nulls, unlike in pandas)."""
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def texts_of(batch: pa.RecordBatch, *names: str):
+    """Tuples of the named columns, a row at a time."""
+    return zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from trustfeed.llm.common import table
+from trustfeed.llm.exact_dedup import exact_dedup
 from trustfeed.llm.mixing import mix_sources
+from trustfeed.llm.packing import pack_documents
 from trustfeed.llm.sharding import shard_documents
 
 
@@ -11,11 +13,19 @@ def op3_mix_sources(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op6_exact_dedup(spark, sf_dir):
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+def op10_pack_documents(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_ring_shards(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op9_ring_shards)}
+QUERIES = {f.__name__: f for f in (op3_mix_sources, op6_exact_dedup, op9_ring_shards, op10_pack_documents)}
 
 ORACLES = {
     "op3_mix_sources": r"""
@@ -50,5 +60,15 @@ WITH d AS (
   SELECT *, least(floor(u + k * rate) - floor(u + (k - 1) * rate), 2)::BIGINT AS copies FROM n
 )
 SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken FROM x
+""",
+    "op6_exact_dedup": r"""
+WITH d AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+), g AS (
+  SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256
+)
+SELECT doc_id, keep_id, group_size,
+  doc_id IS NOT DISTINCT FROM keep_id AND row_number() OVER (PARTITION BY text_sha256, doc_id) = 1 AS kept, text_sha256
+FROM d JOIN g USING (text_sha256)
 """,
 }
