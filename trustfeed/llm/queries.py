@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from trustfeed.llm.common import table
 from trustfeed.llm.exact_dedup import exact_dedup
+from trustfeed.llm.html_blocks import extract_main
 from trustfeed.llm.mixing import mix_sources
 from trustfeed.llm.packing import pack_documents
+from trustfeed.llm.quality import quality_rules
 from trustfeed.llm.sharding import shard_documents
 
 
@@ -13,6 +15,14 @@ def op3_mix_sources(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op4_extract_main(spark, sf_dir):
+    return extract_main(table(spark, sf_dir, "pages"))
+
+
+def op5_quality_rules(spark, sf_dir):
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -25,7 +35,7 @@ def op9_ring_shards(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op6_exact_dedup, op9_ring_shards, op10_pack_documents)}
+QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_extract_main, op5_quality_rules, op6_exact_dedup, op9_ring_shards, op10_pack_documents)}
 
 ORACLES = {
     "op3_mix_sources": r"""
