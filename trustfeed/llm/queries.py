@@ -5,10 +5,17 @@ from __future__ import annotations
 from trustfeed.llm.common import table
 from trustfeed.llm.exact_dedup import exact_dedup
 from trustfeed.llm.html_blocks import extract_main
+from trustfeed.llm.line_templates import dedup_lines
 from trustfeed.llm.mixing import mix_sources
 from trustfeed.llm.packing import pack_documents
 from trustfeed.llm.quality import quality_rules
 from trustfeed.llm.sharding import shard_documents
+from trustfeed.llm.toxicity import score_toxicity
+
+
+def op2_drop_recurring_lines(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs, n_lines="n_lines", n_dropped="n_dropped")
 
 
 def op3_mix_sources(spark, sf_dir):
@@ -31,11 +38,17 @@ def op10_pack_documents(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_score_toxicity(spark, sf_dir):
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_ring_shards(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_extract_main, op5_quality_rules, op6_exact_dedup, op9_ring_shards, op10_pack_documents)}
+QUERIES = {f.__name__: f for f in (
+    op2_drop_recurring_lines, op3_mix_sources, op4_extract_main, op5_quality_rules, op6_exact_dedup, op8_score_toxicity,
+    op9_ring_shards, op10_pack_documents)}
 
 ORACLES = {
     "op3_mix_sources": r"""
