@@ -5,7 +5,7 @@ are the leading tokens, variable fields (numbers, dates, hexadecimal ids, mail a
 to <*>. What reaches the same leaf is one log group. In the leaves that lines of two or more documents reach, a template is
 made per group: at each place the token that at least half of the group's lines have stays, any other place
 becomes <*>. A line belongs to the template if it agrees with ``SIMILAR`` of all places (a place of the template that is
-<*> agrees with nothing). A template whose lines come from two or more documents recurs: its lines are dropped
+<*> agrees with nothing); a line that agrees with less but stands in two documents is a template of its own. A template whose lines come from two or more documents recurs: its lines are dropped
 everywhere but in the document with the smallest doc_id.
 
 Lines of fewer than ``MIN_TOKENS`` tokens are never dropped; they recur by chance.
@@ -63,8 +63,10 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
 
 
 def line_kinds(lines: DataFrame) -> DataFrame:
-    """The different lines of each leaf, with their number."""
-    return lines.groupBy("leaf", "kind").agg(F.count(F.lit(1)).alias("n"), F.first("tokens").alias("tokens"))
+    """The different lines of each leaf, with their number and whether two or more documents have them."""
+    return lines.groupBy("leaf", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.first("tokens").alias("tokens"),
+        (F.min("doc_id") != F.max("doc_id")).alias("recurs"))
 
 
 def leaf_templates(kinds: DataFrame) -> DataFrame:
@@ -80,19 +82,21 @@ def leaf_templates(kinds: DataFrame) -> DataFrame:
 
 
 def template_lines(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(doc_id, body, at, leaf) of the lines that belong to their leaf's template."""
+    """(doc_id, body, at, leaf, template) of the lines that belong to their leaf's template (0) or recur as they are."""
     kinds = materialize(line_kinds(lines), "line-kinds")
     agree = F.size(F.filter(F.zip_with("tokens", "template", lambda t, x: F.coalesce(t == x, F.lit(False))), lambda x: x))
-    like = kinds.join(leaf_templates(kinds), "leaf").where(agree >= F.size("tokens") * similar).select("leaf", "kind")
-    return lines.select("doc_id", "body", "at", "leaf", "kind").join(like, ["leaf", "kind"], "left_semi").drop("kind")
+    alike = agree >= F.size("tokens") * similar
+    own = kinds.join(leaf_templates(kinds), "leaf").where(alike | F.col("recurs")) \
+        .select("leaf", "kind", F.when(alike, F.lit(0)).otherwise(F.col("kind")).alias("template"))
+    return lines.select("doc_id", "body", "at", "leaf", "kind").join(own, ["leaf", "kind"]).drop("kind")
 
 
 def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR) -> DataFrame:
     """doc_id, hash of its text and the numbers of its lines to drop, as an array."""
     lines = materialize(recurring_lines(document_lines(docs, depth, min_tokens)), "recurring-lines")
     member = materialize(template_lines(lines, similar), "template-lines")
-    first = member.groupBy("leaf").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi")
-    drop = member.join(first, "leaf").where("doc_id <> lo")
+    first = member.groupBy("leaf", "template").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi")
+    drop = member.join(first, ["leaf", "template"]).where("doc_id <> lo")
     return drop.groupBy("doc_id", "body").agg(F.collect_set("at").alias("places"))
 
 

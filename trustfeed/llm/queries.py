@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from trustfeed.llm.common import table
 from trustfeed.llm.exact_dedup import exact_dedup
 from trustfeed.llm.html_blocks import extract_main
+from trustfeed.llm.importance import resample
 from trustfeed.llm.line_templates import dedup_lines
 from trustfeed.llm.mixing import mix_sources
+from trustfeed.llm.near_dedup import near_classes
 from trustfeed.llm.packing import pack_documents
 from trustfeed.llm.quality import quality_rules
 from trustfeed.llm.sharding import shard_documents
 from trustfeed.llm.toxicity import score_toxicity
 
 
+def op1_near_classes(spark, sf_dir):
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
 def op2_drop_recurring_lines(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs, n_lines="n_lines", n_dropped="n_dropped")
@@ -38,6 +45,10 @@ def op10_pack_documents(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_importance_resample(spark, sf_dir):
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_score_toxicity(spark, sf_dir):
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,8 +58,9 @@ def op9_ring_shards(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_drop_recurring_lines, op3_mix_sources, op4_extract_main, op5_quality_rules, op6_exact_dedup, op8_score_toxicity,
-    op9_ring_shards, op10_pack_documents)}
+    op1_near_classes, op2_drop_recurring_lines, op3_mix_sources, op4_extract_main, op5_quality_rules, op6_exact_dedup,
+    op7_importance_resample, op8_score_toxicity, op9_ring_shards, op10_pack_documents)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLES = {
     "op3_mix_sources": r"""
