@@ -149,14 +149,14 @@ def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP, spread: int = SPR
     # null-safe joins: a null language or source is a group, too
     fine = limits(sketches, ["lang", "source"], "_f", spread).withColumnsRenamed({"lang": "lang_f", "source": "source_f"})
     by_lang = limits(sketches, ["lang"], "_l", spread).withColumnRenamed("lang", "lang_l")
-    overall = limits(sketches.withColumn("one", F.lit(1)), ["one"], "_a", spread)
-    table = fine.join(by_lang, F.col("lang_f").eqNullSafe(F.col("lang_l"))) \
-        .withColumn("one", F.lit(1)).join(F.broadcast(overall), "one")
+    overall = limits(sketches.withColumn("one", F.lit(1)), ["one"], "_a", spread).first()    # one row
+    table = fine.join(by_lang, F.col("lang_f").eqNullSafe(F.col("lang_l")))
     chosen = []
     for s in names:
         for k in ("top", "bottom"):
+            every = F.lit(overall and overall[f"{s}_{k}_a"]).cast("bigint")
             c = F.when(F.col("size_f") >= min_group, F.col(f"{s}_{k}_f")) \
-                .when(F.col("size_l") >= min_group, F.col(f"{s}_{k}_l")).otherwise(F.col(f"{s}_{k}_a"))
+                .when(F.col("size_l") >= min_group, F.col(f"{s}_{k}_l")).otherwise(every)
             chosen.append(c.alias(f"{s}_{k}"))
     table = table.select("lang_f", "source_f", *chosen)
     rows = rows.join(table, F.col("lang").eqNullSafe(F.col("lang_f")) & F.col("source").eqNullSafe(F.col("source_f")))
