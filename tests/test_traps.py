@@ -249,9 +249,9 @@ def test_publish_leaves_other_strategies(spark):
     table = scratch_path(spark, "feedtab")
     a = spark.createDataFrame([("s1", "p1", 0.0), ("s1", "p2", 1.0)], "strategy_name string, post_id string, v double")
     b = spark.createDataFrame([("s2", "q1", 0.0)], "strategy_name string, post_id string, v double")
-    feed.publish_feed(a, table)
-    feed.publish_feed(b, table)
-    feed.publish_feed(spark.createDataFrame([("s1", "p9", 0.0)], a.schema), table)
+    feed.publish_feed(a, table, "s1")
+    feed.publish_feed(b, table, "s2")
+    feed.publish_feed(spark.createDataFrame([("s1", "p9", 0.0)], a.schema), table, "s1")
     got = sorted(rows(spark.read.parquet(table), "strategy_name", "post_id"))
     assert got == [("s1", "p9"), ("s2", "q1")]
 
@@ -327,8 +327,9 @@ def test_read_source_parquet_and_feature_table_roundtrip(spark):
                                  "2023-01-01 00:00:00", ["count"], {"count": "n"})
     b = features.ingest_features(spark.createDataFrame([("x", 2)], "id string, n bigint"), "id",
                                  "2023-02-01 00:00:00", ["count"], {"count": "n"})
-    features.write_feature_table(a, path)
-    features.write_feature_table(b, path)      # append: the older ingest stays
+    features.write_feature_table(a, path, "2024-01-01 00:00:00")
+    features.write_feature_table(b, path, "2024-01-02 00:00:00")      # the older ingest stays
+    features.write_feature_table(b, path, "2024-01-02 00:00:00")      # a replay adds nothing
     table = features.read_feature_table(spark, path)
     assert sorted(r["count"] for r in table.collect()) == [1, 2]
     latest = features.latest_features(table, "2023-03-01 00:00:00").collect()

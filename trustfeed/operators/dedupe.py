@@ -50,5 +50,5 @@ def duplicate_keys(df: DataFrame, keys: list[str], count_name: str = "count") ->
 
 def latest_per_post(df: DataFrame, key: str = "post_id", time_col: str = "dtime",
                     tie_break: list[str] | None = None) -> DataFrame:
-    """The newest row of each post (largest ``time_col``)."""
-    return dedupe_by_key(df, [key], [f"-{time_col}", *(tie_break or [])])
+    """The newest row of each post (largest ``time_col``); then ``tie_break``, then a hash of the whole row."""
+    return dedupe_by_key(df, [key], [f"-{time_col}", *(tie_break or []), F.xxhash64(*df.columns)])

@@ -1,11 +1,13 @@
 """Time-stamped feature tables and point-in-time lookup.
 
 A feature table is a plain DataFrame ``(entity_id, feature_time, f1, f2, ...)``
-appended per ingest, stored as Parquet partitioned by the ingest date.
+stored as Parquet, one directory per feature time.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from trustfeed.session import materialize
 
 ENTITY = "entity_id"
 FEATURE_TIME = "feature_time"
+# Length of the time pieces in which the as-of lookup works.
+BUCKET_SECONDS = 86400
 
 # Feature ids of the two entity types (value types in schemas.py).
 POST_FEATURES = ["age", "mirrors", "collects", "comments", "upvotes", "downvotes", "is_original",
@@ -36,27 +40,32 @@ def ingest_features(df: DataFrame, entity_id_field: str, feature_time, feature_i
     )
 
 
-def write_feature_table(features: DataFrame, path: str) -> None:
-    """Append an ingest, partitioned by feature date (older ingests untouched)."""
-    features.withColumn("feature_date", F.to_date(FEATURE_TIME)) \
-        .write.mode("append").partitionBy("feature_date").parquet(path)
+def write_feature_table(features: DataFrame, path: str, feature_time) -> None:
+    """One directory per feature time; writing a feature time again replaces it (older ingests untouched)."""
+    key = re.sub(r"[^0-9A-Za-z]+", "", str(feature_time))
+    features.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .parquet(f"{path.rstrip('/')}/ingest=t{key}")
 
 
 def read_feature_table(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("feature_date")
+    return spark.read.parquet(path).drop("ingest")
 
 
 def _feature_cols(features: DataFrame) -> list[str]:
-    return [c for c in features.columns if c not in (ENTITY, FEATURE_TIME, "feature_date")]
+    return [c for c in features.columns if c not in (ENTITY, FEATURE_TIME)]
+
 
+def _when(df: DataFrame):
+    """Order of versions: feature time, then a hash of the row, so equal times have one winner."""
+    return F.struct(F.col(FEATURE_TIME), F.xxhash64(*[F.col(c) for c in _feature_cols(df)]))
 
-def _newest(grouped_cols: list[str], features_df: DataFrame, cols: list[str], per_feature: bool):
-    t = F.col(FEATURE_TIME)
+
+def _newest(features_df: DataFrame, cols: list[str], per_feature: bool):
+    t = _when(features_df)
     if per_feature:
         # newest non-NULL value of each feature: max_by skips NULL orderings
         return [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), t)).alias(c) for c in cols]
-    row = F.max_by(F.struct(*[F.col(c) for c in cols]), t).alias("_tf_row")
-    return [row]
+    return [F.max_by(F.struct(*[F.col(c) for c in cols]), t).alias("_tf_row")]
 
 
 def _expand(df: DataFrame, cols: list[str], per_feature: bool) -> DataFrame:
@@ -76,7 +85,7 @@ def latest_features(features: DataFrame, as_of, start_time=None, per_feature: bo
     f = features.where(F.col(FEATURE_TIME) <= F.lit(as_of).cast("timestamp"))
     if start_time is not None:
         f = f.where(F.col(FEATURE_TIME) >= F.lit(start_time).cast("timestamp"))
-    agg = f.groupBy(ENTITY).agg(*_newest([ENTITY], f, cols, per_feature))
+    agg = f.groupBy(ENTITY).agg(*_newest(f, cols, per_feature))
     return _expand(agg, cols, per_feature)
 
 
@@ -98,42 +107,60 @@ def point_in_time(instances: DataFrame, lookups: list[tuple[str, DataFrame, str]
     return out
 
 
-def feature_intervals(features: DataFrame, start_time=None, per_feature: bool = False) -> DataFrame:
-    """Each feature version with its validity interval [feature_time, next).
+def asof_versions(keys: DataFrame, features: DataFrame, per_feature: bool = False,
+                  bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """For distinct keys (_tf_e, _tf_t): the newest version of entity _tf_e at time _tf_t (as-of).
 
-    The window runs per entity over its versions (one per ingest, so its size
-    is bounded by the number of ingests, not by the data). With
-    ``per_feature`` every feature carries its newest non-NULL value forward.
+    Keys and versions are put into one stream and cut into (entity, time bucket)
+    pieces. Within a piece the last version is carried forward over the keys; what
+    came before the piece is carried over a table with one row per entity and
+    bucket. Work is linear in keys + versions and a hot entity is spread over its
+    buckets; no join has a range condition.
     """
     cols = _feature_cols(features)
-    f = features if start_time is None else \
-        features.where(F.col(FEATURE_TIME) >= F.lit(start_time).cast("timestamp"))
-    order = Window.partitionBy(ENTITY).orderBy(FEATURE_TIME)
-    if per_feature:
-        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        f = f.select(ENTITY, FEATURE_TIME, *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in cols])
-    return f.withColumn("_tf_until", F.lead(FEATURE_TIME).over(order))
+    bucket = F.floor(F.unix_seconds(F.col("_tf_t").cast("timestamp")) / bucket_seconds).alias("_tf_b")
+    row = F.struct(*[F.col(c) for c in cols])
+    values = {c: F.col(c) for c in cols} if per_feature else {"_tf_row": row}
+    versions = features.select(F.col(ENTITY).alias("_tf_e"), F.col(FEATURE_TIME).alias("_tf_t"),
+                               F.xxhash64(*[F.col(c) for c in cols]).alias("_tf_o"), F.lit(False).alias("_tf_k"),
+                               *[v.alias(n) for n, v in values.items()])
+    asked = keys.select("_tf_e", "_tf_t", F.lit(None).cast("bigint").alias("_tf_o"), F.lit(True).alias("_tf_k"),
+                        *[F.lit(None).cast(versions.schema[n].dataType).alias(n) for n in values])
+    stream = materialize(versions.unionByName(asked).select("*", bucket), "asof-stream")
+    # a version at a key's own time counts for it: versions sort before keys
+    order = Window.partitionBy("_tf_e", "_tf_b").orderBy("_tf_t", "_tf_k", "_tf_o") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = stream.select("_tf_e", "_tf_b", "_tf_t", "_tf_k",
+                           *[F.last(n, ignorenulls=True).over(order).alias(n) for n in values]).where("_tf_k")
+    # the last value of each piece, carried over the earlier pieces of the entity
+    t = F.struct("_tf_t", "_tf_o")
+    ends = stream.groupBy("_tf_e", "_tf_b").agg(
+        *[F.max_by(F.col(n), F.when(~F.col("_tf_k") & F.col(n).isNotNull(), t)).alias(n) for n in values])
+    earlier = Window.partitionBy("_tf_e").orderBy("_tf_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(F.col("_tf_e").alias("_tf_ce"), F.col("_tf_b").alias("_tf_cb"),
+                          *[F.last(n, ignorenulls=True).over(earlier).alias(f"_tf_c_{n}") for n in values])
+    carried = materialize(carried, "asof-carried")
+    both = inside.join(carried, (F.col("_tf_e") == F.col("_tf_ce")) & (F.col("_tf_b") == F.col("_tf_cb")), "left")
+    found = both.select("_tf_e", "_tf_t", *[F.coalesce(n, f"_tf_c_{n}").alias(n) for n in values])
+    return _expand(found, cols, per_feature)
 
 
 def point_in_time_asof(instances: DataFrame, lookups: list[tuple[str, DataFrame, str]],
                        ts_col: str = "timestamp", start_time=None, per_feature: bool = False) -> DataFrame:
     """A12/C12 with a timestamp per instance (general as-of join).
 
-    Distinct (entity, timestamp) keys are joined on the entity id to the
-    version whose validity interval [feature_time, next feature_time)
-    contains the timestamp, so every key matches at most one version and no
-    key x version pairs are produced. The per-key result is written once and
-    equi-joined back to the instances (broadcast when small, otherwise a
-    shuffle join AQE can split for hot entities).
+    Distinct (entity, timestamp) keys get their version by ``asof_versions``; the
+    per-key result is written once and equi-joined back to the instances
+    (broadcast when small, otherwise a shuffle join AQE can split for hot
+    entities).
     """
     out = instances
     for inst_col, table, _ in lookups:
-        cols = _feature_cols(table)
-        iv = feature_intervals(table, start_time, per_feature)
-        keys = instances.select(F.col(inst_col).alias("_tf_e"), F.col(ts_col).alias("_tf_t")).distinct()
-        hit = (keys["_tf_e"] == iv[ENTITY]) & (iv[FEATURE_TIME] <= keys["_tf_t"]) \
-            & (iv["_tf_until"].isNull() | (keys["_tf_t"] < iv["_tf_until"]))
-        best = materialize(keys.join(iv, hit, "inner").select("_tf_e", "_tf_t", *cols), "asof-features")
+        f = table if start_time is None else \
+            table.where(F.col(FEATURE_TIME) >= F.lit(start_time).cast("timestamp"))
+        keys = instances.select(F.col(inst_col).alias("_tf_e"), F.col(ts_col).alias("_tf_t")) \
+            .where(F.col("_tf_e").isNotNull() & F.col("_tf_t").isNotNull()).distinct()
+        best = materialize(asof_versions(keys, f, per_feature), "asof-features")
         out = out.join(best, (out[inst_col] == best["_tf_e"]) & (out[ts_col] == best["_tf_t"]), "left") \
             .drop("_tf_e", "_tf_t")
     return out

@@ -7,6 +7,8 @@ Only the capped sample (at most sum(caps) rows) and the final feed (at most
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
@@ -16,6 +18,7 @@ from trustfeed.operators.dedupe import latest_per_post
 from trustfeed.operators.sampling import capped_sample, weighted_sample
 from trustfeed.params import (ENGAGEMENT_WEIGHTS, FEED_WEIGHTS_V1, FEED_WEIGHTS_V2, FILL_RANK,
                               POPULARITY_LABELS, FeedParams)
+from trustfeed.session import materialize
 
 FEED_COLUMNS = ["post_id", "recommend", "dtime", "engagement_score"]
 
@@ -32,6 +35,13 @@ def engagement_expr(weights: dict | None = None) -> F.Column:
     return expr
 
 
+def feed_flags(preds: DataFrame, weights: dict | None = None) -> DataFrame:
+    """The feed columns plus ``eligible`` (B4): what de-duplication has to carry, and no more."""
+    ok = F.col("is_original") & ~F.col("is_content_warning") & (F.col("recommend") != "NO")
+    return preds.select("post_id", "recommend", "dtime", engagement_expr(weights).alias("engagement_score"),
+                        ok.alias("eligible"))
+
+
 def feed_eligible(preds: DataFrame, weights: dict | None = None,
                   require_engagement: bool = True) -> DataFrame:
     """B4 + B5: original, not content-warned, label not NO; engagement > 0.
@@ -39,13 +49,21 @@ def feed_eligible(preds: DataFrame, weights: dict | None = None,
     NULL flags or labels fail the test (three-valued logic), as in the
     original string comparisons.
     """
-    df = preds.where(F.col("is_original") & ~F.col("is_content_warning") & (F.col("recommend") != "NO")) \
-        .withColumn("engagement_score", engagement_expr(weights))
+    return eligible_rows(feed_flags(preds, weights), require_engagement)
+
+
+def eligible_rows(flags: DataFrame, require_engagement: bool = True) -> DataFrame:
+    df = flags.where("eligible")
     if require_engagement:
         df = df.where(F.col("engagement_score") > 0)
     return df.select(*FEED_COLUMNS)
 
 
+def current_eligible(preds: DataFrame, weights: dict | None = None, require_engagement: bool = True) -> DataFrame:
+    """G3 + B4 + B5: the newest prediction of each post, if it is eligible."""
+    return eligible_rows(latest_per_post(feed_flags(preds, weights)), require_engagement)
+
+
 def recency_bucket(df: DataFrame, now, buckets, mode: str = "elapsed",
                    out: str = "time_ago") -> DataFrame:
     """Bucket name by the age of the run (``dtime``) at ``now``.
@@ -72,32 +90,55 @@ def recency_bucket(df: DataFrame, now, buckets, mode: str = "elapsed",
 
 
 def popularity_bins(df: DataFrame, col: str = "engagement_score", out: str = "popularity",
-                    labels=POPULARITY_LABELS, exact: bool = True) -> DataFrame:
+                    labels=POPULARITY_LABELS) -> DataFrame:
     """Terciles C/B/A of ``col``: cut points at quantiles 1/3 and 2/3
     (linear interpolation), right-closed bins, lowest value in C.
 
-    The cut points are one scalar subquery (an array of two doubles). ``exact``
-    uses ``percentile`` (fine for the bounded feed sample); otherwise the
-    bounded-memory ``percentile_approx``. Equal cut points collapse a bin
-    instead of failing.
+    The cut points are exact on input of any size: values are counted per
+    distinct value, the counts are numbered in a distributed order, and the
+    values at the four ranks around the quantiles are picked. Equal cut points
+    collapse a bin instead of failing.
     """
-    probs = F.array(F.lit(1.0 / 3.0), F.lit(2.0 / 3.0))
-    if exact:
-        q = F.percentile(F.col(col), probs)
-    else:
-        q = F.percentile_approx(F.col(col).cast("double"), probs, 10000)
-    cuts = df.select(q.alias("q")).scalar()
+    q1, q2 = exact_quantiles(df, col, ((1, 3), (2, 3)))
     low, mid, high = labels
     x = F.col(col)
-    label = F.when(x <= cuts[0], F.lit(low)).when(x <= cuts[1], F.lit(mid)).when(x.isNotNull(), F.lit(high))
+    label = F.when(x <= F.lit(q1), F.lit(low)).when(x <= F.lit(q2), F.lit(mid)).when(x.isNotNull(), F.lit(high))
     return df.withColumn(out, label)
 
 
+def exact_quantiles(df: DataFrame, col: str, fractions) -> list:
+    """The (a, b) = a/b quantiles of ``col`` with linear interpolation (None for no rows).
+
+    Rows are counted per value (combined before the shuffle), the values are
+    range-partitioned and sorted, and a running count over them is made from one
+    total per partition, so no task sees more than its share of the values. Two
+    numbers per quantile reach the driver.
+    """
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    ordered = materialize(counts.orderBy("x").withColumn("p", F.spark_partition_id()), "quantile-values")
+    totals = ordered.groupBy("p").agg(F.sum("n").alias("t"))
+    n = totals.agg(F.sum("t")).first()[0]
+    if not n:
+        return [None] * len(fractions)
+    before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("p", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("p").orderBy("x")
+    upto = ordered.join(F.broadcast(starts), "p").select("x", (F.col("start") + F.sum("n").over(inside)).alias("upto"))
+    ranks = sorted({k for a, b in fractions for k in ((n - 1) * a // b, min((n - 1) * a // b + 1, n - 1))})
+    at = upto.agg(*[F.min(F.when(F.col("upto") > k, F.col("x"))).alias(f"r{k}") for k in ranks]).first()
+    out = []
+    for a, b in fractions:
+        low = (n - 1) * a // b
+        lo, hi = float(at[f"r{low}"]), float(at[f"r{min(low + 1, n - 1)}"])
+        out.append(lo + (hi - lo) * ((n - 1) * (a / b) - low))
+    return out
+
+
 def popularity_cut_points(df: DataFrame, col: str = "engagement_score") -> DataFrame:
     """The tercile cut points q0..q3 as one row (the ``retbins`` of the binning)."""
-    q = F.percentile(F.col(col), F.array(F.lit(1.0 / 3.0), F.lit(2.0 / 3.0)))
-    return df.agg(F.min(col).cast("double").alias("q0"), q[0].alias("q1"), q[1].alias("q2"),
-                  F.max(col).cast("double").alias("q3"))
+    q1, q2 = (F.lit(q).cast("double") for q in exact_quantiles(df, col, ((1, 3), (2, 3))))
+    return df.agg(F.min(col).cast("double").alias("q0"), F.max(col).cast("double").alias("q3")) \
+        .select("q0", q1.alias("q1"), q2.alias("q2"), "q3")
 
 
 def feed_weights(df: DataFrame, profile: str = "v2", out: str = "weights") -> DataFrame:
@@ -146,8 +187,9 @@ def feed_ordinal(sampled: DataFrame, strategy_name: str, order: str = "weights")
 def sampled_candidates(preds: DataFrame, now, params: FeedParams = FeedParams()) -> DataFrame:
     """Eligible posts, bucketed by recency and capped per bucket."""
     if params.latest_per_post:
-        preds = latest_per_post(preds)
-    elig = feed_eligible(preds, params.engagement_weights, params.require_engagement)
+        elig = current_eligible(preds, params.engagement_weights, params.require_engagement)
+    else:
+        elig = feed_eligible(preds, params.engagement_weights, params.require_engagement)
     bucketed = recency_bucket(elig, now, params.buckets, params.recency_mode)
     return capped_sample(bucketed, "time_ago", params.caps, seed=params.seed)
 
@@ -155,11 +197,10 @@ def sampled_candidates(preds: DataFrame, now, params: FeedParams = FeedParams())
 def weighted_candidates(preds: DataFrame, now, params: FeedParams = FeedParams()) -> DataFrame:
     """Capped sample with popularity and weight.
 
-    The tercile cut points and the rows both read the sample; it is derived
-    from the candidate table that ``capped_sample`` wrote (about 2 x sum(caps)
-    rows), so reading it twice never goes back to the predictions.
+    The tercile cut points and the rows both read the sample, which is written
+    once (at most sum(caps) rows).
     """
-    sample = sampled_candidates(preds, now, params)
+    sample = materialize(sampled_candidates(preds, now, params), "feed-sample")
     return feed_weights(popularity_bins(sample), params.weight_profile)
 
 
@@ -193,11 +234,13 @@ def fill_nulls(df: DataFrame, rank_col: str = "followship_rank", rank_fill=FILL_
     return df.select(*cols)
 
 
-def publish_feed(feed: DataFrame, path: str) -> None:
-    """A10: replace the rows of the feed's strategy, leave other strategies.
+def publish_feed(feed: DataFrame, path: str, strategy_name: str) -> None:
+    """A10: replace the rows of ``strategy_name``, leave other strategies.
 
-    Dynamic partition overwrite on ``strategy_name``: one atomic directory
-    swap per strategy instead of DELETE + INSERT.
+    The strategy's own directory is overwritten, also by an empty feed (which
+    leaves no rows of it). Like any overwrite this deletes, then commits; on an
+    object store readers can meet the moment in between.
     """
-    feed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("strategy_name").parquet(path)
+    own = feed.where(F.col("strategy_name") == strategy_name).drop("strategy_name")
+    own.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .parquet(f"{path.rstrip('/')}/strategy_name={quote(strategy_name, safe=' -_.')}")

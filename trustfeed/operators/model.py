@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustfeed.params import FILL_RANK
+from trustfeed.params import (BOOSTING_DEPTH, BOOSTING_ROUNDS, FILL_RANK, FOREST_DEPTH, FOREST_TREES, LOSS_EVERY,
+                              TRAIN_PARTITIONS)
+from trustfeed.session import materialize
 
 LABEL_COL = "recommend"
 
@@ -49,26 +51,28 @@ def _prep_statement(num: list[str], boo: list[str], cat: list[str]) -> str:
     return "SELECT *, " + ", ".join(parts) + " FROM __THIS__"
 
 
-def build_pipeline(classifier: str = "rf", leaky: bool = True, num_trees: int = 20,
-                   max_depth: int = 6, max_iter: int = 20, seed: int = 1) -> tuple[Pipeline, list[str]]:
+def build_pipeline(classifier: str = "rf", leaky: bool = True, num_trees: int = FOREST_TREES,
+                   max_depth: int | None = None, max_iter: int = BOOSTING_ROUNDS, seed: int = 1) -> tuple[Pipeline, list[str]]:
     num, boo, cat = feature_columns(leaky)
     prep = SQLTransformer(statement=_prep_statement(num, boo, cat))
-    # Codes fitted once on the training data; unseen/NULL values -> extra code
+    # Codes fitted once on the training data; unseen/NULL values -> extra code. One column per code: a tree's
+    # bin limit then doesn't bound the number of categories.
     cat_idx = StringIndexer(inputCols=[f"s_{c}" for c in cat], outputCols=[f"i_{c}" for c in cat],
                             handleInvalid="keep", stringOrderType="alphabetAsc")
+    one_hot = OneHotEncoder(inputCols=[f"i_{c}" for c in cat], outputCols=[f"o_{c}" for c in cat], dropLast=False)
     # Fixed feature order
     inputs = [f"f_{c}" for c in num] + [f"m_{c}" for c in num] + [f"f_{c}" for c in boo] + \
-        [f"i_{c}" for c in cat]
+        [f"o_{c}" for c in cat]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     if classifier == "rf":
         clf = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=num_trees,
-                                     maxDepth=max_depth, seed=seed, maxBins=64)
+                                     maxDepth=max_depth or FOREST_DEPTH, seed=seed)
     elif classifier == "gbt":
-        clf = OneVsRest(classifier=GBTClassifier(maxIter=max_iter, maxDepth=max_depth, seed=seed),
+        clf = OneVsRest(classifier=GBTClassifier(maxIter=max_iter, maxDepth=max_depth or BOOSTING_DEPTH, seed=seed),
                         labelCol="label", featuresCol="features")
     else:
         raise ValueError(classifier)
-    return Pipeline(stages=[prep, cat_idx, assembler, clf]), inputs
+    return Pipeline(stages=[prep, cat_idx, one_hot, assembler, clf]), inputs
 
 
 def label_indexer(label_col: str = LABEL_COL) -> StringIndexer:
@@ -77,15 +81,22 @@ def label_indexer(label_col: str = LABEL_COL) -> StringIndexer:
                          handleInvalid="error")
 
 
+def training_rows(labelled: DataFrame, key: str = "post_id", partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+    """The labelled rows, written once and dealt out by key hash into a stated number of sorted partitions.
+
+    Trees draw their bootstrap samples per partition, by position: with the
+    partitions fixed by the rows alone the fitted model is the same on any
+    cluster and for any split of the input.
+    """
+    cols = [key, LABEL_COL, *NUMERIC_FEATURES, *BOOL_FEATURES, *CATEGORICAL_FEATURES]
+    rows = labelled.where(F.col(LABEL_COL).isNotNull()).select(*dict.fromkeys(cols))
+    return materialize(rows, "training-rows").repartition(partitions, key).sortWithinPartitions(key, F.xxhash64(*rows.columns))
+
+
 def train(labelled: DataFrame, classifier: str = "rf", leaky: bool = True, **kw) -> PipelineModel:
     """Fit the pipeline on rows with a label; the returned model also maps
     the class id back to the label text (``predicted_recommend``)."""
-    rows = labelled.where(F.col(LABEL_COL).isNotNull())
-    # Tree training makes one pass per level over its input: spread it over
-    # at least one partition per core (no-op for inputs already that wide).
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores)
+    rows = training_rows(labelled)
     lab = label_indexer().fit(rows)
     pipeline, _ = build_pipeline(classifier, leaky, **kw)
     fitted = pipeline.fit(lab.transform(rows))
@@ -93,6 +104,11 @@ def train(labelled: DataFrame, classifier: str = "rf", leaky: bool = True, **kw)
     return PipelineModel(stages=[lab, *fitted.stages, decode])
 
 
+def label_codes(model: PipelineModel) -> list[tuple[str, int]]:
+    """(label, code) of the fitted encoder."""
+    return [(label, code) for code, label in enumerate(model.stages[0].labels)]
+
+
 def predict(model: PipelineModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Class id -> label text, per row, on the executors."""
     # stage 0 is the label indexer, which prediction input does not need
@@ -103,34 +119,73 @@ def predict(model: PipelineModel, df: DataFrame, keep: list[str] | None = None)
 
 
 def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
-    """(input column, importance) of the tree ensemble."""
+    """(input column, importance) of the tree ensemble; a category column's codes are added up."""
     assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    sizes = {}
+    for s in model.stages:
+        if hasattr(s, "categorySizes"):
+            sizes = dict(zip(s.getOutputCols(), s.categorySizes))
     clf = model.stages[-2]
-    if hasattr(clf, "featureImportances"):
-        imp = clf.featureImportances.toArray().tolist()
-    else:  # one-vs-rest: mean over the per-class models
-        arrs = [m.featureImportances.toArray() for m in clf.models]
-        imp = (sum(arrs) / len(arrs)).tolist()
-    return list(zip(assembler.getInputCols(), imp))
+    models = [clf] if hasattr(clf, "featureImportances") else clf.models   # one-vs-rest: mean over the classes
+    imp = sum(m.featureImportances.toArray() for m in models) / len(models)
+    out, at = [], 0
+    for c in assembler.getInputCols():
+        n = sizes.get(c, 1)
+        out.append((c, float(imp[at:at + n].sum())))
+        at += n
+    return out
 
 
-def evaluate(model: PipelineModel, df: DataFrame) -> dict:
-    """Accuracy, weighted F1 and log loss on rows with a label."""
+def scored_rows(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Rows with a label, their label code, prediction and (if the classifier gives it) the true class's probability."""
     scored = model.transform(df.where(F.col(LABEL_COL).isNotNull()))
-    out = {}
-    metrics = ("accuracy", "f1", "logLoss") if "probability" in scored.columns else ("accuracy", "f1")
-    for metric in metrics:
-        ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                               probabilityCol="probability", metricName=metric)
-        out[metric] = float(ev.evaluate(scored))
+    p = F.get(vector_to_array("probability"), F.col("label").cast("int")) if "probability" in scored.columns \
+        else F.lit(None).cast("double")
+    return scored.select("post_id", LABEL_COL, "label", "prediction", F.col(f"predicted_{LABEL_COL}").alias("predicted"),
+                         p.alias("p_true"))
+
+
+def evaluate(model: PipelineModel, df: DataFrame) -> dict:
+    """Accuracy, weighted F1 and log loss on rows with a label, from one pass over them.
+
+    The rows are scored once and counted per (label, prediction); all metrics
+    come from those few counts.
+    """
+    counts = scored_rows(model, df).groupBy("label", "prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(-F.log(F.greatest("p_true", F.lit(1e-15)))).alias("loss")).collect()
+    n = sum(r["n"] for r in counts)
+    if not n:
+        return {}
+    hit = sum(r["n"] for r in counts if r["label"] == r["prediction"])
+    f1 = 0.0
+    for c in {r["label"] for r in counts}:
+        actual = sum(r["n"] for r in counts if r["label"] == c)
+        guessed = sum(r["n"] for r in counts if r["prediction"] == c)
+        both = sum(r["n"] for r in counts if r["label"] == c == r["prediction"])
+        f1 += actual * 2 * both / (actual + guessed) / n
+    out = {"accuracy": hit / n, "f1": f1}
+    if all(r["loss"] is not None for r in counts):
+        out["logLoss"] = sum(r["loss"] for r in counts) / n
+    return out
+
+
+def boosting_losses(model: PipelineModel, df: DataFrame, every: int = LOSS_EVERY) -> list[tuple[str, int, float]]:
+    """(label, round, loss) of each one-vs-rest booster on ``df`` after every ``every`` rounds."""
+    rows = df.where(F.col(LABEL_COL).isNotNull())
+    ready = PipelineModel(stages=model.stages[:-2]).transform(rows).select("features", "label")
+    ready = materialize(ready, "loss-rows")
+    out = []
+    for code, booster in enumerate(model.stages[-2].models):
+        labels = ready.select("features", (F.col("label") == code).cast("double").alias(booster.getLabelCol()))
+        losses = booster.evaluateEachIteration(labels)
+        out += [(model.stages[0].labels[code], r, float(losses[r - 1]))
+                for r in range(1, len(losses) + 1) if r % every == 0 or r == 1]
     return out
 
 
 def confusion(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Rows per (true label, predicted label)."""
-    scored = model.transform(df.where(F.col(LABEL_COL).isNotNull()))
-    return scored.groupBy(F.col(LABEL_COL).alias("actual"),
-                          F.col(f"predicted_{LABEL_COL}").alias("predicted")).count()
+    return scored_rows(model, df).groupBy(F.col(LABEL_COL).alias("actual"), "predicted").agg(F.count(F.lit(1)).alias("count"))
 
 
 def save_model(model: PipelineModel, root: str, version: str) -> str:

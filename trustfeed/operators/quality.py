@@ -9,9 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest literal id list passed to ``isin``; larger id sets are joined.
-ISIN_LIMIT = 10_000
-
 
 def value_counts(df: DataFrame, col: str, name: str = "count", keep_null: bool = False) -> DataFrame:
     """D3: rows per value of ``col`` (NULL group dropped unless ``keep_null``)."""
@@ -48,21 +45,10 @@ def column_profile(df: DataFrame) -> DataFrame:
         F.col("non_null").cast("bigint").alias("non_null"), F.col("_rows").alias("rows"))
 
 
-def id_lookup(df: DataFrame, ids, key: str = "post_id") -> DataFrame:
-    """Rows whose ``key`` is in ``ids`` (a small list, or a DataFrame of ids).
-
-    A short literal list becomes an ``IN`` filter pushed to the scan; an id
-    DataFrame becomes a left-semi join (no row duplication, no size limit).
-    """
-    if isinstance(ids, DataFrame):
-        id_col = ids.columns[0]
-        return df.join(ids.select(F.col(id_col).alias("_tf_id")).distinct(),
-                       F.col(key) == F.col("_tf_id"), "left_semi")
-    ids = list(ids)
-    if len(ids) > ISIN_LIMIT:
-        spark = df.sparkSession
-        return id_lookup(df, spark.createDataFrame([(i,) for i in ids], [key]), key)
-    return df.where(F.col(key).isin(ids))
+def id_lookup(df: DataFrame, ids: DataFrame, key: str = "post_id") -> DataFrame:
+    """Rows whose ``key`` is in the first column of ``ids``: a left-semi join."""
+    id_col = ids.columns[0]
+    return df.join(ids.select(F.col(id_col).alias("_tf_id")), F.col(key) == F.col("_tf_id"), "left_semi")
 
 
 def unlabelled(df: DataFrame, label: str = "recommend") -> DataFrame:
@@ -105,25 +91,6 @@ def pretty_size(b: F.Column) -> F.Column:
             .otherwise(F.concat(unit(4), F.lit(" TB"))))
 
 
-def table_columns(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
-    """N1 (columns): table, column, type, position from each table's schema."""
-    rows = []
-    for t in tables:
-        schema = spark.read.parquet(f"{root.rstrip('/')}/{t}.parquet").schema
-        rows += [(t, f.name, f.dataType.simpleString(), i + 1) for i, f in enumerate(schema.fields)]
-    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, position int")
-
-
 def _escape(s: str) -> str:
     import re
     return re.escape(s)
-
-
-def label_codes(df: DataFrame, label: str = "recommend") -> DataFrame:
-    """J1 as a table: each distinct label and its 0-based alphabetical code.
-
-    The window runs over the distinct labels only (a handful of rows).
-    """
-    from pyspark.sql import Window
-    distinct = df.where(F.col(label).isNotNull()).select(label).distinct()
-    return distinct.select(label, (F.row_number().over(Window.orderBy(label)) - 1).cast("bigint").alias("code"))

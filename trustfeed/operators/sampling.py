@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustfeed.functions.columns import uniform01, uniform_u32
+from trustfeed.operators.global_rank import global_row_number
 from trustfeed.session import materialize
 
 # Candidates kept per bucket, as a multiple of its cap, before the exact cut.
@@ -23,7 +24,7 @@ _U32 = 1 << 32
 def _threshold(n: int, cap: int, factor: float) -> int:
     """Keep draws u < threshold: all rows if the bucket fits its cap, else
     about ``factor * cap`` of them (u is uniform on [0, 2^32))."""
-    if n <= cap or factor == float("inf"):
+    if n <= cap:
         return _U32
     return min(_U32, int(math.ceil(_U32 * factor * cap / n)))
 
@@ -35,13 +36,14 @@ def capped_sample(df: DataFrame, bucket_col: str, caps: dict, key: str = "post_i
     The rows kept are the ``cap`` smallest ``md5(key || seed)`` draws of each
     bucket (ties by key), computed without moving whole buckets:
 
-    1. rows per bucket are counted (one number per bucket reaches the driver);
+    1. the keyed rows are written once and counted per bucket (one number per
+       bucket reaches the driver);
     2. a map-side filter keeps the draws below ``oversample * cap / n`` of the
        draw range - about ``oversample * cap`` candidates per bucket,
        whatever the data size - and the candidates are written once;
     3. a bucket with fewer than ``min(cap, n)`` candidates (rare: a
-       binomial tail) is drawn again with a larger threshold, so the result
-       is exact;
+       binomial tail) is drawn again with a threshold four times as large, so
+       the result is exact and candidates stay within a few times the cap;
     4. the cap smallest candidates per bucket are kept by a window over
        the candidates only.
 
@@ -50,7 +52,8 @@ def capped_sample(df: DataFrame, bucket_col: str, caps: dict, key: str = "post_i
     Buckets without a cap are dropped.
     """
     caps = {b: int(c) for b, c in caps.items()}
-    keyed = df.where(F.col(bucket_col).isin(list(caps))).withColumn("_tf_u", uniform_u32(key, seed))
+    keyed = materialize(df.where(F.col(bucket_col).isin(list(caps))).withColumn("_tf_u", uniform_u32(key, seed)),
+                        "sample-keyed")
     counts = {r[0]: r[1] for r in keyed.groupBy(bucket_col).count().collect()}
     factor = {b: oversample for b in caps}
     while True:
@@ -63,7 +66,7 @@ def capped_sample(df: DataFrame, bucket_col: str, caps: dict, key: str = "post_i
         if not short:
             break
         for b in short:
-            factor[b] = factor[b] * 4 if factor[b] < 64 else float("inf")
+            factor[b] *= 4
     max_cap = max(caps.values())
     cap_map = F.create_map(*[x for b, c in caps.items() for x in (F.lit(b), F.lit(c))])
     w = Window.partitionBy(bucket_col).orderBy(F.col("_tf_u").asc(), F.col(key).asc())
@@ -92,27 +95,22 @@ def uniform_sample(df: DataFrame, n: int, key: str = "post_id", seed: str = "pre
 
 
 def train_test_split(df: DataFrame, test_fraction: float = 0.25, key: str = "post_id",
-                     seed: str = "1", label_col: str | None = "recommend",
-                     flag: str = "is_test") -> DataFrame:
-    """I4: mark a repeatable ``test_fraction`` of rows as test.
-
-    The draw is per row on the hash key, so every label keeps about the same
-    share in both parts (stratified in expectation) without any shuffle. With
-    ``label_col`` the label is mixed into the key so that strata draw
-    independently.
+                     seed: str = "1", label_col: str = "recommend", flag: str = "is_test") -> DataFrame:
+    """I4: mark ``test_fraction`` of the rows of every label as test, exactly (half a row rounds up).
+
+    Rows are numbered in the order (label, draw, key) by the distributed global
+    numbering; within a label the first ``floor(fraction * rows + 1/2)`` are
+    test. NULL is a label of its own. ``key`` must be unique.
     """
-    k = F.concat_ws("|", F.col(key), F.coalesce(F.col(label_col), F.lit(""))) if label_col else F.col(key)
-    return df.withColumn(flag, uniform01(k, seed) < F.lit(float(test_fraction)))
-
-
-def stratified_fractions(counts: dict, targets: dict, digits: int = 2) -> dict:
-    """Fraction per label = round(target / count, digits), capped at 1."""
-    out = {}
-    for label, target in targets.items():
-        c = counts.get(label, 0)
-        if c:
-            out[label] = min(1.0, round(target / c, digits))
-    return out
+    drawn = df.withColumn("_tf_u", uniform_u32(key, seed))
+    at = global_row_number(drawn, [F.col(label_col).asc_nulls_first(), F.col("_tf_u"), F.col(key)], "_tf_at")
+    at = materialize(at, "split-order")
+    # one row per label
+    labels = at.groupBy(F.col(label_col).alias("_tf_label")).agg(
+        F.count(F.lit(1)).alias("_tf_n"), F.min("_tf_at").alias("_tf_first"))
+    out = at.join(F.broadcast(labels), F.col(label_col).eqNullSafe(F.col("_tf_label")))
+    test = F.col("_tf_at") - F.col("_tf_first") < F.floor(F.col("_tf_n") * F.lit(float(test_fraction)) + 0.5)
+    return out.withColumn(flag, test).drop("_tf_u", "_tf_at", "_tf_label", "_tf_n", "_tf_first")
 
 
 def stratified_sample(df: DataFrame, label_col: str, targets: dict, key: str = "post_id",

@@ -11,10 +11,6 @@ from trustfeed.session import materialize
 MAX_COLUMNS = {"age": "max_age", "mirrors": "max_mirrors", "collects": "max_collects",
                "comments": "max_comments"}
 
-# Largest top-k that is broadcast as a flag table; above it the flag is joined
-# by shuffle.
-BROADCAST_TOP_K_LIMIT = 1_000_000
-
 
 def author_maxima(df: DataFrame, rank_col: str = "followship_rank",
                   zero_to_null: bool = True) -> DataFrame:
@@ -86,8 +82,6 @@ def heuristic_labels(scored: DataFrame, params: LabelParams = LabelParams(),
     rank >= no_rank, else NULL (later rules take precedence, as assigned)."""
     top = top_posts(scored, params.yes_rank, params.top_k, rank_col, key=key) \
         .select(F.col(key).alias("_tf_top_id"), F.lit(True).alias("_tf_top"))
-    if params.top_k <= BROADCAST_TOP_K_LIMIT:
-        top = F.broadcast(top)
     j = scored.join(top, scored[key] == top["_tf_top_id"], "left").drop("_tf_top_id")
     label = (F.when(F.col("_tf_top"), F.lit("YES"))
              .when(F.col(rank_col) <= params.yes_rank, F.lit("MAYBE"))

@@ -75,9 +75,15 @@ def view_profiles(profile: DataFrame) -> DataFrame:
                           F.col("metadata_block_timestamp").alias("created_at"))
 
 
-def view_follow_counts(follows: DataFrame) -> DataFrame:
-    """Follows per profile; the NULL profile (unmatched wallets) is a group."""
-    return follows.groupBy("profile_id").agg(F.count(F.lit(1)).alias("count"))
+def view_follow_counts(follower: DataFrame, profile: DataFrame) -> DataFrame:
+    """Follows per follower profile; the NULL profile (unmatched wallets) is a group.
+
+    Follows are counted per wallet before the join and summed per profile after it.
+    """
+    per_wallet = follower.groupBy("address").agg(F.count(F.lit(1)).alias("n"))
+    p = profile.select("profile_id", "owned_by")
+    return per_wallet.join(p, F.col("address") == F.col("owned_by"), "left") \
+        .groupBy("profile_id").agg(F.sum("n").alias("count"))
 
 
 def collected_posts(stats: DataFrame, profile_post: DataFrame, limit: int | None = None) -> DataFrame:

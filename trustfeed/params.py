@@ -66,6 +66,15 @@ STRATIFIED_TARGETS = {"YES": 80, "MAYBE": 20}
 # Train/test split share and seed.
 TEST_FRACTION = 0.25
 SPLIT_SEED = "1"
+# Boosting rounds, trees of the forest, their depth, and rounds between loss reports.
+BOOSTING_ROUNDS = 100
+FOREST_TREES = 100
+BOOSTING_DEPTH = 4
+FOREST_DEPTH = 6
+LOSS_EVERY = 10
+# Training rows are dealt to this many partitions by key and sorted, so that a
+# fitted model doesn't depend on the cluster or on how its input was split.
+TRAIN_PARTITIONS = 32
 # ----------------------------------------------------------- end fixed values
 
 

@@ -13,15 +13,14 @@ from pyspark.sql import functions as F
 
 from trustfeed.operators import feed, features, model, quality, sampling, views
 from trustfeed.operators.dedupe import dedupe_by_key, duplicate_keys, latest_per_post
-from trustfeed.operators.quality import label_codes
 from trustfeed.operators.sampling import weighted_sample
 from trustfeed import schemas
 from trustfeed.operators.posts import format_timestamp, post_flags, posts_with_stats
 from trustfeed.operators.scoring import top_posts
 from trustfeed.operators.trust import latest_snapshot, post_author_trust, profile_trust_by_handle
-from trustfeed.params import STRATIFIED_TARGETS, FeedParams
+from trustfeed.params import LABELS, STRATIFIED_TARGETS, FeedParams
 from trustfeed.plans import chain
-from trustfeed.session import scratch_path
+from trustfeed.session import materialize, scratch_path
 from trustfeed.sources import increments
 from trustfeed.streaming import increments as stream_inc
 from trustfeed.sources.driver_tables import SourceTables
@@ -38,18 +37,7 @@ def register(name: str):
 
 
 def _src(spark: SparkSession, sf_dir: str) -> SourceTables:
-    """One set of table readers per session and data directory (the Parquet
-    footer job of each table runs once, not once per query). The cache lives
-    on the session object, so a new session never sees readers of a stopped
-    one."""
-    cache = getattr(spark, "_trustfeed_sources", None)
-    if cache is None:
-        cache = {}
-        spark._trustfeed_sources = cache
-    key = sf_dir.rstrip("/")
-    if key not in cache:
-        cache[key] = SourceTables(spark, sf_dir)
-    return cache[key]
+    return SourceTables(spark, sf_dir)
 
 
 # ------------------------------------------------------------ trust
@@ -79,25 +67,25 @@ def q_posts_with_stats(spark, sf_dir):
 # ------------------------------------------------ score and labels
 @register("author_maxima")
 def q_author_maxima(spark, sf_dir):
-    return chain.scored_posts(_src(spark, sf_dir)).select(
+    return chain.scored_posts(_src(spark, sf_dir), columns=()).select(
         "post_id", "followship_rank", "max_age", "max_mirrors", "max_collects", "max_comments")
 
 
 @register("post_score")
 def q_post_score(spark, sf_dir):
-    return chain.scored_posts(_src(spark, sf_dir)).select(*chain.score_columns())
+    return chain.scored_posts(_src(spark, sf_dir), columns=("followship_score",)).select(*chain.score_columns())
 
 
 @register("top_posts")
 def q_top_posts(spark, sf_dir):
     p = chain.FIXTURE_LABELS
-    return top_posts(chain.scored_posts(_src(spark, sf_dir)), p.yes_rank, p.top_k) \
+    return top_posts(chain.scored_posts(_src(spark, sf_dir), columns=("followship_score",)), p.yes_rank, p.top_k) \
         .select(*chain.score_columns())
 
 
 @register("heuristic_labels")
 def q_heuristic_labels(spark, sf_dir):
-    return chain.labelled_posts(_src(spark, sf_dir)).select(
+    return chain.labelled_posts(_src(spark, sf_dir), columns=()).select(
         "post_id", "followship_rank", "post_score", "recommend")
 
 
@@ -137,7 +125,7 @@ def q_view_profiles(spark, sf_dir):
 @register("view_follow_counts")
 def q_view_follow_counts(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return views.view_follow_counts(views.view_follows(src.follower(), src.profile()))
+    return views.view_follow_counts(src.follower(), src.profile())
 
 
 # ------------------------------------------------- collect samples
@@ -156,7 +144,7 @@ def q_collect_currency(spark, sf_dir):
 # ------------------------------------------------ quality
 @register("label_counts")
 def q_label_counts(spark, sf_dir):
-    return quality.value_counts(chain.labelled_posts(_src(spark, sf_dir)), "recommend")
+    return quality.value_counts(chain.labelled_posts(_src(spark, sf_dir), columns=()), "recommend")
 
 
 @register("duplicate_keys")
@@ -167,12 +155,12 @@ def q_duplicate_keys(spark, sf_dir):
 
 @register("rank_range")
 def q_rank_range(spark, sf_dir):
-    return quality.rank_range(chain.posts_with_trust(_src(spark, sf_dir)))
+    return quality.rank_range(chain.posts_with_trust(_src(spark, sf_dir), columns=("followship_rank",)))
 
 
 @register("column_profile")
 def q_column_profile(spark, sf_dir):
-    return quality.column_profile(chain.scored_posts(_src(spark, sf_dir)).select(*chain.score_columns()))
+    return quality.column_profile(chain.scored_posts(_src(spark, sf_dir), columns=("followship_score",)).select(*chain.score_columns()))
 
 
 @register("id_lookup")
@@ -185,7 +173,7 @@ def q_id_lookup(spark, sf_dir):
 
 @register("unlabelled_posts")
 def q_unlabelled_posts(spark, sf_dir):
-    return quality.unlabelled(chain.labelled_posts(_src(spark, sf_dir))).select(
+    return quality.unlabelled(chain.labelled_posts(_src(spark, sf_dir), columns=())).select(
         "post_id", "followship_rank", "post_score")
 
 
@@ -200,7 +188,7 @@ def _history(spark, sf_dir):
 
 
 def _eligible(spark, sf_dir):
-    return feed.feed_eligible(latest_per_post(_history(spark, sf_dir)))
+    return feed.current_eligible(_history(spark, sf_dir))
 
 
 @register("fill_nulls")
@@ -210,12 +198,12 @@ def q_fill_nulls(spark, sf_dir):
 
 @register("latest_per_post")
 def q_latest_per_post(spark, sf_dir):
-    return latest_per_post(_history(spark, sf_dir)).select("post_id", "dtime", "recommend")
+    return latest_per_post(_history(spark, sf_dir).select("post_id", "dtime", "recommend"))
 
 
 @register("engagement_score")
 def q_engagement_score(spark, sf_dir):
-    return chain.current_predictions(_src(spark, sf_dir)).select(
+    return chain.current_predictions(_src(spark, sf_dir), chain.FEED_INPUTS).select(
         "post_id", feed.engagement_expr().alias("engagement_score"))
 
 
@@ -389,19 +377,22 @@ def q_uniform_sample(spark, sf_dir):
 
 @register("train_test_split")
 def q_train_test_split(spark, sf_dir):
-    return chain.training_frame(_src(spark, sf_dir)).where(F.col("recommend").isNotNull()) \
+    return chain.split_labels(_src(spark, sf_dir)).where(F.col("recommend").isNotNull()) \
         .select("post_id", "recommend", "is_test")
 
 
 @register("stratified_sample")
 def q_stratified_sample(spark, sf_dir):
-    lab = chain.labelled_posts(_src(spark, sf_dir)).select("post_id", "recommend", "post_score")
+    lab = chain.labelled_posts(_src(spark, sf_dir), columns=()).select("post_id", "recommend", "post_score")
     return sampling.stratified_sample(lab, "recommend", STRATIFIED_TARGETS, seed="0")
 
 
 @register("label_encoding")
 def q_label_encoding(spark, sf_dir):
-    return label_codes(chain.labelled_posts(_src(spark, sf_dir)))
+    # the codes of the encoder that training fits
+    rows = chain.labelled_posts(_src(spark, sf_dir), columns=()).where(F.col("recommend").isNotNull())
+    fitted = model.label_indexer().fit(materialize(rows.select("recommend"), "labels"))
+    return spark.createDataFrame([(label, i) for i, label in enumerate(fitted.labels)], "recommend string, code bigint")
 
 
 @register("predict_labels")
@@ -411,7 +402,7 @@ def q_predict_labels(spark, sf_dir):
 
 @register("predict_labels_gbt")
 def q_predict_labels_gbt(spark, sf_dir):
-    return chain.model_predictions(_src(spark, sf_dir), "gbt", max_iter=10, max_depth=4) \
+    return chain.model_predictions(_src(spark, sf_dir), "gbt") \
         .select("post_id", "recommend", "dtime")
 
 
@@ -425,11 +416,53 @@ def q_feature_importance(spark, sf_dir):
 def q_model_metrics(spark, sf_dir):
     m, tf = chain.trained_model(_src(spark, sf_dir))
     rows = []
-    for split, part in (("train", tf.where(~F.col("is_test"))), ("test", tf.where(F.col("is_test")))):
+    for split, part in _splits(tf):
         rows += [(split, k, v) for k, v in model.evaluate(m, part).items()]
     return spark.createDataFrame(rows, "split string, metric string, value double")
 
 
+def _splits(tf: DataFrame):
+    return (("train", tf.where(~F.col("is_test"))), ("test", tf.where(F.col("is_test"))))
+
+
+@register("model_metrics_without_rule_columns")
+def q_model_metrics_without_rule_columns(spark, sf_dir):
+    """Metrics of a model that doesn't see the columns the labels were made from."""
+    m, tf = chain.trained_model(_src(spark, sf_dir), leaky=False)
+    rows = [(split, k, v) for split, part in _splits(tf) for k, v in model.evaluate(m, part).items()]
+    return spark.createDataFrame(rows, "split string, metric string, value double")
+
+
+@register("boosting_losses")
+def q_boosting_losses(spark, sf_dir):
+    """Loss of the boosted model on training and test rows during training."""
+    m, tf = chain.trained_model(_src(spark, sf_dir), "gbt")
+    rows = [(split, *x) for split, part in _splits(tf) for x in model.boosting_losses(m, part)]
+    return spark.createDataFrame(rows, "split string, label string, round int, loss double")
+
+
+@register("confusion_totals")
+def q_confusion_totals(spark, sf_dir):
+    """Row sums of the confusion matrix: test rows per true label."""
+    m, tf = chain.trained_model(_src(spark, sf_dir))
+    return model.confusion(m, tf.where(F.col("is_test"))).groupBy("actual").agg(F.sum("count").alias("rows"))
+
+
+@register("prediction_totals")
+def q_prediction_totals(spark, sf_dir):
+    """Sum of the prediction histogram, and predictions outside the label set."""
+    h = quality.value_counts(chain.model_predictions(_src(spark, sf_dir)), "recommend", keep_null=True)
+    known = F.coalesce(F.col("recommend").isin(*LABELS), F.lit(False))
+    return h.agg(F.sum("count").alias("posts"), F.sum(F.when(known, 0).otherwise(F.col("count"))).alias("unknown"))
+
+
+@register("predicted_label_sample")
+def q_predicted_label_sample(spark, sf_dir):
+    """Unlabelled posts -> predicted labels -> joined back to the posts -> sample per predicted label."""
+    return sampling.stratified_sample(chain.predicted_unlabelled(_src(spark, sf_dir)), "recommend",
+                                      STRATIFIED_TARGETS, seed="0")
+
+
 @register("confusion_matrix")
 def q_confusion_matrix(spark, sf_dir):
     m, tf = chain.trained_model(_src(spark, sf_dir))
@@ -461,7 +494,8 @@ def q_stream_increment(spark, sf_dir):
     runs = _yearly_runs(src.profile_post())
     runs.where(F.col("dtime") < 19960101000000).write.mode("append").partitionBy("dtime").parquet(root)
     schema = spark.read.parquet(root).schema
-    stats = src.publication_stats()
+    # written once: every micro-batch joins it
+    stats = materialize(src.publication_stats(), "stats")
 
     def transform(batch):
         return posts_with_stats(post_flags(batch, chain.FIXTURE_FEATURE_TIME), stats)
@@ -493,18 +527,36 @@ def q_feed_publish(spark, sf_dir):
     table = scratch_path(spark, "feed")
     proto = feed.generate_feed(hist, chain.FEED_NOW, FeedParams.prototype(), order="recent") \
         .withColumn("strategy_name", F.lit("ml-recent"))
-    main = feed.generate_feed(hist, chain.FEED_NOW, FeedParams())
-    feed.publish_feed(proto, table)
-    feed.publish_feed(main, table)
-    feed.publish_feed(main, table)
+    p = FeedParams()
+    main = feed.generate_feed(hist, chain.FEED_NOW, p)
+    feed.publish_feed(proto, table, "ml-recent")
+    feed.publish_feed(main, table, p.strategy_name)
+    feed.publish_feed(main, table, p.strategy_name)
+    return spark.read.parquet(table)
+
+
+@register("feed_publish_empty")
+def q_feed_publish_empty(spark, sf_dir):
+    """Publish two strategies, then republish one with an empty feed: only the other is left."""
+    p = FeedParams()
+    table = scratch_path(spark, "feed")
+    main = feed.generate_feed(_history(spark, sf_dir), chain.FEED_NOW, p)
+    feed.publish_feed(main, table, p.strategy_name)
+    other = main.withColumn("strategy_name", F.lit("ml-other"))
+    feed.publish_feed(other, table, "ml-other")
+    feed.publish_feed(other.where("v < 0"), table, "ml-other")
     return spark.read.parquet(table)
 
 
 @register("prediction_sink")
 def q_prediction_sink(spark, sf_dir):
-    """Model predictions written to dtime=<run>/recommend=<label> and read back."""
-    preds = chain.model_predictions(_src(spark, sf_dir)).drop("dtime")
+    """One run's labels written to dtime=<run>/recommend=<label>, written again with
+    other labels, and read back: only the second writing is there."""
+    preds = chain.labelled_posts(_src(spark, sf_dir), columns=()) \
+        .select("post_id", "followship_rank", "recommend").where(F.col("recommend").isNotNull())
+    preds = materialize(preds, "run")
     root = scratch_path(spark, "predictions")
+    increments.save_predictions(preds.withColumn("recommend", F.lit("FIRST")), root, 20240201000000)
     increments.save_predictions(preds, root, 20240201000000)
     return increments.read_increment(spark, root, 20240101000000)
 
@@ -514,7 +566,7 @@ def q_prediction_sink(spark, sf_dir):
 def q_posts_with_labels(spark, sf_dir):
     """Every post with its label columns (left join on the post id)."""
     src = _src(spark, sf_dir)
-    rec = chain.labelled_posts(src).select(
+    rec = chain.labelled_posts(src, columns=("followship_score",)).select(
         F.col("post_id").alias("recommend_post_id"), "recommend", "followship_rank",
         "followship_score", "post_score")
     posts = src.profile_post().select("post_id", "profile_id", "language", "main_content_focus",

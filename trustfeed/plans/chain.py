@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustfeed.operators.posts import post_feature_frame, post_flags, posts_with_stats
+from trustfeed.operators.posts import STATS_TO_FEATURES, post_feature_frame, post_flags, posts_with_stats
 from trustfeed.operators.scoring import author_maxima, heuristic_labels, with_post_score
 from trustfeed.operators.trust import profile_trust_features, trust_rank
 from trustfeed.params import LabelParams, TRUST_STRATEGY
@@ -21,10 +21,17 @@ FIXTURE_FEATURE_TIME = "2002-01-01 00:00:00"
 FIXTURE_LABELS = LabelParams(yes_rank=100, no_rank=1000, top_k=100)
 
 
-def post_features(src: SourceTables, feature_time=FIXTURE_FEATURE_TIME) -> DataFrame:
-    """Feature-named post frame (posts + stats) at ``feature_time``."""
+def post_features(src: SourceTables, feature_time=FIXTURE_FEATURE_TIME, columns=None) -> DataFrame:
+    """Feature-named post frame (posts + stats) at ``feature_time``.
+
+    With ``columns`` only these are made; the counters are joined only if one of
+    them is asked for.
+    """
     flags = post_flags(src.profile_post(), feature_time)
-    return post_feature_frame(posts_with_stats(flags, src.publication_stats()))
+    if columns is not None and not set(columns) & set(STATS_TO_FEATURES.values()):
+        return flags.select(*[c for c in flags.columns if c in columns])
+    feats = post_feature_frame(posts_with_stats(flags, src.publication_stats()))
+    return feats if columns is None else feats.select(*[c for c in feats.columns if c in columns])
 
 
 def ranked_profiles(src: SourceTables, strategy=TRUST_STRATEGY) -> DataFrame:
@@ -32,27 +39,37 @@ def ranked_profiles(src: SourceTables, strategy=TRUST_STRATEGY) -> DataFrame:
 
 
 def posts_with_trust(src: SourceTables, feature_time=FIXTURE_FEATURE_TIME,
-                     strategy=TRUST_STRATEGY) -> DataFrame:
+                     strategy=TRUST_STRATEGY, columns=None) -> DataFrame:
     """Post features plus the author's followship rank and score (left join).
 
-    This is the feature-lookup output of the prediction stage; it is written
-    once because the per-author maxima and the rows themselves both read it.
+    ``columns``: those to make (default all); the caller names them, so that a
+    written copy holds no others.
     """
-    feats = post_features(src, feature_time)
     trust = profile_trust_features(ranked_profiles(src, strategy))
-    return materialize(feats.join(trust, "profile_id", "left"), "features")
+    wanted = None if columns is None else {*columns, "profile_id"}
+    joined = post_features(src, feature_time, wanted).join(trust, "profile_id", "left")
+    return joined if columns is None else joined.select(*[c for c in joined.columns if c in columns])
+
+
+# What the score is made of.
+SCORE_INPUTS = ("post_id", "profile_id", "followship_rank", "age", "mirrors", "collects", "comments")
 
 
 def scored_posts(src: SourceTables, feature_time=FIXTURE_FEATURE_TIME,
-                 strategy=TRUST_STRATEGY, zero_to_null: bool = True) -> DataFrame:
-    """Posts with author maxima and post score."""
-    return with_post_score(author_maxima(posts_with_trust(src, feature_time, strategy),
-                                         zero_to_null=zero_to_null))
+                 strategy=TRUST_STRATEGY, zero_to_null: bool = True, columns=None) -> DataFrame:
+    """Posts with author maxima and post score.
+
+    The features are written once because the maxima and the rows both read
+    them: the score's inputs and ``columns`` (default: all).
+    """
+    wanted = None if columns is None else {*SCORE_INPUTS, *columns}
+    feats = materialize(posts_with_trust(src, feature_time, strategy, wanted), "features")
+    return with_post_score(author_maxima(feats, zero_to_null=zero_to_null))
 
 
 def labelled_posts(src: SourceTables, feature_time=FIXTURE_FEATURE_TIME,
-                   params: LabelParams = FIXTURE_LABELS, strategy=TRUST_STRATEGY) -> DataFrame:
-    return heuristic_labels(scored_posts(src, feature_time, strategy), params)
+                   params: LabelParams = FIXTURE_LABELS, strategy=TRUST_STRATEGY, columns=None) -> DataFrame:
+    return heuristic_labels(scored_posts(src, feature_time, strategy, columns=columns), params)
 
 
 def score_columns() -> list[str]:
@@ -77,22 +94,28 @@ PREDICTION_COLUMNS = [
 ]
 
 
-def current_predictions(src: SourceTables) -> DataFrame:
-    """Labelled posts as a prediction run: B10 null filling plus the run id."""
+# What the feed is made of.
+FEED_INPUTS = ("post_id", "is_original", "is_content_warning", "upvotes", "mirrors", "comments", "collects", "recommend")
+
+
+def current_predictions(src: SourceTables, columns=PREDICTION_COLUMNS) -> DataFrame:
+    """Labelled posts as a prediction run: B10 null filling plus the run id.
+
+    A missing label stays missing, so that it can't pass for one that isn't NO.
+    """
     from trustfeed.operators.feed import fill_nulls
 
-    lab = labelled_posts(src).select(*PREDICTION_COLUMNS, "block_timestamp")
+    lab = labelled_posts(src, columns=(*columns, "block_timestamp")).select(*columns, "block_timestamp")
     run = F.element_at(F.array(*[F.lit(d) for d in RUN_DTIMES]),
                        (F.month("block_timestamp") % 4 + 1).cast("int"))
-    return materialize(fill_nulls(lab.withColumn("dtime", run.cast("bigint")).drop("block_timestamp")),
-                       "predictions")
+    return fill_nulls(lab.withColumn("dtime", run.cast("bigint")).drop("block_timestamp"), skip=("recommend",))
 
 
-def prediction_history(src: SourceTables) -> DataFrame:
+def prediction_history(src: SourceTables, columns=FEED_INPUTS) -> DataFrame:
     """Current run plus an older run holding a repeatable seventh of the posts."""
     from trustfeed.functions.columns import uniform_u32
 
-    cur = current_predictions(src)
+    cur = materialize(current_predictions(src, columns), "predictions")
     prev = cur.where(uniform_u32("post_id", "prev") % 7 == 0) \
         .withColumn("dtime", F.lit(PREVIOUS_RUN).cast("bigint"))
     return cur.unionByName(prev)
@@ -154,13 +177,22 @@ def lookup_instances(src: SourceTables, per_row_time: bool = False) -> DataFrame
 def training_frame(src: SourceTables) -> DataFrame:
     """Labelled posts with a repeatable, label-stratified test flag (I4).
 
-    Written once: fitting makes several passes over its input (label and
-    category indexers, split candidates, bagging), and prediction reads the
-    same rows again.
+    Written once: training, prediction and evaluation read the same rows.
     """
+    from trustfeed.operators.model import BOOL_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES
     from trustfeed.operators.sampling import train_test_split
     from trustfeed.params import SPLIT_SEED, TEST_FRACTION
-    return materialize(train_test_split(labelled_posts(src), TEST_FRACTION, seed=SPLIT_SEED), "training")
+    cols = [*PREDICTION_COLUMNS, *NUMERIC_FEATURES, *BOOL_FEATURES, *CATEGORICAL_FEATURES, "block_timestamp"]
+    lab = labelled_posts(src, columns=cols).select(*dict.fromkeys(cols))
+    return materialize(train_test_split(lab, TEST_FRACTION, seed=SPLIT_SEED), "training")
+
+
+def split_labels(src: SourceTables) -> DataFrame:
+    """post_id, label and test flag only."""
+    from trustfeed.operators.sampling import train_test_split
+    from trustfeed.params import SPLIT_SEED, TEST_FRACTION
+    lab = labelled_posts(src, columns=("post_id",)).select("post_id", "recommend")
+    return train_test_split(lab, TEST_FRACTION, seed=SPLIT_SEED)
 
 
 def trained_model(src: SourceTables, classifier: str = "rf", **kw):
@@ -179,4 +211,17 @@ def model_predictions(src: SourceTables, classifier: str = "rf", **kw) -> DataFr
     pred = predict(model, tf.drop("recommend"), keep=keep)
     run = F.element_at(F.array(*[F.lit(d) for d in RUN_DTIMES]),
                        (F.month("block_timestamp") % 4 + 1).cast("int"))
-    return fill_nulls(pred.withColumn("dtime", run.cast("bigint")).drop("block_timestamp"))
+    return fill_nulls(pred.withColumn("dtime", run.cast("bigint")).drop("block_timestamp"), skip=("recommend",))
+
+
+def predicted_unlabelled(src: SourceTables, classifier: str = "rf", **kw) -> DataFrame:
+    """J5 + C6 on the posts the rule left unlabelled: posts with their predicted label."""
+    from trustfeed.operators.model import predict
+    from trustfeed.operators.quality import unlabelled
+
+    model, tf = trained_model(src, classifier, **kw)
+    labels = predict(model, unlabelled(tf).drop("recommend")).select(
+        F.col("post_id").alias("recommend_post_id"), "recommend")
+    posts = src.profile_post().select("post_id", "profile_id", "language", "main_content_focus")
+    return posts.join(materialize(labels, "predicted-labels"), F.col("post_id") == F.col("recommend_post_id")) \
+        .drop("recommend_post_id")

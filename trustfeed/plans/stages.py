@@ -58,7 +58,7 @@ def post_features_stage(spark: SparkSession, posts_root: str, stats: DataFrame,
     if not has_rows(posts):
         return False
     feats = post_feature_frame(posts_with_stats(post_flags(posts, feature_time), stats))
-    write_feature_table(ingest_features(feats, "post_id", feature_time, POST_FEATURES), feature_table)
+    write_feature_table(ingest_features(feats, "post_id", feature_time, POST_FEATURES), feature_table, feature_time)
     save_cursor(next_watermark(posts, "dtime"), state_path)
     return True
 
@@ -69,7 +69,7 @@ def trust_features_stage(globaltrust: DataFrame, profile: DataFrame, feature_tab
     ranked = trust_rank(globaltrust, profile, strategy)
     write_feature_table(ingest_features(ranked, "profile_id", feature_time, PROFILE_FEATURES,
                                         {"followship_rank": "rank", "followship_score": "score"}),
-                        feature_table)
+                        feature_table, feature_time)
 
 
 def scored_instances(spark: SparkSession, posts: DataFrame, post_table: str, profile_table: str,
@@ -102,7 +102,7 @@ def prediction_stage(spark: SparkSession, posts_root: str, post_table: str, prof
     if not has_rows(posts):
         return None
     scored = scored_instances(spark, posts, post_table, profile_table, lookup_time, start_time)
-    preds = fill_nulls(predict(model, scored, keep=PREDICTION_KEEP).drop("prediction"))
+    preds = fill_nulls(predict(model, scored, keep=PREDICTION_KEEP).drop("prediction"), skip=("recommend",))
     path = save_predictions(preds, out_root, run_dtime)
     save_cursor(next_watermark(posts, "dtime"), state_path)
     return path
@@ -114,5 +114,5 @@ def feed_stage(spark: SparkSession, predictions_root: str, now, feed_table: str,
     ranked feed published for ``params.strategy_name``."""
     preds = spark.read.parquet(predictions_root)
     feed = generate_feed(preds, now, params)
-    publish_feed(feed, feed_table)
+    publish_feed(feed, feed_table, params.strategy_name)
     return spark.read.parquet(feed_table).where(F.col("strategy_name") == params.strategy_name)

@@ -20,7 +20,6 @@ CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -51,8 +50,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster this is ``spark.checkpoint.dir`` (or the directory already set
-    on the SparkContext). Only when neither exists (local tests) a fresh
-    scratch folder is created and registered.
+    on the SparkContext); without one the call fails, since executors could not
+    see a folder of the driver. In a one-process local session a fresh scratch
+    folder is created and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="trustfeed-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -87,3 +89,9 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table folder that this library wrote, in whatever store it lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -1,12 +1,13 @@
 """Incremental ingestion by cursor, run snapshots, prediction sink.
 
-A cursor (watermark) is one scalar per table and stage, kept in a one-row
-Parquet state table next to the data; it is computed from the data that was
-actually written, never from a second scan of the source.
+A cursor (watermark) is one scalar per table and stage, kept in a small
+Parquet state table next to the data, one row per run; it is computed from the
+data that was actually written, never from a second scan of the source.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +37,20 @@ def snapshot_path(root: str, run_dtime: int) -> str:
 def write_snapshot(df: DataFrame, root: str, run_dtime: int) -> str:
     """A2: write one run's rows to its own ``dtime=`` directory (overwrite only it)."""
     path = snapshot_path(root, run_dtime)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return path
 
 
+def read_if_written(spark: SparkSession, path: str):
+    """The Parquet table at ``path``, or None if nothing was ever committed there. Other errors are raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def read_increment(spark: SparkSession, root: str, watermark: int = DEFAULT_PARTITION_WATERMARK,
                    schema=None) -> DataFrame:
     """A4: runs with ``dtime > watermark``; pruned on the directory listing."""
@@ -50,23 +61,21 @@ def read_increment(spark: SparkSession, root: str, watermark: int = DEFAULT_PART
 
 
 def load_cursor(spark: SparkSession, state_path: str, default):
-    """Read the stored cursor (one row) or return ``default`` on the first run."""
-    try:
-        row = spark.read.parquet(state_path).agg(F.max("watermark").alias("w")).first()
-    except Exception:  # noqa: BLE001 - missing state table on the first run
-        return default
+    """The newest stored cursor, or ``default`` on the first run (no state table)."""
+    state = read_if_written(spark, state_path)
+    row = None if state is None else state.agg(F.max("watermark").alias("w")).first()
     return default if row is None or row["w"] is None else row["w"]
 
 
 def save_cursor(cursor_df: DataFrame, state_path: str) -> None:
-    """Overwrite the one-row state table with the new cursor."""
-    cursor_df.coalesce(1).write.mode("overwrite").parquet(state_path)
+    """Add the new cursor beside the old ones; the newest counts, so a crash here leaves the old one valid."""
+    cursor_df.coalesce(1).write.mode("append").parquet(state_path)
 
 
 def save_predictions(preds: DataFrame, root: str, run_dtime: int) -> str:
-    """``root/dtime=<run>/recommend=<label>/`` (overwrite that run only)."""
+    """``root/dtime=<run>/recommend=<label>/``; the whole run directory is replaced, whatever labels it held."""
     path = snapshot_path(root, run_dtime)
-    preds.write.mode("overwrite").partitionBy("recommend").parquet(path)
+    preds.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("recommend").parquet(path)
     return path
 
 

@@ -19,24 +19,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from trustfeed.operators.dedupe import latest_per_post
-
-
-# Key-hash buckets of the stored output when de-duplicating across batches.
-KEY_BUCKETS = 64
+from trustfeed.session import drop_path, materialize
+from trustfeed.sources.increments import read_if_written
 
 
 def run_increment(spark: SparkSession, source_root: str, schema: StructType, checkpoint: str,
                   out_root: str, transform: Callable[[DataFrame], DataFrame],
                   max_files_per_trigger: int | None = None, dedupe_key: str | None = None,
-                  time_col: str = "dtime", key_buckets: int = KEY_BUCKETS) -> None:
+                  time_col: str = "dtime") -> None:
     """Process all not-yet-seen files below ``source_root`` and stop.
 
     ``schema`` must include the partition column (``dtime``). With
     ``dedupe_key`` (L2) a batch keeps the newest row per key and drops keys
-    already stored with an equal or newer ``time_col``. The stored output is
-    partitioned by a hash bucket of the key, and a batch reads only the
-    buckets it touches (at most ``key_buckets`` numbers reach the driver), so
-    the cost of a small batch does not grow with the stored history.
+    already stored with an equal or newer ``time_col``. What is stored is known
+    from a state table beside the output with one row per key (its newest
+    time): batch n reads version n-1 and writes version n before its output, so a
+    batch replayed after a failure starts from the same state again. The
+    two newest versions are kept.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -49,14 +48,19 @@ def run_increment(spark: SparkSession, source_root: str, schema: StructType, che
         if dedupe_key is None:
             out.write.mode("overwrite").parquet(target)
             return
-        out = latest_per_post(out, dedupe_key, time_col) \
-            .withColumn("kb", F.pmod(F.xxhash64(F.col(dedupe_key)), F.lit(key_buckets)).cast("int"))
-        touched = [r[0] for r in out.select("kb").distinct().collect()]
-        stored = _stored_keys(spark, out_root, dedupe_key, time_col, touched, batch_id)
+        out = latest_per_post(out, dedupe_key, time_col)
+        state = f"{out_root.rstrip('/')}-keys"
+        stored = read_if_written(spark, f"{state}/version={batch_id - 1}") if batch_id else None
         if stored is not None:
             out = out.join(stored, (out[dedupe_key] == stored["_tf_k"]) & (stored["_tf_t"] >= out[time_col]),
                            "left_anti")
-        out.write.mode("overwrite").partitionBy("kb").parquet(target)
+        out = materialize(out, "stream-batch")
+        keys = out.select(F.col(dedupe_key).alias("_tf_k"), F.col(time_col).alias("_tf_t"))
+        keys = keys if stored is None else stored.unionByName(keys)
+        keys.groupBy("_tf_k").agg(F.max("_tf_t").alias("_tf_t")) \
+            .write.mode("overwrite").parquet(f"{state}/version={batch_id}")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+        drop_path(spark, f"{state}/version={batch_id - 2}")
 
     query = stream.writeStream.foreachBatch(handle) \
         .option("checkpointLocation", checkpoint) \
@@ -64,28 +68,6 @@ def run_increment(spark: SparkSession, source_root: str, schema: StructType, che
     query.awaitTermination()
 
 
-def _stored_keys(spark: SparkSession, out_root: str, key: str, time_col: str, buckets: list[int],
-                 batch_id: int):
-    """Newest stored time per key in the given key buckets (key and time
-    columns only; other buckets are pruned at the directory listing), or None.
-
-    The output of ``batch_id`` itself is excluded: when a batch is replayed
-    after a failure, its earlier (uncommitted) output must not hide its rows.
-    """
-    try:
-        stored = spark.read.parquet(out_root)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
-    return stored.where(F.col("kb").isin(buckets) & (F.col("batch") != F.lit(batch_id))) \
-        .groupBy(F.col(key).alias("_tf_k")).agg(F.max(time_col).alias("_tf_t"))
-
-
 def read_output(spark: SparkSession, out_root: str) -> DataFrame:
-    """All written batches (the ``batch`` and key-bucket directory columns dropped)."""
-    out = spark.read.parquet(out_root).drop("batch")
-    return out.drop("kb") if "kb" in out.columns else out
-
-
-def dedupe_within_watermark(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
-    """Optional L2 form for bounded lateness: state kept only within the watermark."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    """All written batches (the ``batch`` directory column dropped)."""
+    return spark.read.parquet(out_root).drop("batch")
