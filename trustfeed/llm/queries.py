@@ -105,5 +105,108 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size,
   doc_id IS NOT DISTINCT FROM keep_id AND row_number() OVER (PARTITION BY text_sha256, doc_id) = 1 AS kept, text_sha256
 FROM d JOIN g USING (text_sha256)
+""",
+    "op2_drop_recurring_lines": r"""
+WITH l AS (
+  SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)
+), t AS (
+  SELECT doc_id, pos, tokens, len(tokens) AS n, tokens[1:4] AS head FROM (
+    SELECT doc_id, pos, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
+      lambda x: CASE WHEN regexp_matches(x, '[0-9]|@|://|^www\.') THEN '<*>' ELSE x END) AS tokens FROM l)
+  WHERE len(tokens) >= 6
+), m AS (
+  SELECT t.* FROM t JOIN (SELECT n, head FROM t GROUP BY n, head HAVING min(doc_id) <> max(doc_id)) USING (n, head)
+), k AS (
+  SELECT n, head, tokens, count(*) AS c, min(doc_id) <> max(doc_id) AS recurs FROM m GROUP BY n, head, tokens
+), p AS (
+  SELECT n, head, tokens, c, unnest(tokens) AS tok, generate_subscripts(tokens, 1) AS place FROM k
+), v AS (
+  SELECT n, head, place, tok, sum(c) AS votes FROM p GROUP BY n, head, place, tok
+  QUALIFY row_number() OVER (PARTITION BY n, head, place ORDER BY sum(c) DESC, tok DESC) = 1
+), template AS (
+  SELECT n, head, place, CASE WHEN votes * 2 >= size THEN tok END AS word
+  FROM v JOIN (SELECT n, head, sum(c) AS size FROM k GROUP BY n, head) USING (n, head)
+), a AS (
+  SELECT n, head, tokens, sum(CASE WHEN tok = word THEN 1 ELSE 0 END) >= n * 0.7::DOUBLE AS alike
+  FROM p JOIN template USING (n, head, place) GROUP BY n, head, tokens
+), own AS (
+  SELECT n, head, tokens, CASE WHEN alike THEN []::VARCHAR[] ELSE tokens END AS tid
+  FROM k JOIN a USING (n, head, tokens) WHERE alike OR recurs
+), member AS (
+  SELECT m.doc_id, m.pos, n, head, tid FROM m JOIN own USING (n, head, tokens)
+), gone AS (
+  SELECT doc_id, list(DISTINCT pos) AS places
+  FROM member JOIN (SELECT n, head, tid, min(doc_id) AS lo, max(doc_id) AS hi FROM member GROUP BY n, head, tid)
+    USING (n, head, tid)
+  WHERE lo <> hi AND doc_id <> lo GROUP BY doc_id
+), d AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS ls, places FROM documents LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id,
+  CASE WHEN places IS NULL THEN text ELSE array_to_string(
+    list_transform(list_filter(range(len(ls)), lambda i: NOT list_contains(places, i)), lambda i: ls[i + 1]), chr(10)) END AS text,
+  coalesce(len(ls), 0) AS n_lines, coalesce(len(places), 0) AS n_dropped
+FROM d
+""",
+    "op5_quality_rules": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d
+), g AS (
+  SELECT r, i, list_slice(words, i, i + 7) AS win
+  FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)
+), cov AS (
+  SELECT r, count(DISTINCT j) AS n FROM (
+    SELECT r, unnest(range(i, i + 8)) AS j FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS c FROM g) WHERE c > 1)
+  GROUP BY r
+), c AS (
+  SELECT r, doc_id, lang, source, len(words)::BIGINT AS n_words,
+    length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN cov USING (r)
+), s AS (
+  SELECT *, CASE WHEN word_chars > 0 THEN n_symbols * 10000 // word_chars ELSE 0 END AS symbols,
+    CASE WHEN n_lines > 0 THEN n_dup_lines * 10000 // n_lines ELSE 0 END AS dup_lines,
+    CASE WHEN n_words > 0 THEN n_repeat_words * 10000 // n_words ELSE 0 END AS repeated,
+    CASE WHEN n_words > 0 THEN word_chars * 10000 // n_words ELSE 0 END AS word_length FROM c
+), u AS (
+  SELECT lang, source, share, greatest(length(bin(v)) - 6, 0) AS low, v
+  FROM (UNPIVOT s ON symbols, dup_lines, repeated, word_length INTO NAME share VALUE v)
+), b AS (
+  SELECT lang, source, share, (v >> low) << low AS bucket, count(*) AS n FROM u GROUP BY ALL
+), x AS (
+  SELECT 1 AS level, lang, source, share, bucket, n FROM b
+  UNION ALL SELECT 2, lang, NULL, share, bucket, sum(n) FROM b GROUP BY lang, share, bucket
+  UNION ALL SELECT 3, NULL, NULL, share, bucket, sum(n) FROM b GROUP BY share, bucket
+), q AS (
+  SELECT level, lang, source, share, any_value(size) AS size, min(bucket) FILTER (WHERE upto * 1000 >= size * 100) AS low,
+    min(bucket) FILTER (WHERE upto * 1000 >= size * 500) AS mid
+  FROM (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, share ORDER BY bucket) AS upto,
+          sum(n) OVER (PARTITION BY level, lang, source, share) AS size FROM x)
+  GROUP BY level, lang, source, share
+), lim AS (
+  SELECT level, lang, source, share, size, mid + 3 * (mid - low) + margin AS top, mid - 3 * (mid - low) - margin AS bottom
+  FROM q JOIN (VALUES ('symbols', 300), ('dup_lines', 4000), ('repeated', 2000), ('word_length', 20000)) AS m(share, margin)
+    USING (share)
+), pick AS (
+  SELECT f.lang, f.source, f.share,
+    CASE WHEN f.size >= 50 THEN f.top WHEN l.size >= 50 THEN l.top ELSE a.top END AS top,
+    CASE WHEN f.size >= 50 THEN f.bottom WHEN l.size >= 50 THEN l.bottom ELSE a.bottom END AS bottom
+  FROM lim AS f JOIN lim AS l ON l.level = 2 AND l.share = f.share AND l.lang IS NOT DISTINCT FROM f.lang
+  JOIN lim AS a ON a.level = 3 AND a.share = f.share WHERE f.level = 1
+), z AS (
+  SELECT lang, source, max(top) FILTER (WHERE share = 'symbols') AS t1, max(top) FILTER (WHERE share = 'dup_lines') AS t2,
+    max(top) FILTER (WHERE share = 'repeated') AS t3, max(top) FILTER (WHERE share = 'word_length') AS t4,
+    max(bottom) FILTER (WHERE share = 'word_length') AS b4 FROM pick GROUP BY lang, source
+), y AS (
+  SELECT s.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    symbols <= t1 AND dup_lines <= t2 AND repeated <= t3 AND word_length <= t4 AND word_length >= b4 AS within
+  FROM s JOIN z ON s.lang IS NOT DISTINCT FROM z.lang AND s.source IS NOT DISTINCT FROM z.source
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND within AS kept FROM y
 """,
 }
