@@ -17,8 +17,8 @@ clause, the number of matched clauses per clause and of different insults.
 The grammar's word lists are fixed for four languages. Insults of the corpus are learned besides: word beginnings that occur
 in toxic training documents far more often than in others (log-odds, and a G statistic against chance; of near copies one
 counts). The lexicon is
-learned on one part of the training documents, the logistic weights on the other, so that chance words
-in the lexicon are weighed for what they are worth. Training documents are a bounded sample: at most
+learned on all training documents; the logistic weights are fitted to features of either half with the lexicon of the other
+half, so that chance words in a lexicon are weighed for what they are worth. Training documents are a bounded sample: at most
 ``MAX_TRAIN`` of each label, those with the smallest hash of doc_id.
 
 Edge cases: null and empty texts have no clauses and get the score of an unmatched text; repeated rows get equal scores;
@@ -47,7 +47,7 @@ NEGATED, REPORTED, AIMED, THREAT = 0.5, 0.6, 1.25, 3.0
 SCOPE = 3
 # Lexicon: beginnings of this many letters, at least so many standard deviations and such log-odds, at most so many entries.
 PREFIX = range(3, 13)
-MIN_Z, MIN_ODDS, MAX_ENTRIES = 5.0, 1.5, 400
+MIN_Z, MIN_ODDS, MAX_ENTRIES = 4.5, 1.5, 400
 
 # The grammar's words in English, German, French and Spanish.
 INSULTS = frozenset("""idiot idiots moron morons stupid scum trash loser losers pathetic disgusting worthless clown imbecile dumbass bastard
@@ -165,7 +165,7 @@ def held_out(doc_id) -> F.Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """(doc_id, text, toxic, part) of a bounded sample of labelled rows; part 0 teaches the lexicon, 1 the score."""
+    """(doc_id, text, toxic, part) of a bounded sample of labelled rows, in two halves (part 0, 1)."""
     rows = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")) \
         .withColumn("h", F.xxhash64("doc_id"))
@@ -215,30 +215,35 @@ def learn_lexicon(rows: DataFrame, min_z: float = MIN_Z, max_entries: int = MAX_
     return lexicon
 
 
-def learn_score(rows: DataFrame, grammar: Grammar) -> Model:
-    """Logistic weights of the clause features; needs both labels, otherwise the fixed scale stays."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-
+def clause_features(rows: DataFrame, grammar: Grammar) -> DataFrame:
+    """Label and clause features of (text, toxic) rows."""
     schema = pa.schema([("toxic", pa.int32()), *((f, pa.float64()) for f in FEATURES)])
 
     def measure(batches):
         for batch in batches:
             yield arrow_rows([(t, *grammar.features(x)) for x, t in texts_of(batch, "text", "toxic")], schema)
+    return rows.select("text", "toxic").mapInArrow(measure, "toxic int, " + ", ".join(f"{f} double" for f in FEATURES))
+
+
+def fit_scale(table: DataFrame) -> tuple[tuple[float, ...], float] | None:
+    """Logistic weights and bias of the clause features; None without both labels."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
 
-    table = materialize(rows.select("text", "toxic").mapInArrow(
-        measure, "toxic int, " + ", ".join(f"{f} double" for f in FEATURES)), "toxicity-features")
     if table.select("toxic").distinct().count() < 2:
-        return Model(grammar)
+        return None
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(table.withColumn("y", F.col("toxic").cast("double")))
-    fit = LogisticRegression(featuresCol="x", labelCol="y", regParam=1e-3, maxIter=50, aggregationDepth=2).fit(data)
-    return Model(grammar, tuple(float(w) for w in fit.coefficients), float(fit.intercept))
+    fit = LogisticRegression(featuresCol="x", labelCol="y", regParam=1e-3, maxIter=50).fit(data)
+    return tuple(float(w) for w in fit.coefficients), float(fit.intercept)
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     rows = materialize(training_rows(docs, labels, max_train), "toxicity-rows")
-    grammar = Grammar(learn_lexicon(rows.where("part = 0")))
-    return learn_score(rows.where("part = 1"), grammar)
+    halves = [rows.where(F.col("part") == k) for k in (0, 1)]
+    crossed = [clause_features(halves[1 - k], Grammar(learn_lexicon(halves[k]))) for k in (0, 1)]
+    scale = fit_scale(materialize(crossed[0].unionByName(crossed[1]), "toxicity-features"))
+    grammar = Grammar(learn_lexicon(rows))
+    return Model(grammar, *scale) if scale else Model(grammar)
 
 
 def score_column(model: Model):
