@@ -105,3 +105,43 @@ def test_hot_author_join_is_split_by_aqe(spark):
             else:
                 spark.conf.set(k, v)
 
+
+
+def written_columns(spark, monkeypatch, run) -> list[set]:
+    """The columns of every table that a query writes on its way."""
+    import trustfeed.operators.features
+    import trustfeed.operators.scoring
+    import trustfeed.session as session
+    real, seen = session.materialize, []
+
+    def spy(df, name="stage"):
+        seen.append(set(df.columns))
+        return real(df, name)
+    for module in (chain, trustfeed.operators.scoring, trustfeed.operators.features):
+        monkeypatch.setattr(module, "materialize", spy)
+    run()
+    return seen
+
+
+def test_stage_writes_hold_only_needed_columns(spark, monkeypatch):
+    from trustfeed.plans.catalog import QUERIES
+    score = {*chain.SCORE_INPUTS}
+    for name in ("label_counts", "label_encoding"):
+        for cols in written_columns(spark, monkeypatch, lambda n=name: QUERIES[n](spark, SF_SMALL)):
+            assert len(cols) <= len(score), (name, cols)
+    seen = written_columns(spark, monkeypatch, lambda: QUERIES["bucket_counts"](spark, SF_SMALL))
+    assert all("language" not in cols and "followship_score" not in cols for cols in seen)
+
+
+def test_rank_range_does_not_read_line_items(spark):
+    from trustfeed.plans.catalog import QUERIES
+    p = plan(QUERIES["rank_range"](spark, SF_SMALL))
+    assert "l_orderkey" not in p and "lineitem" not in p
+
+
+def test_deduplication_of_the_feed_is_narrow(spark):
+    from trustfeed.operators.feed import current_eligible
+    hist = chain.prediction_history(SourceTables(spark, SF_SMALL), chain.PREDICTION_COLUMNS)
+    p = plan(current_eligible(hist))
+    scans = [line for line in p.splitlines() if "ReadSchema" in line]
+    assert scans and all("language" not in s.split("ReadSchema")[1] for s in scans), p

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from trustfeed.functions.columns import id_head, id_tail, pg_concat, uniform_u32
-from trustfeed.operators import feed, features, quality, sampling, views
+from trustfeed import schemas
+from trustfeed.operators import feed, features, model, quality, sampling, views
 from trustfeed.operators.dedupe import dedupe_by_key, latest_per_post
 from trustfeed.operators.global_rank import global_row_number
 from trustfeed.operators.posts import post_flags
@@ -151,11 +152,6 @@ def test_weighted_sample_size_and_zero_weight(spark):
     assert sampling.weighted_sample(df, "weights", 1000).count() == 290
 
 
-def test_stratified_fractions_are_capped():
-    assert sampling.stratified_fractions({"YES": 40, "MAYBE": 1000}, {"YES": 80, "MAYBE": 20}) == \
-        {"YES": 1.0, "MAYBE": 0.02}
-
-
 # ---------------------------------------------------------------- G2 / G3 de-dup
 def test_dedupe_hot_key_matches_brute_force(spark):
     random.seed(7)
@@ -263,7 +259,7 @@ def test_wallet_left_join_fans_out_and_keeps_unmatched(spark):
                                 "address string, follow_profile_id string, block_timestamp timestamp")
     follows = views.view_follows(fol, prof)
     assert sorted(rows(follows, "profile_id"), key=str) == [("0x1",), ("0x2",), (None,)]
-    counts = dict(rows(views.view_follow_counts(follows)))
+    counts = dict(rows(views.view_follow_counts(fol, prof)))
     assert counts == {"0x1": 1, "0x2": 1, None: 1}
 
 
@@ -400,3 +396,179 @@ def test_stream_replayed_batch_keeps_its_rows(spark):
     stream_inc.run_increment(spark, root, schema, fresh_ckpt, out, lambda b: b, dedupe_key="post_id")
     stored = sorted(rows(stream_inc.read_output(spark, out), "post_id", "recommend"))
     assert stored == [("p1", "YES"), ("p2", "NO")]
+
+
+# ---------------------------------------------------------------- round 2: re-runs, switches, training
+def test_cluster_without_shared_folder_fails_loudly():
+    from trustfeed.session import checkpoint_dir
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
+def test_prediction_run_is_replaced_whole(spark):
+    root = scratch_path(spark, "preds")
+    for label in ("YES", "NO"):
+        df = spark.createDataFrame([("p1", label), ("p2", "MAYBE")], "post_id string, recommend string")
+        increments.save_predictions(df, root, 20240101000000)
+    assert sorted(rows(spark.read.parquet(root), "post_id", "recommend")) == [("p1", "NO"), ("p2", "MAYBE")]
+
+
+def test_latest_per_post_tie_has_one_winner(spark):
+    data = [("p1", 1, "YES"), ("p1", 1, "NO"), ("p1", 0, "MAYBE")]
+    got = {tuple(rows(latest_per_post(spark.createDataFrame(data[::o], "post_id string, dtime bigint, recommend string")
+                                      .repartition(n))))
+           for o in (1, -1) for n in (1, 3)}
+    assert len(got) == 1
+
+
+def test_empty_publish_clears_only_its_strategy(spark):
+    table = scratch_path(spark, "feedtab")
+    schema = "strategy_name string, post_id string, v double"
+    feed.publish_feed(spark.createDataFrame([("s 1", "p1", 0.0)], schema), table, "s 1")
+    feed.publish_feed(spark.createDataFrame([("s2", "q1", 0.0)], schema), table, "s2")
+    feed.publish_feed(spark.createDataFrame([], schema), table, "s 1")
+    assert rows(spark.read.parquet(table), "strategy_name", "post_id") == [("s2", "q1")]
+
+
+def test_cursor_errors_are_raised_and_old_cursor_survives(spark, tmp_path):
+    state = f"{tmp_path}/cursor"
+    assert increments.load_cursor(spark, state, 7) == 7
+    increments.save_cursor(spark.createDataFrame([(42,)], "watermark bigint"), state)
+    increments.save_cursor(spark.createDataFrame([(43,)], "watermark bigint"), state)
+    assert increments.load_cursor(spark, state, 7) == 43
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"not a parquet file")
+    with pytest.raises(Exception):
+        increments.load_cursor(spark, f"{tmp_path}/broken", 7)
+
+
+def test_feature_stage_replayed_after_a_crash_adds_nothing(spark, monkeypatch):
+    from trustfeed.plans import stages
+    posts, table, state = (scratch_path(spark, n) for n in ("posts", "pfeat", "pstate"))
+    post = {c: None for c in schemas.PROFILE_POST.fieldNames()} | {
+        "post_id": "p1", "profile_id": "a", "block_timestamp": dt.datetime(2024, 1, 1)}
+    increments.write_snapshot(spark.createDataFrame([post], schemas.PROFILE_POST), posts, 20240102000000)
+    stats = spark.createDataFrame([], schemas.PUBLICATION_STATS)
+    args = (spark, posts, stats, table, state, "2024-01-03 00:00:00")
+
+    def crash(*a):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(stages, "save_cursor", crash)
+        with pytest.raises(OSError):
+            stages.post_features_stage(*args)
+    assert stages.post_features_stage(*args)
+    assert features.read_feature_table(spark, table).count() == 1
+    assert not stages.post_features_stage(*args)
+
+
+def test_exact_split_shares(spark):
+    data = [(f"p{i:04d}", ["YES", "NO", "MAYBE", None][min(i % 16, 3)]) for i in range(1001)]
+    df = spark.createDataFrame(data, "post_id string, recommend string")
+    got = rows(sampling.train_test_split(df).groupBy("recommend").agg(
+        F.count(F.lit(1)), F.sum(F.col("is_test").cast("int"))))
+    assert all(test == int(n * 0.25 + 0.5) for _, n, test in got) and len(got) == 4
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    random.seed(9)
+    data = [random.choice([0, 0, 0, 1, 5, 9, random.randint(0, 1000)]) for _ in range(2003)]
+    df = spark.createDataFrame([(x,) for x in data], "x int").repartition(5)
+    assert feed.exact_quantiles(df, "x", ((1, 3), (2, 3))) == pytest.approx(list(np.quantile(data, [1 / 3, 2 / 3])))
+    assert feed.exact_quantiles(df.where("x < 0"), "x", ((1, 3),)) == [None]
+
+
+def test_asof_hot_entity_is_linear(spark):
+    """Half of all keys on one entity with many versions, over several time buckets; checked against a plain lookup."""
+    random.seed(3)
+    t0 = dt.datetime(2024, 1, 1)
+    vers = [("hot" if i % 2 else f"e{i % 40}", t0 + dt.timedelta(hours=random.randint(0, 900)), i, None if i % 5 == 0 else i)
+            for i in range(1500)]
+    inst = [("hot" if i % 2 else f"e{i % 45}", t0 + dt.timedelta(hours=random.randint(-5, 950))) for i in range(1500)]
+    table = spark.createDataFrame(vers, "entity_id string, feature_time timestamp, a int, b int") \
+        .dropDuplicates(["entity_id", "feature_time"])
+    keys = spark.createDataFrame(inst, "e string, timestamp timestamp")
+    out = features.point_in_time_asof(keys, [("e", table, "x")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "feature_time" not in plan and "NestedLoop" not in plan
+    known = [tuple(r) for r in table.collect()]
+
+    def newest(e, t, i):
+        hits = [v for v in known if v[0] == e and v[1] <= t and (i == 2 or v[i] is not None)]
+        return max(hits, key=lambda v: v[1]) if hits else None
+    for r in out.collect():
+        v = newest(r["e"], r["timestamp"], 2)
+        assert (r["a"], r["b"]) == ((v[2], v[3]) if v else (None, None))
+    for r in features.point_in_time_asof(keys, [("e", table, "x")], per_feature=True).collect():
+        v = newest(r["e"], r["timestamp"], 3)
+        assert r["b"] == (v[3] if v else None)
+
+
+def _labelled_rows(spark, n, languages):
+    random.seed(11)
+    return spark.createDataFrame(
+        [(f"p{i:05d}", random.choice(["YES", "NO", "MAYBE"]), i % 50, i % 7, i % 5, i % 3, i % 11, i % 2, i % 100, 0.5, 50, 7, 5, 3,
+          random.random(), i % 2 == 0, i % 3 == 0, None, f"l{i % languages}", None, "w", "IMAGE") for i in range(n)],
+        "post_id string, recommend string, age bigint, mirrors bigint, collects bigint, comments bigint, upvotes bigint, "
+        "downvotes bigint, followship_rank bigint, followship_score double, max_age bigint, max_mirrors bigint, "
+        "max_collects bigint, max_comments bigint, post_score double, is_original boolean, is_content_warning boolean, "
+        "custom_filters_gardener_flagged boolean, language string, region string, content_warning string, "
+        "main_content_focus string")
+
+
+@pytest.mark.parametrize("kind,size", [("rf", {"num_trees": 3, "max_depth": 3}), ("gbt", {"max_iter": 2, "max_depth": 2})])
+def test_training_with_many_languages(spark, kind, size):
+    df = _labelled_rows(spark, 600, 300)
+    m = model.train(df, kind, partitions=2, **size)
+    assert model.predict(m, df).count() == 600
+    importance = dict(model.feature_importance(m))
+    assert set(importance) == set(model.build_pipeline(kind)[1])
+    assert sum(importance.values()) == pytest.approx(1.0, abs=1e-6)
+    assert [c for _, c in model.label_codes(m)] == [0, 1, 2]
+    if kind == "gbt":
+        losses = model.boosting_losses(m, df, every=1)
+        assert len(losses) == 6 and all(x > 0 for _, _, x in losses)
+
+
+def test_model_does_not_depend_on_input_partitions(spark):
+    df = _labelled_rows(spark, 600, 5)
+    got = []
+    for n in (4, 8):
+        m = model.train(df.repartition(n), "rf", num_trees=5, max_depth=4)
+        got.append(sorted(rows(model.predict(m, df))))
+    assert got[0] == got[1]
+
+
+def test_metrics_equal_a_plain_computation(spark):
+    df = _labelled_rows(spark, 300, 5)
+    m = model.train(df, "rf", num_trees=3, max_depth=3)
+    scored = [(r["recommend"], r["predicted"], r["p_true"]) for r in model.scored_rows(m, df).collect()]
+    got = model.evaluate(m, df)
+    import math
+    n = len(scored)
+    assert got["accuracy"] == pytest.approx(sum(a == p for a, p, _ in scored) / n)
+    assert got["logLoss"] == pytest.approx(sum(-math.log(max(p, 1e-15)) for _, _, p in scored) / n)
+    f1 = 0.0
+    for c in ("YES", "NO", "MAYBE"):
+        actual = sum(a == c for a, _, _ in scored)
+        guessed = sum(p == c for _, p, _ in scored)
+        f1 += actual / n * 2 * sum(a == c == p for a, p, _ in scored) / (actual + guessed)
+    assert got["f1"] == pytest.approx(f1)

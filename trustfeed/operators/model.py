@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustfeed.params import (BOOSTING_DEPTH, BOOSTING_ROUNDS, FILL_RANK, FOREST_DEPTH, FOREST_TREES, LOSS_EVERY,
+from trustfeed.params import (BOOSTING_DEPTH, BOOSTING_ROUNDS, FILL_RANK, FOREST_DEPTH, FOREST_TREES, LABELS, LOSS_EVERY,
                               TRAIN_PARTITIONS)
 from trustfeed.session import materialize
 
@@ -69,7 +69,7 @@ def build_pipeline(classifier: str = "rf", leaky: bool = True, num_trees: int =
                                      maxDepth=max_depth or FOREST_DEPTH, seed=seed)
     elif classifier == "gbt":
         clf = OneVsRest(classifier=GBTClassifier(maxIter=max_iter, maxDepth=max_depth or BOOSTING_DEPTH, seed=seed),
-                        labelCol="label", featuresCol="features")
+                        labelCol="label", featuresCol="features", parallelism=len(LABELS))
     else:
         raise ValueError(classifier)
     return Pipeline(stages=[prep, cat_idx, one_hot, assembler, clf]), inputs
@@ -93,10 +93,11 @@ def training_rows(labelled: DataFrame, key: str = "post_id", partitions: int = T
     return materialize(rows, "training-rows").repartition(partitions, key).sortWithinPartitions(key, F.xxhash64(*rows.columns))
 
 
-def train(labelled: DataFrame, classifier: str = "rf", leaky: bool = True, **kw) -> PipelineModel:
+def train(labelled: DataFrame, classifier: str = "rf", leaky: bool = True, partitions: int = TRAIN_PARTITIONS,
+          **kw) -> PipelineModel:
     """Fit the pipeline on rows with a label; the returned model also maps
     the class id back to the label text (``predicted_recommend``)."""
-    rows = training_rows(labelled)
+    rows = training_rows(labelled, partitions=partitions)
     lab = label_indexer().fit(rows)
     pipeline, _ = build_pipeline(classifier, leaky, **kw)
     fitted = pipeline.fit(lab.transform(rows))

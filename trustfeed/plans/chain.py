@@ -19,6 +19,8 @@ from trustfeed.sources.driver_tables import SourceTables
 # thresholds of the original (1000 / 50000 / 1000) would label nothing.
 FIXTURE_FEATURE_TIME = "2002-01-01 00:00:00"
 FIXTURE_LABELS = LabelParams(yes_rank=100, no_rank=1000, top_k=100)
+# Partitions that fit some thousand training rows (a stated number: it is part of the model).
+FIXTURE_TRAIN_PARTITIONS = 4
 
 
 def post_features(src: SourceTables, feature_time=FIXTURE_FEATURE_TIME, columns=None) -> DataFrame:
@@ -198,7 +200,7 @@ def split_labels(src: SourceTables) -> DataFrame:
 def trained_model(src: SourceTables, classifier: str = "rf", **kw):
     from trustfeed.operators.model import train
     tf = training_frame(src)
-    return train(tf.where(~F.col("is_test")), classifier, **kw), tf
+    return train(tf.where(~F.col("is_test")), classifier, partitions=FIXTURE_TRAIN_PARTITIONS, **kw), tf
 
 
 def model_predictions(src: SourceTables, classifier: str = "rf", **kw) -> DataFrame:
