@@ -11,9 +11,9 @@ everywhere but in the document with the smallest doc_id.
 Lines of fewer than ``MIN_TOKENS`` tokens are never dropped; they recur by chance.
 
 DataFrame functions only. Lines meet by a 64-bit hash of their leaf, and the smallest and largest doc_id
-per leaf show whether it recurs, so a very common line costs one row per task. Only lines of recurring leaves are ever spread
-over their places, each different line of a document once. Places to drop come back to the documents as
-a list of line numbers.
+per leaf show whether it recurs, so a very common line costs one row per task. Only lines of recurring leaves are
+shuffled, and only leaves with several kinds of lines are spread over their places, each kind once. Places to drop come
+back to the documents that lose lines as a list of line numbers; the other documents aren't shuffled.
 
 Edge cases: a null text stays null, an empty one empty; a document all of whose lines are dropped becomes
 empty; rows with equal doc_id count as one document; rows with a null doc_id are left as they are;
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trustfeed.llm.common import WORD, fresh
+from trustfeed.llm.common import WORD, fresh, maybe_in
 from trustfeed.session import materialize
 
 DEPTH = 4
@@ -54,19 +54,19 @@ def document_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TO
 
 
 def recurring_lines(lines: DataFrame) -> DataFrame:
-    """The lines whose leaf is reached from two or more documents, with their masked tokens and those tokens' hash."""
+    """The lines whose leaf is reached from two or more documents, masked, with the hash of the masked tokens."""
     leaves = lines.groupBy("leaf").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")) \
         .where("lo <> hi").select("leaf")
-    found = lines.join(leaves, "leaf", "left_semi")
-    masked = found.select("doc_id", "body", "at", "leaf", F.transform(_tokens(F.col("line")), _masked).alias("tokens"))
-    return masked.select("*", F.xxhash64("tokens").alias("kind"))
+    leaves = materialize(leaves, "recurring-leaves")
+    found = maybe_in(lines, "leaf", leaves).join(leaves, "leaf", "left_semi")
+    masked = F.concat_ws(" ", F.transform(_tokens(F.col("line")), _masked))
+    return found.select("doc_id", "body", "at", "leaf", masked.alias("line")).select("*", F.xxhash64("line").alias("kind"))
 
 
 def line_kinds(lines: DataFrame) -> DataFrame:
     """The different lines of each leaf, with their number and whether two or more documents have them."""
     return lines.groupBy("leaf", "kind").agg(
-        F.count(F.lit(1)).alias("n"), F.first("tokens").alias("tokens"),
-        (F.min("doc_id") != F.max("doc_id")).alias("recurs"))
+        F.count(F.lit(1)).alias("n"), (F.min("doc_id") != F.max("doc_id")).alias("recurs"))
 
 
 def leaf_templates(kinds: DataFrame) -> DataFrame:
@@ -84,11 +84,20 @@ def leaf_templates(kinds: DataFrame) -> DataFrame:
 def template_lines(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(doc_id, body, at, leaf, template) of the lines that belong to their leaf's template (0) or recur as they are."""
     kinds = materialize(line_kinds(lines), "line-kinds")
+    # a leaf with one kind of line is its own template; the tokens of others are needed, once per kind
+    several = materialize(kinds.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("leaf"),
+                          "several-kinds")
+    text = maybe_in(lines.select("leaf", "kind", "line"), "leaf", several).join(several, "leaf", "left_semi") \
+        .groupBy("leaf", "kind").agg(F.first("line").alias("line"))
+    mixed = materialize(text.join(kinds, ["leaf", "kind"]).select("leaf", "kind", "n", "recurs", F.split("line", " ").alias("tokens")),
+                        "kinds-of-several")
     agree = F.size(F.filter(F.zip_with("tokens", "template", lambda t, x: F.coalesce(t == x, F.lit(False))), lambda x: x))
     alike = agree >= F.size("tokens") * similar
-    own = kinds.join(leaf_templates(kinds), "leaf").where(alike | F.col("recurs")) \
+    of_several = mixed.join(leaf_templates(mixed), "leaf").where(alike | F.col("recurs")) \
         .select("leaf", "kind", F.when(alike, F.lit(0)).otherwise(F.col("kind")).alias("template"))
-    return lines.select("doc_id", "body", "at", "leaf", "kind").join(own, ["leaf", "kind"]).drop("kind")
+    of_one = kinds.join(several, "leaf", "left_anti").select("leaf", "kind", F.lit(0).cast("bigint").alias("template"))
+    return lines.select("doc_id", "body", "at", "leaf", "kind").join(of_several.unionByName(of_one), ["leaf", "kind"]) \
+        .drop("kind")
 
 
 def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR) -> DataFrame:
@@ -103,20 +112,33 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOK
 def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR,
                 n_lines: str | None = None, n_dropped: str | None = None) -> DataFrame:
     """The documents without recurring lines; optionally with columns of these names for the lines before and dropped."""
-    doc, body, gone, every = (fresh(docs, f"_lines_{x}") for x in ("doc", "body", "places", "all"))
-    drops = dropped_lines(docs.select("doc_id", "text"), depth, min_tokens, similar) \
-        .select(F.col("doc_id").alias(doc), F.col("body").alias(body), F.col("places").alias(gone))
-    joined = docs.join(drops, (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(body)), "left")
-    joined = joined.withColumn(every, F.split("text", "\n"))
+    doc, body, gone, every, own = (fresh(docs, f"_lines_{x}") for x in ("doc", "body", "places", "all", "own"))
+    drops = materialize(dropped_lines(docs.select("doc_id", "text"), depth, min_tokens, similar), "dropped-lines")
+    named = drops.select(F.col("doc_id").alias(doc), F.col("body").alias(body), F.col("places").alias(gone))
+
+    def columns(text, n_all, n_gone):
+        out = [text.alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns]
+        return out + [n.cast("bigint").alias(name) for n, name in ((n_all, n_lines), (n_gone, n_dropped)) if name]
+
+    # documents that lose lines meet their list; the others stay where they are
+    hashed = docs.withColumn(own, F.coalesce(F.xxhash64("text"), F.lit(0)))
+    few = maybe_in(hashed, own, drops.select("body")).join(
+        named, (F.col("doc_id") == F.col(doc)) & (F.col(own) == F.col(body))).withColumn(every, F.split("text", "\n"))
     left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(gone))
     kept = F.concat_ws("\n", F.transform(left, lambda i: F.get(every, i)))
-    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept)
-    columns = [text.alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns]
-    if n_lines:
-        columns.append(F.when(F.col("text").isNull(), 0).otherwise(F.size(every)).cast("bigint").alias(n_lines))
-    if n_dropped:
-        columns.append(F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("bigint").alias(n_dropped))
-    return joined.select(*columns)
+    changed = few.select(*columns(kept, F.size(every), F.size(gone)))
+    same = _without(hashed, own, doc, body, named)
+    whole = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
+    return changed.unionByName(same.select(*columns(F.col("text"), whole, F.lit(0))))
+
+
+def _without(docs: DataFrame, own: str, doc: str, body: str, named: DataFrame) -> DataFrame:
+    """The documents that aren't named; only those that may be are shuffled to find out."""
+    bodies = named.select(body)
+    perhaps = maybe_in(docs, own, bodies)
+    sure = maybe_in(docs, own, bodies, missing=True)
+    rest = perhaps.join(named.select(doc, body), F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(body)), "left_anti")
+    return sure.unionByName(rest)
 
 
 def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR) -> DataFrame:
