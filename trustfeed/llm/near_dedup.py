@@ -6,11 +6,13 @@ a register keeps the shingle that arrived first. A shingle stops as soon as its
 document's registers, so most send only one or two. Two texts agree in a register with their probability
 Jaccard similarity. Registers are joined to bands, and texts that agree in a band are candidates.
 
-Texts with the same words are one node from the start. In each bucket every node is compared with one centre (the
-node with the smallest key), which links a large group with one comparison per member. Then, in buckets whose nodes are
-still in different classes, all pairs across classes are compared, so that no candidate link between classes is lost; pairs within
-the bucket's largest class are never made. A link needs a Jaccard similarity of the shingle sets of ``SIMILAR`` or more,
-computed exactly. Classes are the connected components.
+Texts with the same words are one node from the start. In each bucket every node is compared with one centre (the node that
+shares buckets with most others, so the text that near copies were made from, if there is one), which links a large
+group with one comparison per member. Then, in buckets whose nodes are still in different classes, all pairs across classes are
+compared, so that no candidate link between classes is lost; pairs within the bucket's largest class are never
+made, nor pairs of which one has too few shingles in common with all nodes of such buckets together. Before shingles are compared, two bits of each register are: pairs that agree in far fewer registers than a
+link would (4 standard deviations) end there. A link needs a Jaccard similarity of the shingle sets of ``SIMILAR`` or more,
+computed exactly. Classes are the connected components. Nodes go by a 64-bit hash of their words' 128-bit key.
 
 Edge cases: null and empty texts, and texts of white space only, are one class; texts are equal regardless of case and white space; of
 repeated rows one stays; null doc_ids come last when the row that stays is chosen; an empty table gives no rows;
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trustfeed.llm.common import arrow_rows, fresh, texts_of
+from trustfeed.llm.common import arrow_rows, fresh, maybe_in, texts_of
 from trustfeed.session import materialize
 
 WORDS = 5
@@ -35,6 +37,7 @@ SIMILAR = 0.8
 # A pair with similarity 0.8 misses all bands with probability (1 - 0.8^5)^24 < 0.0001.
 BANDS, ROWS = 24, 5
 PART = 1 << 20          # bytes of a text hashed at once
+SLACK = 1e-6            # against rounding where a bound is met exactly
 FLUSH = 400_000         # shingles whose arrivals are drawn at once
 
 _BASE = 0x9E3779B97F4A7C15
@@ -125,9 +128,36 @@ def band_hashes(registers: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
+SKETCH = ("s1", "s2", "s3", "s4")
+
+
+def sketch_bits(registers: np.ndarray) -> np.ndarray:
+    """Two bits of each of the first 126 registers: their first bits in two integers per row, their second bits in two more."""
+    two = mix(registers[:, :126])
+    half = (two.shape[1] + 1) // 2
+    out = []
+    for shift in (0, 1):
+        bits = ((two >> np.uint64(shift)) & np.uint64(1)).astype(np.int64)
+        out += [(part << np.arange(part.shape[1])).sum(axis=1) for part in (bits[:, :half], bits[:, half:])]
+    return np.stack(out, axis=1)
+
+
+def most_differing(similar: float, registers: int) -> int:
+    """Registers whose two bits differ at most in a pair of this similarity, but for 4 standard deviations."""
+    m, same = min(registers, 126), (1 + 3 * similar) / 4
+    return int(m * (1 - same) + 4 * (m * same * (1 - same)) ** 0.5)
+
+
+def _differing():
+    """Registers in which the sketches s1..s4 and s1_a..s4_a differ."""
+    x = [F.col(c).bitwiseXOR(F.col(f"{c}_a")) for c in SKETCH]
+    return F.bit_count(x[0].bitwiseOR(x[2])) + F.bit_count(x[1].bitwiseOR(x[3]))
+
+
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()),
+                     *((c, pa.int64()) for c in SKETCH), ("bands", pa.list_(pa.int64()))])
 _SETS = pa.schema([("key", pa.binary()), ("ids", pa.list_(pa.int64()))])
-_LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _key(words: np.ndarray) -> bytes:
@@ -142,9 +172,11 @@ def _signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
             def flush():
                 live = [i for i, (ids, _) in enumerate(sets) if len(ids)]
-                hashes = band_hashes(prob_minhash([sets[i] for i in live], bands * rows), bands, rows).view(np.int64)
-                lists = dict(zip(live, hashes.tolist()))
-                return arrow_rows([(d, k, n, lists.get(i, [])) for i, (d, k, n) in enumerate(held)], _SIGNED)
+                registers = prob_minhash([sets[i] for i in live], bands * rows)
+                hashes = band_hashes(registers, bands, rows).view(np.int64)
+                lists = dict(zip(live, zip(sketch_bits(registers).tolist(), hashes.tolist())))
+                return arrow_rows([(d, k, n, *s, b) for i, (d, k, n) in enumerate(held)
+                                   for s, b in [lists.get(i, ((0,) * len(SKETCH), []))]], _SIGNED)
 
             for doc_id, text in texts_of(batch, "doc_id", "text"):
                 words = word_hashes(text or "")
@@ -158,7 +190,7 @@ def _signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             if held:
                 yield flush()
 
-    return docs.mapInArrow(sign, "doc_id bigint, key binary, n bigint, bands array<bigint>")
+    return docs.mapInArrow(sign, "doc_id bigint, key binary, n bigint, " + ", ".join(f"{c} bigint" for c in SKETCH) + ", bands array<bigint>")
 
 
 def _sets_of(docs: DataFrame, size: int) -> DataFrame:
@@ -193,68 +225,99 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in ("a", "b")],
                                              schema=_LINKS).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("key").alias("a"), F.col("ids").alias("ids_a"))
-    right = sets.select(F.col("key").alias("b"), F.col("ids").alias("ids_b"))
+    left = sets.select(F.col("node").alias("a"), F.col("ids").alias("ids_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("ids").alias("ids_b"))
     # the members' sets first; the centres' are met last, where their rows can be split
     full = pairs.join(right, "b").join(left, "a").select("a", "b", "ids_a", "ids_b")
-    return full.mapInArrow(compare, "a binary, b binary")
+    return full.mapInArrow(compare, "a bigint, b bigint")
+
+
+def _node_sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """node and shingles of the wanted nodes, from one document of each."""
+    reps = nodes.select("node", "rep").join(wanted, "node", "left_semi").select("rep").where("rep is not null").distinct()
+    reps = materialize(reps, "near-reps")
+    some = maybe_in(texts.withColumn("h", F.xxhash64("doc_id")), "h", reps.select(F.xxhash64("rep")))
+    found = some.join(reps, F.col("doc_id") == F.col("rep"), "left_semi").drop("h").unionByName(texts.where("doc_id is null"))
+    sets = _sets_of(found, size).withColumn("node", F.xxhash64("key"))
+    return materialize(sets.groupBy("node").agg(F.first("ids").alias("ids")), "near-sets")
+
+
+def _shared_shingles(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and how many of its shingles (by 32 bits of their hash) stand in another wanted node, too."""
+    ids = sets.join(wanted, "node", "left_semi").select("node", F.size("ids").alias("n"), "ids")
+    each = ids.select("node", F.explode("ids").alias("id")).select("node", F.shiftright("id", 32).cast("int").alias("id"))
+    alone = each.groupBy("id").agg(F.min("node").alias("node"), F.max("node").alias("hi")).where("node = hi") \
+        .groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    return ids.select("node", "n").join(alone, "node", "left") \
+        .select("node", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
 
 
 def connected(links: DataFrame) -> DataFrame:
-    """(key, class): the connected components of (a, b) links, named by their smallest key."""
-    both = materialize(links.union(links.select("b", "a")).distinct().toDF("key", "other"), "links")
-    classes = materialize(both.groupBy("key").agg(F.min("other").alias("class"))
-                          .select("key", F.least("key", "class").alias("class")), "classes")
+    """(node, class): the connected components of (a, b) links, named by their smallest node."""
+    both = materialize(links.union(links.select("b", "a")).distinct().toDF("node", "other"), "links")
+    classes = materialize(both.groupBy("node").agg(F.min("other").alias("class"))
+                          .select("node", F.least("node", "class").alias("class")), "classes")
     while True:
-        named = classes.select(F.col("key").alias("other"), F.col("class").alias("theirs"))
-        near = both.join(named, "other").groupBy("key").agg(F.min("theirs").alias("near"))
-        step = classes.join(near, "key").select("key", F.col("class").alias("old"), F.least("class", "near").alias("class"))
-        jump = classes.select(F.col("key").alias("class"), F.col("class").alias("further"))
-        step = step.join(jump, "class").select("key", "old", F.least("class", "further").alias("class"))
+        named = classes.select(F.col("node").alias("other"), F.col("class").alias("theirs"))
+        near = both.join(named, "other").groupBy("node").agg(F.min("theirs").alias("near"))
+        step = classes.join(near, "node").select("node", F.col("class").alias("old"), F.least("class", "near").alias("class"))
+        jump = classes.select(F.col("node").alias("class"), F.col("class").alias("further"))
+        step = step.join(jump, "class").select("node", "old", F.least("class", "further").alias("class"))
         after = materialize(step, "classes")
         if after.where("old <> class").isEmpty():
-            return after.select("key", "class")
-        classes = after.select("key", "class")
+            return after.select("node", "class")
+        classes = after.select("node", "class")
 
 
 def near_classes(docs: DataFrame, similar: float = SIMILAR, size: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of the class), class_size, kept."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    signed = materialize(_signed(texts, size, bands, rows), "near-signed")
-    nodes = signed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    placed = materialize(nodes.select("key", "rep", "n", F.explode("bands").alias("bucket")), "near-buckets")
-    first = placed.groupBy("bucket").agg(F.min(F.struct("key", "n")).alias("c"), F.count(F.lit(1)).alias("in_bucket")) \
-        .where("in_bucket > 1").select("bucket", F.col("c.key").alias("a"), F.col("c.n").alias("n_a"))
+    signed = materialize(_signed(texts, size, bands, rows).withColumn("node", F.xxhash64("key")), "near-signed")
+    nodes = materialize(signed.groupBy("node").agg(
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", *SKETCH, "bands")]), "near-nodes")
+    sketch = ("node", "n", *SKETCH)
+    placed = nodes.select(*sketch, F.explode("bands").alias("bucket"))
     # only buckets with several nodes go on
-    shared = materialize(placed.join(first, "bucket"), "near-shared")
-    in_size = F.least("n_a", "n") >= similar * F.greatest("n_a", "n")
-    star = materialize(shared.where(F.col("key") != F.col("a")).where(in_size)
-                       .select("a", F.col("key").alias("b")).distinct(), "near-star")
-    # the texts of the nodes in shared buckets, one document of each
-    wanted = shared.select("rep").distinct()
-    found = texts.where("doc_id is not null").join(wanted, F.col("doc_id") == F.col("rep"), "left_semi")
-    unnamed = texts.where("doc_id is null")
-    sets = materialize(_sets_of(found.unionByName(unnamed), size).groupBy("key").agg(F.first("ids").alias("ids")), "near-sets")
+    counted = nodes.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("in_bucket")) \
+        .where("in_bucket > 1")
+    counted = materialize(counted, "near-buckets")
+    shared = materialize(maybe_in(placed, "bucket", counted.select("bucket")).join(counted, "bucket"), "near-shared")
+    near = materialize(shared.groupBy("node").agg(F.sum("in_bucket").alias("near")), "near-neighbours")
+    centre = F.max(F.struct("near", *sketch)).alias("c")
+    centres = materialize(shared.join(near, "node").groupBy("bucket").agg(centre)
+                          .select("bucket", *[F.col(f"c.{x}").alias(f"{x}_a") for x in sketch]), "near-centres")
+    far = most_differing(similar, bands * rows)
+    alike = (F.least("n_a", "n") >= similar * F.greatest("n_a", "n") - SLACK) & (_differing() <= far)
+    star = shared.join(centres, "bucket").where((F.col("node") != F.col("node_a")) & alike)
+    star = materialize(star.select(F.col("node_a").alias("a"), F.col("node").alias("b")).distinct(), "near-star")
+    sets = _node_sets(texts, nodes, near.select("node"), size)
     links = materialize(_verified(star, sets, similar), "near-links")
     classes = connected(links)
     # buckets whose nodes are in different classes: pairs of a node outside the bucket's largest class with all others
-    members = shared.join(classes, "key", "left").select(
-        "bucket", "key", "n", "a", F.coalesce("class", "key").alias("class"))
+    members = shared.join(classes, "node", "left").select("bucket", *sketch, F.coalesce("class", "node").alias("class"))
     counts = members.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("rows"))
     mixed = counts.groupBy("bucket").agg(F.max(F.struct("rows", "class")).alias("m"), F.count(F.lit(1)).alias("classes")) \
         .where("classes > 1").select("bucket", F.col("m.class").alias("home"))
     members = materialize(members.join(mixed, "bucket"), "near-mixed")
-    outside = members.where("class <> home").select("bucket", F.col("key").alias("b"), F.col("n").alias("n_a"),
-                                                    F.col("class").alias("class_b"))
-    across = outside.join(members, "bucket").where("class <> class_b").where(in_size) \
-        .where((F.col("class") == F.col("home")) | (F.col("key") < F.col("b")))
-    pairs = across.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
-    pairs = materialize(pairs.join(star, ["a", "b"], "left_anti"), "near-across")
+    # a pair has no more shingles in common than either node has in common with any other node of these buckets
+    members = members.join(_shared_shingles(sets, members.select("node").distinct()), "node") \
+        .where(F.col("common") >= similar * F.col("n") - SLACK)
+    members = materialize(members, "near-mixed")
+    sketch = (*sketch, "common")
+    enough = F.least("common_a", "common") * (1 + similar) >= similar * (F.col("n_a") + F.col("n")) - SLACK
+    outside = members.where("class <> home").select("bucket", F.col("class").alias("class_a"),
+                                                    *[F.col(x).alias(f"{x}_a") for x in sketch])
+    # each pair once: two nodes outside in one order
+    once = (F.col("class") != F.col("class_a")) & ((F.col("class") == F.col("home")) | (F.col("node") < F.col("node_a")))
+    across = outside.join(members, (outside["bucket"] == members["bucket"]) & once & enough & alike)
+    pairs = across.select(F.least("node", "node_a").alias("a"), F.greatest("node", "node_a").alias("b")).distinct()
+    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = materialize(pairs.join(done, ["a", "b"], "left_anti"), "near-across")
     more = materialize(_verified(pairs, sets, similar), "near-links")
     if not more.isEmpty():
         classes = connected(links.unionByName(more))
-    named = signed.select("doc_id", "key").join(classes, "key", "left") \
-        .select("doc_id", "key", F.coalesce("class", "key").alias("class"))
+    named = signed.select("doc_id", "key", "node").join(classes, "node", "left") \
+        .select("doc_id", "key", F.coalesce("class", "node").alias("class"))
     named = materialize(named, "near-named")
     sizes = named.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     again = Window.partitionBy("class", "doc_id").orderBy("key")
