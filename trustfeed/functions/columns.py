@@ -49,11 +49,6 @@ def uniform01(key, seed: str = "") -> Column:
     return (uniform_u32(key, seed).cast("double") + F.lit(0.5)) / F.lit(TWO_POW_32)
 
 
-def packed_dtime(ts) -> Column:
-    """Timestamp to the packed run id YYYYMMDDHHMMSS as bigint."""
-    return F.date_format(_c(ts), "yyyyMMddHHmmss").cast("bigint")
-
-
 def dtime_to_timestamp(dtime) -> Column:
     """Packed run id YYYYMMDDHHMMSS (bigint) to a timestamp."""
     return F.to_timestamp(F.lpad(_c(dtime).cast("string"), 14, "0"), "yyyyMMddHHmmss")

@@ -11,6 +11,7 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trustfeed import schemas
 from trustfeed.session import materialize
 
 ENTITY = "entity_id"
@@ -19,9 +20,7 @@ FEATURE_TIME = "feature_time"
 BUCKET_SECONDS = 86400
 
 # Feature ids of the two entity types (value types in schemas.py).
-POST_FEATURES = ["age", "mirrors", "collects", "comments", "upvotes", "downvotes", "is_original",
-                 "language", "region", "is_content_warning", "content_warning", "main_content_focus",
-                 "custom_filters_gardener_flagged", "profile_id"]
+POST_FEATURES = [f for f in schemas.POST_FEATURES.fieldNames() if f != "recommend"]
 PROFILE_FEATURES = ["followship_rank", "followship_score"]
 
 

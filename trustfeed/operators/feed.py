@@ -7,6 +7,7 @@ Only the capped sample (at most sum(caps) rows) and the final feed (at most
 
 from __future__ import annotations
 
+import math
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Window
@@ -124,13 +125,13 @@ def exact_quantiles(df: DataFrame, col: str, fractions) -> list:
     starts = totals.select("p", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("p").orderBy("x")
     upto = ordered.join(F.broadcast(starts), "p").select("x", (F.col("start") + F.sum("n").over(inside)).alias("upto"))
-    ranks = sorted({k for a, b in fractions for k in ((n - 1) * a // b, min((n - 1) * a // b + 1, n - 1))})
+    places = [(n - 1) * (a / b) for a, b in fractions]
+    ranks = sorted({k for x in places for k in (math.floor(x), math.ceil(x))})
     at = upto.agg(*[F.min(F.when(F.col("upto") > k, F.col("x"))).alias(f"r{k}") for k in ranks]).first()
     out = []
-    for a, b in fractions:
-        low = (n - 1) * a // b
-        lo, hi = float(at[f"r{low}"]), float(at[f"r{min(low + 1, n - 1)}"])
-        out.append(lo + (hi - lo) * ((n - 1) * (a / b) - low))
+    for x in places:
+        lo, hi = float(at[f"r{math.floor(x)}"]), float(at[f"r{math.ceil(x)}"])
+        out.append(lo + (hi - lo) * (x - math.floor(x)))
     return out
 
 

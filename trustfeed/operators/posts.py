@@ -6,21 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustfeed.functions.columns import try_bool
-
-POST_SOURCE_COLUMNS = [
-    "post_id", "profile_id", "is_related_to_post", "is_related_to_comment", "is_hidden",
-    "is_gated", "block_timestamp", "language", "region", "content_warning",
-    "main_content_focus", "tags_vector", "custom_filters_gardener_flagged",
-]
-
-# Source counter name -> feature name.
-STATS_TO_FEATURES = {
-    "total_amount_of_mirrors": "mirrors",
-    "total_amount_of_collects": "collects",
-    "total_amount_of_comments": "comments",
-    "total_upvotes": "upvotes",
-    "total_downvotes": "downvotes",
-}
+from trustfeed.schemas import POST_SOURCE_COLUMNS, STATS_TO_FEATURES
 
 
 def post_flags(posts: DataFrame, feature_time) -> DataFrame:

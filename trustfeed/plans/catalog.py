@@ -18,7 +18,7 @@ from trustfeed import schemas
 from trustfeed.operators.posts import format_timestamp, post_flags, posts_with_stats
 from trustfeed.operators.scoring import top_posts
 from trustfeed.operators.trust import latest_snapshot, post_author_trust, profile_trust_by_handle
-from trustfeed.params import LABELS, STRATIFIED_TARGETS, FeedParams
+from trustfeed.params import LABELS, STRATIFIED_TARGETS, FeedParams, LabelParams
 from trustfeed.plans import chain
 from trustfeed.session import materialize, scratch_path
 from trustfeed.sources import increments
@@ -89,6 +89,13 @@ def q_heuristic_labels(spark, sf_dir):
         "post_id", "followship_rank", "post_score", "recommend")
 
 
+@register("heuristic_labels_production")
+def q_heuristic_labels_production(spark, sf_dir):
+    """The labels by the production thresholds."""
+    return chain.labelled_posts(_src(spark, sf_dir), params=LabelParams(), columns=()).select(
+        "post_id", "followship_rank", "post_score", "recommend")
+
+
 # ------------------------------------------------------------- views (K1-K7)
 @register("view_collects")
 def q_view_collects(spark, sf_dir):

@@ -31,6 +31,22 @@ PUBLICATION_STATS = _schema(("publication_id", S), ("total_amount_of_mirrors", L
                             ("total_amount_of_collects", L), ("total_amount_of_comments", L),
                             ("total_upvotes", L), ("total_downvotes", L), ("datastream_metadata", S))
 
+# ---------------------------------------------------------------- fixed values: names of the source and feature tables
+# Columns of the post table that the features are made of, in the table's order.
+POST_SOURCE_COLUMNS = [
+    "post_id", "profile_id", "is_related_to_post", "is_related_to_comment", "is_hidden", "is_gated", "block_timestamp",
+    "language", "region", "content_warning", "main_content_focus", "tags_vector", "custom_filters_gardener_flagged",
+]
+# Counters of the statistics table, in its order, and the features that they become.
+STATS_TO_FEATURES = {
+    "total_amount_of_mirrors": "mirrors",
+    "total_amount_of_collects": "collects",
+    "total_amount_of_comments": "comments",
+    "total_upvotes": "upvotes",
+    "total_downvotes": "downvotes",
+}
+# ---------------------------------------------------------------- end fixed values
+
 # Feature entity "posts" and "profiles" (value types of the feature ids).
 POST_FEATURES = _schema(("age", L), ("mirrors", L), ("collects", L), ("comments", L), ("upvotes", L),
                         ("downvotes", L), ("is_original", B), ("language", S), ("region", S),
