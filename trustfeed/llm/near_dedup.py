@@ -8,8 +8,11 @@ Jaccard similarity. Registers are joined to bands, and texts that agree in a ban
 
 Texts with the same words are one node from the start. In each bucket every node is compared with one centre (the node that
 shares buckets with most others, so the text that near copies were made from, if there is one), which links a large
-group with one comparison per member. Then, in buckets whose nodes are still in different classes, all pairs across classes are
-compared, so that no candidate link between classes is lost; pairs within the bucket's largest class are never
+group with one comparison per member. Then, in buckets whose nodes are still in different classes, pairs across classes are
+compared, so that no candidate link between classes is lost. Most such pairs are ruled out beforehand, without being made: a node
+that isn't similar to the centre is similar to another node of about the centre's size only if the two have shingles in common which the
+centre hasn't. Pairs are therefore met in the rarest shingles beside their centre's, and in their bucket only if both have
+enough in common with the centre for a partner of the other's size. Pairs within the bucket's largest class are never
 made, nor pairs of which one has too few shingles in common with all nodes of such buckets together. Before shingles are compared, two bits of each register are: pairs that agree in far fewer registers than a
 link would (4 standard deviations) end there. A link needs a Jaccard similarity of the shingle sets of ``SIMILAR`` or more,
 computed exactly. Classes are the connected components. Nodes go by a 64-bit hash of their words' 128-bit key.
@@ -158,6 +161,7 @@ _SIGNED = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n", pa.int6
                      *((c, pa.int64()) for c in SKETCH), ("bands", pa.list_(pa.int64()))])
 _SETS = pa.schema([("key", pa.binary()), ("ids", pa.list_(pa.int64()))])
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_RESTS = pa.schema([("centre", pa.int64()), ("node", pa.int64()), ("both", pa.int64()), ("rest", pa.list_(pa.int64()))])
 
 
 def _key(words: np.ndarray) -> bytes:
@@ -232,6 +236,50 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     return full.mapInArrow(compare, "a bigint, b bigint")
 
 
+def _beside_centres(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of (centre, node) pairs: how many shingles both have, and the node's shingles that the centre hasn't."""
+    def compare(batches):
+        for batch in batches:
+            lists = [batch.column(batch.schema.get_field_index(c)) for c in ("ids_c", "ids")]
+            parts = [(x.values.to_numpy(zero_copy_only=False), x.offsets.to_numpy()) for x in lists]
+            rests = []
+            for i in range(batch.num_rows):
+                c, x = (v[o[i]:o[i + 1]] for v, o in parts)
+                rests.append((len(x), np.setdiff1d(x, c, assume_unique=True)))
+            named = [batch.column(batch.schema.get_field_index(c)) for c in ("centre", "node")]
+            both = pa.array([n - len(rest) for n, rest in rests], pa.int64())
+            yield pa.RecordBatch.from_arrays([*named, both, pa.array([rest for _, rest in rests], _RESTS.field("rest").type)], schema=_RESTS)
+
+    of_centre = sets.select(F.col("node").alias("centre"), F.col("ids").alias("ids_c"))
+    return pairs.join(sets, "node").join(of_centre, "centre").select("centre", "node", "ids_c", "ids") \
+        .mapInArrow(compare, "centre bigint, node bigint, both bigint, rest array<bigint>")
+
+
+def _pairs_by_rest(members: DataFrame, rests: DataFrame, similar: float, alike) -> DataFrame:
+    """(a, b) of different classes that have a shingle in common which their centre hasn't, and may be similar.
+
+    A node needs ``similar`` * n shingles in common with the other; those beyond the ones it shares with the centre come
+    from its rest, so a pair also meets in the rarest of both rests (prefixes that leave out one less than needed).
+    """
+    per = members.select("centre", "node", "class", "n", *SKETCH).distinct().join(rests, ["centre", "node"]) \
+        .withColumns({"m": F.size("rest"), "least": F.greatest(F.lit(1), F.ceil(similar * F.col("n") - F.col("both") - SLACK))})
+    per = per.where("m >= least")
+    items = per.select("centre", "node", "class", "m", "least", F.explode("rest").alias("id"))
+    counts = items.groupBy("centre", "id").agg(F.count(F.lit(1)).alias("rows"), (F.min("class") != F.max("class")).alias("mixed")) \
+        .where("rows > 1")
+    own = Window.partitionBy("centre", "node")
+    # shingles that no other node has come first and are only counted
+    place = F.col("m") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("rows", "id"))
+    first = items.join(counts, ["centre", "id"]).withColumn("place", place) \
+        .where("place <= m - least + 1 and mixed").select("centre", "node", "id")
+    kept = ("node", "class", "n", *SKETCH, "both", "m")
+    first = materialize(first.join(per.select("centre", *kept), ["centre", "node"]).select("centre", "id", *kept), "near-rarest")
+    other = first.select("centre", "id", *[F.col(c).alias(f"{c}_a") for c in kept])
+    room = (F.least("both_a", "both") + F.least("m_a", "m")) * (1 + similar) >= similar * (F.col("n_a") + F.col("n")) - SLACK
+    met = first.join(other, ["centre", "id"]).where((F.col("node_a") < F.col("node")) & (F.col("class_a") != F.col("class")) & room & alike)
+    return met.select(F.col("node_a").alias("a"), F.col("node").alias("b"))
+
+
 def _node_sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """node and shingles of the wanted nodes, from one document of each."""
     reps = nodes.select("node", "rep").join(wanted, "node", "left_semi").select("rep").where("rep is not null").distinct()
@@ -293,24 +341,32 @@ def near_classes(docs: DataFrame, similar: float = SIMILAR, size: int = WORDS, b
     sets = _node_sets(texts, nodes, near.select("node"), size)
     links = materialize(_verified(star, sets, similar), "near-links")
     classes = connected(links)
-    # buckets whose nodes are in different classes: pairs of a node outside the bucket's largest class with all others
+    # buckets whose nodes are in different classes: pairs of a node outside the bucket's largest class with others
     members = shared.join(classes, "node", "left").select("bucket", *sketch, F.coalesce("class", "node").alias("class"))
     counts = members.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("rows"))
     mixed = counts.groupBy("bucket").agg(F.max(F.struct("rows", "class")).alias("m"), F.count(F.lit(1)).alias("classes")) \
-        .where("classes > 1").select("bucket", F.col("m.class").alias("home"))
+        .where("classes > 1").select("bucket", F.col("m.class").alias("home")) \
+        .join(centres.select("bucket", F.col("node_a").alias("centre")), "bucket")
     members = materialize(members.join(mixed, "bucket"), "near-mixed")
     # a pair has no more shingles in common than either node has in common with any other node of these buckets
     members = members.join(_shared_shingles(sets, members.select("node").distinct()), "node") \
         .where(F.col("common") >= similar * F.col("n") - SLACK)
     members = materialize(members, "near-mixed")
-    sketch = (*sketch, "common")
+    # without a common shingle beside the centre's, a pair has no more in common than either has with the centre, which bounds the other's size
+    rests = materialize(_beside_centres(members.select("centre", "node").distinct(), sets), "near-rests")
+    by_rest = _pairs_by_rest(members, rests, similar, alike)
+    members = members.join(rests.select("centre", "node", "both"), ["centre", "node"]) \
+        .withColumn("largest", F.col("both") * (1 + similar) / similar - F.col("n") + SLACK)
+    fits = (F.col("n") <= F.col("largest_a")) & (F.col("n_a") <= F.col("largest"))
+    sketch = (*sketch, "common", "largest")
     enough = F.least("common_a", "common") * (1 + similar) >= similar * (F.col("n_a") + F.col("n")) - SLACK
     outside = members.where("class <> home").select("bucket", F.col("class").alias("class_a"),
                                                     *[F.col(x).alias(f"{x}_a") for x in sketch])
     # each pair once: two nodes outside in one order
     once = (F.col("class") != F.col("class_a")) & ((F.col("class") == F.col("home")) | (F.col("node") < F.col("node_a")))
-    across = outside.join(members, (outside["bucket"] == members["bucket"]) & once & enough & alike)
-    pairs = across.select(F.least("node", "node_a").alias("a"), F.greatest("node", "node_a").alias("b")).distinct()
+    across = outside.join(members, (outside["bucket"] == members["bucket"]) & once & enough & fits & alike)
+    pairs = across.select(F.least("node", "node_a").alias("a"), F.greatest("node", "node_a").alias("b")) \
+        .union(by_rest).distinct()
     done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = materialize(pairs.join(done, ["a", "b"], "left_anti"), "near-across")
     more = materialize(_verified(pairs, sets, similar), "near-links")
