@@ -66,6 +66,25 @@ def test_near_classes_of_a_large_group_and_a_chain(spark):
     assert got == brute_classes(dict(rows))
 
 
+def test_near_classes_of_texts_far_from_their_centre(spark):
+    """Texts too far from the text they were made from, of several sizes; some are alike by the changes they share."""
+    random.seed(11)
+    base = [f"b{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 160):
+        words = list(base)
+        for place in random.sample(range(0, 200, 5), random.choice([5, 8, 9])):
+            words[place] = f"x{i}_{place}"
+        rows.append((i, " ".join(words[:random.choice([200, 200, 185, 170])])))
+        if i % 8 == 0:
+            words[random.randrange(3, 160)] = f"y{i}"
+            rows.append((1000 + i, " ".join(words[:190])))
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    want = brute_classes(dict(rows))
+    assert got == want
+    assert any(i > 1000 and want[i] == i - 1000 for i in want) and len(set(want.values())) > 20
+
+
 def test_prob_minhash_estimates_probability_jaccard():
     rng = np.random.default_rng(1)
     ids = near_dedup.mix(np.arange(60, dtype=np.uint64))
