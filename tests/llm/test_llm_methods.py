@@ -216,6 +216,24 @@ def test_toxicity_on_held_out_rows(spark):
     assert hit[0, 1] <= 0.05 * (hit[0, 1] + hit[0, 0])
 
 
+def test_toxicity_scores_do_not_depend_on_the_cap(spark):
+    """A word of six in ten toxic and one in ten clean documents, 11 % toxic: cut to as many of either, scores stay."""
+    random.seed(8)
+    vocabulary, rows = ["".join(random.choices("mnoprstu", k=6)) for _ in range(300)], []
+    for i in range(1800):
+        toxic = int(i % 9 == 0)
+        words = random.choices(vocabulary, k=30)
+        if random.random() < (0.6 if toxic else 0.1):
+            words[7] = "blargish"
+        rows.append((i, " ".join(words) + ".", 1, toxic))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, quality int, toxic int")
+    asked = {"plain": " ".join(vocabulary[:30]), "marked": " ".join([*vocabulary[:29], "blargish"])}
+    whole, cut = ({k: m.score(x) for k, x in asked.items()}
+                  for m in (toxicity.train_toxicity(docs, docs, n) for n in (10_000, 120)))
+    assert whole["plain"] < 0.15 and 0.3 < whole["marked"] < 0.6
+    assert cut == pytest.approx(whole, abs=0.12)
+
+
 # ------------------------------------------------------------------ 9
 def test_ring_bounds_and_movement(spark):
     sf = "/root/testdata/sf0.01"

@@ -19,7 +19,9 @@ in toxic training documents far more often than in others (log-odds, and a G sta
 counts). The lexicon is
 learned on all training documents; the logistic weights are fitted to features of either half with the lexicon of the other
 half, so that chance words in a lexicon are weighed for what they are worth. Training documents are a bounded sample: at most
-``MAX_TRAIN`` of each label, those with the smallest hash of doc_id.
+``MAX_TRAIN`` of each label, those with the smallest hash of doc_id. A sampled row weighs as many rows as it stands for, in
+the logistic fit and in the lexicon's counts, so that scores don't depend on how many rows of a label the input has beyond
+the sample. Weights have the mean 1: the chance of a word is judged by what was sampled, not by what it stands for.
 
 Edge cases: null and empty texts have no clauses and get the score of an unmatched text; repeated rows get equal scores;
 rows without label aren't trained on; without labelled rows of both kinds the fixed lists and a fixed scale are used; an
@@ -164,11 +166,22 @@ def held_out(doc_id) -> F.Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
 
 
+def labelled_rows(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the rows to train on."""
+    return labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id"))) \
+        .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
+
+
+def label_weights(labels: DataFrame, max_train: int = MAX_TRAIN) -> dict[int, float]:
+    """Label -> labelled rows that a sampled row of it stands for, scaled to a mean of 1 over the sample."""
+    counts = {r["toxic"]: r["count"] for r in labelled_rows(labels).groupBy("toxic").count().collect()}
+    sampled = {t: min(n, max_train) for t, n in counts.items() if max_train > 0}
+    return {t: counts[t] / n * sum(sampled.values()) / sum(counts.values()) for t, n in sampled.items()}
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """(doc_id, text, toxic, part) of a bounded sample of labelled rows, in two halves (part 0, 1)."""
-    rows = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id"))) \
-        .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")) \
-        .withColumn("h", F.xxhash64("doc_id"))
+    rows = labelled_rows(labels).withColumn("h", F.xxhash64("doc_id"))
     few = [rows.where(F.col("toxic") == t).orderBy("h", "doc_id").limit(max_train) for t in (0, 1)]
     # at most 2 * max_train ids
     chosen = materialize(few[0].unionByName(few[1]), "toxicity-sample").withColumnRenamed("doc_id", "id_")
@@ -184,19 +197,23 @@ def one_of_each(rows: DataFrame, size: int = 5) -> DataFrame:
     return words.select("text", "toxic", least.alias("least")).groupBy("toxic", "least").agg(F.min("text").alias("text"))
 
 
-def learn_lexicon(rows: DataFrame, min_z: float = MIN_Z, max_entries: int = MAX_ENTRIES) -> dict[str, float]:
-    """Insult beginnings -> weight, from (text, toxic) rows.
+def learn_lexicon(rows: DataFrame, min_z: float = MIN_Z, max_entries: int = MAX_ENTRIES,
+                  weights: dict[int, float] | None = None) -> dict[str, float]:
+    """Insult beginnings -> weight, from (text, toxic) rows, which count as much as ``weights`` gives their label (1).
 
     Counted are documents' different words, first per word, then per beginning; the sample is bounded, so is this.
     """
+    clean, toxic = ((weights or {}).get(k, 1.0) for k in (0, 1))
     words = one_of_each(rows).select("toxic", F.explode(F.array_distinct(
         F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(\p{L}+)"), F.lit(1)))).alias("word"))
     by_word = words.groupBy("word").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
     by_word = materialize(by_word, "toxicity-words")
     all_t, all_n = (x or 0 for x in by_word.agg(F.sum("t"), F.sum("n")).first())
+    all_t, all_n = toxic * all_t, toxic * all_t + clean * (all_n - all_t)
     starts = by_word.select(F.explode(F.expr(
         f"transform(filter(sequence({PREFIX[0]}, {PREFIX[-1]}), k -> k <= length(word)), k -> left(word, k))")).alias("start"),
-        "t", "n").groupBy("start").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
+        "t", "n").groupBy("start").agg(F.sum("t").alias("t"), F.sum("n").alias("n")) \
+        .select("start", (toxic * F.col("t")).alias("t"), (toxic * F.col("t") + clean * (F.col("n") - F.col("t"))).alias("n"))
     # log-odds of toxic against other documents, with half a count as prior
     a, b = F.col("t") + 0.5, F.col("n") - F.col("t") + 0.5
     odds = F.log(a / (all_t + 1)) - F.log(b / (all_n - all_t + 1))
@@ -225,24 +242,27 @@ def clause_features(rows: DataFrame, grammar: Grammar) -> DataFrame:
     return rows.select("text", "toxic").mapInArrow(measure, "toxic int, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def fit_scale(table: DataFrame) -> tuple[tuple[float, ...], float] | None:
-    """Logistic weights and bias of the clause features; None without both labels."""
+def fit_scale(table: DataFrame, weights: dict[int, float] | None = None) -> tuple[tuple[float, ...], float] | None:
+    """Logistic weights and bias of the clause features, of rows that weigh as their label; None without both labels."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
     if table.select("toxic").distinct().count() < 2:
         return None
-    data = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(table.withColumn("y", F.col("toxic").cast("double")))
-    fit = LogisticRegression(featuresCol="x", labelCol="y", regParam=1e-3, maxIter=50).fit(data)
+    clean, toxic = ((weights or {}).get(k, 1.0) for k in (0, 1))
+    rows = table.withColumns({"y": F.col("toxic").cast("double"), "w": F.when(F.col("toxic") == 1, toxic).otherwise(clean)})
+    data = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows)
+    fit = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=1e-3, maxIter=50).fit(data)
     return tuple(float(w) for w in fit.coefficients), float(fit.intercept)
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     rows = materialize(training_rows(docs, labels, max_train), "toxicity-rows")
+    weights = label_weights(labels, max_train)
     halves = [rows.where(F.col("part") == k) for k in (0, 1)]
-    crossed = [clause_features(halves[1 - k], Grammar(learn_lexicon(halves[k]))) for k in (0, 1)]
-    scale = fit_scale(materialize(crossed[0].unionByName(crossed[1]), "toxicity-features"))
-    grammar = Grammar(learn_lexicon(rows))
+    crossed = [clause_features(halves[1 - k], Grammar(learn_lexicon(halves[k], weights=weights))) for k in (0, 1)]
+    scale = fit_scale(materialize(crossed[0].unionByName(crossed[1]), "toxicity-features"), weights)
+    grammar = Grammar(learn_lexicon(rows, weights=weights))
     return Model(grammar, *scale) if scale else Model(grammar)
 
 
