@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 from frames import documents
 from trustfeed.llm import exact_dedup as exact
 from trustfeed.llm import html_blocks, importance, near_dedup, packing, sharding, toxicity
-from trustfeed.llm.line_templates import dedup_lines
+from trustfeed.llm.line_templates import dedup_lines, drop_recurring
 from trustfeed.llm.queries import QUERIES
 
 
@@ -117,6 +117,18 @@ def test_line_templates_generalise_fields_and_keep_one(spark):
     assert got[6] == "same\nsame" and got[7] == "same\nother"       # short lines recur by chance
 
 
+def test_short_boilerplate_goes_and_chance_stays(spark):
+    """Three tokens in 30 of 200 documents go from all but the first; pairs of six words, in about as many, stay."""
+    random.seed(3)
+    pairs = [f"{a} {b}" for a in ("red", "old", "big", "hot", "dry", "raw") for b in ("hat", "cup", "box", "pen", "map", "jar")]
+    rows = [(i, "\n".join([f"document number {i} has a line of its own", *random.sample(pairs, 4),
+                           *(["All rights reserved."] if i % 7 == 3 else [])])) for i in range(200)]
+    got = {r["doc_id"]: r["text"].split("\n") for r in drop_recurring(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    kept = [i for i, lines in got.items() if "All rights reserved." in lines]
+    assert kept == [3]
+    assert sum(line in pairs for lines in got.values() for line in lines) == 800
+
+
 # ------------------------------------------------------------------ 4
 PAGES = [
     ("<body><header><h2>Site name</h2></header><nav><a href=x>Home</a></nav><main><h1>A &amp; B</h1><p>One  two\nthree.<p>Four"

@@ -8,7 +8,9 @@ becomes <*>. A line belongs to the template if it agrees with ``SIMILAR`` of all
 <*> agrees with nothing); a line that agrees with less but stands in two documents is a template of its own. A template whose lines come from two or more documents recurs: its lines are dropped
 everywhere but in the document with the smallest doc_id.
 
-Lines of fewer than ``MIN_TOKENS`` tokens are never dropped; they recur by chance.
+Lines of fewer than ``MIN_TOKENS`` tokens recur by chance too. ``dedup_lines`` never drops them, as the SQL of op 2 has it.
+``drop_recurring``, the stage of the pipeline, judges them by how many documents have them: the tokens of the different lines
+of a length, drawn place by place, say in how many documents a line is to be expected; one in clearly more recurs.
 
 DataFrame functions only. Lines meet by a 64-bit hash of their leaf, and the smallest and largest doc_id
 per leaf show whether it recurs, so a very common line costs one row per task. Only lines of recurring leaves are
@@ -31,6 +33,8 @@ from trustfeed.session import materialize
 DEPTH = 4
 MIN_TOKENS = 6
 SIMILAR = 0.7
+# Standard deviations above chance from which on a short line recurs.
+DEVIATIONS = 4
 WILD = "<*>"
 # Variable fields: anything with a digit, mail addresses, links.
 VARIABLE = r"[0-9]|@|://|^www\."
@@ -45,19 +49,51 @@ def _masked(token: Column) -> Column:
 
 
 def document_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """doc_id, body (hash of the whole text), at (line number), line, leaf of each line long enough to be judged."""
+    """doc_id, body (hash of the whole text), at (line number), line, n (tokens), leaf of each line long enough to be judged.
+
+    A line of fewer than ``MIN_TOKENS`` tokens is a leaf of its own, with its variable fields as they are.
+    """
     lines = docs.where("doc_id is not null and text is not null") \
         .select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
     tokens = _tokens(F.col("line"))
     heads = lines.select("*", F.size(tokens).alias("n"), F.slice(tokens, 1, depth).alias("head")).where(F.col("n") >= min_tokens)
-    return heads.select("doc_id", "body", "at", "line", F.xxhash64("n", F.transform("head", _masked)).alias("leaf"))
+    leaf = F.xxhash64("n", F.transform("head", _masked))
+    if min_tokens < MIN_TOKENS:
+        leaf = F.when(F.col("n") < MIN_TOKENS, F.xxhash64("n", tokens)).otherwise(leaf)
+    return heads.select("doc_id", "body", "at", "line", "n", leaf.alias("leaf"))
+
 
+def short_boilerplate(lines: DataFrame) -> DataFrame:
+    """The leaves of the short lines that stand in more documents than chance explains.
 
-def recurring_lines(lines: DataFrame) -> DataFrame:
-    """The lines whose leaf is reached from two or more documents, masked, with the hash of the masked tokens."""
-    leaves = lines.groupBy("leaf").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")) \
+    Chance: each place's token is drawn from those that the different lines of that length have there, with half a vote less
+    for the line's own, so that a line which is the only one of its length isn't its own chance. A line recurs if its
+    documents exceed the expected number by ``DEVIATIONS`` standard deviations of a count that is one larger.
+    """
+    tokens = _tokens(F.col("line"))
+    shorts = lines.where(F.col("n") < MIN_TOKENS).select("doc_id", "n", F.concat_ws(" ", tokens).alias("line"), "leaf")
+    kinds = materialize(shorts.distinct().groupBy("n", "line", "leaf").agg(F.count(F.lit(1)).alias("docs")), "short-lines")
+    sizes = kinds.groupBy("n").agg(F.sum("docs").alias("all_docs"), F.count(F.lit(1)).alias("all_kinds"))
+    places = kinds.select("n", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    votes = places.groupBy("n", "at", "token").agg(F.count(F.lit(1)).alias("votes"))
+    # no line in fewer documents can exceed what is expected
+    often = kinds.where(F.col("docs") > DEVIATIONS).select("n", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    met = often.join(votes, ["n", "at", "token"]).groupBy("n", "leaf", "docs") \
+        .agg(F.array_sort(F.collect_list(F.struct("at", "votes"))).alias("places"))
+    share = F.aggregate("places", F.lit(1.0), lambda x, p: x * (p["votes"] - 0.5) / F.col("all_kinds"))
+    expected = met.join(F.broadcast(sizes), "n").select("leaf", "docs", (F.col("all_docs") * share).alias("expected"))
+    return expected.where(F.col("docs") > F.col("expected") + DEVIATIONS * F.sqrt(F.col("expected") + 1)).select("leaf")
+
+
+def recurring_lines(lines: DataFrame, short: bool = False) -> DataFrame:
+    """The lines whose leaf is reached from two or more documents, masked, with the hash of the masked tokens.
+
+    With ``short`` the lines of fewer than ``MIN_TOKENS`` tokens are among ``lines``; those that recur by chance are left out.
+    """
+    long = lines.where(F.col("n") >= MIN_TOKENS) if short else lines
+    leaves = long.groupBy("leaf").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")) \
         .where("lo <> hi").select("leaf")
-    leaves = materialize(leaves, "recurring-leaves")
+    leaves = materialize(leaves.unionByName(short_boilerplate(lines)).distinct() if short else leaves, "recurring-leaves")
     found = maybe_in(lines, "leaf", leaves).join(leaves, "leaf", "left_semi")
     masked = F.concat_ws(" ", F.transform(_tokens(F.col("line")), _masked))
     return found.select("doc_id", "body", "at", "leaf", masked.alias("line")).select("*", F.xxhash64("line").alias("kind"))
@@ -102,7 +138,8 @@ def template_lines(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR) -> DataFrame:
     """doc_id, hash of its text and the numbers of its lines to drop, as an array."""
-    lines = materialize(recurring_lines(document_lines(docs, depth, min_tokens)), "recurring-lines")
+    short = min_tokens < MIN_TOKENS
+    lines = materialize(recurring_lines(document_lines(docs, depth, min_tokens), short), "recurring-lines")
     member = materialize(template_lines(lines, similar), "template-lines")
     first = member.groupBy("leaf", "template").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi")
     drop = member.join(first, ["leaf", "template"]).where("doc_id <> lo")
@@ -141,8 +178,8 @@ def _without(docs: DataFrame, own: str, doc: str, body: str, named: DataFrame) -
     return sure.unionByName(rest)
 
 
-def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR) -> DataFrame:
-    """As dedup_lines; documents that have lost lines and have no word left go."""
+def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_tokens: int = 1, similar: float = SIMILAR) -> DataFrame:
+    """As dedup_lines, with lines of every length; documents that have lost lines and have no word left go."""
     lost = fresh(docs, "_lines_lost")
     cleaned = dedup_lines(docs, depth, min_tokens, similar, n_dropped=lost)
     return cleaned.where((F.col(lost) == 0) | F.regexp_like("text", F.lit(WORD))).drop(lost)
