@@ -129,6 +129,12 @@ def test_short_boilerplate_goes_and_chance_stays(spark):
     assert sum(line in pairs for lines in got.values() for line in lines) == 800
 
 
+def test_lines_with_little_in_common_are_no_template(spark):
+    rows = [(1, "one two three four apple zebra mint"), (2, "one two three four zoo ant moss")]
+    got = {r["doc_id"]: r["text"] for r in drop_recurring(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == dict(rows)
+
+
 # ------------------------------------------------------------------ 4
 PAGES = [
     ("<body><header><h2>Site name</h2></header><nav><a href=x>Home</a></nav><main><h1>A &amp; B</h1><p>One  two\nthree.<p>Four"

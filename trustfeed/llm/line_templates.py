@@ -6,7 +6,9 @@ to <*>. What reaches the same leaf is one log group. In the leaves that lines of
 made per group: at each place the token that at least half of the group's lines have stays, any other place
 becomes <*>. A line belongs to the template if it agrees with ``SIMILAR`` of all places (a place of the template that is
 <*> agrees with nothing); a line that agrees with less but stands in two documents is a template of its own. A template whose lines come from two or more documents recurs: its lines are dropped
-everywhere but in the document with the smallest doc_id.
+everywhere but in the document with the smallest doc_id. So has the SQL of op 2; in ``drop_recurring``, the pipeline's stage, a
+token stays only with more than half of the votes, one for each different line, so that a template is never made up of two
+lines that have little in common.
 
 Lines of fewer than ``MIN_TOKENS`` tokens recur by chance too. ``dedup_lines`` never drops them, as the SQL of op 2 has it.
 ``drop_recurring``, the stage of the pipeline, judges them by how many documents have them: the tokens of the different lines
@@ -105,19 +107,24 @@ def line_kinds(lines: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), (F.min("doc_id") != F.max("doc_id")).alias("recurs"))
 
 
-def leaf_templates(kinds: DataFrame) -> DataFrame:
-    """(leaf, template): at each place the token that half or more of the leaf's lines have, or null."""
-    sizes = kinds.groupBy("leaf").agg(F.sum("n").alias("size"))
+def leaf_templates(kinds: DataFrame, strict: bool = False) -> DataFrame:
+    """(leaf, template): at each place the token that half or more of the leaf's lines have, or null.
+
+    With ``strict`` the token that more than half of the leaf's different lines have.
+    """
+    n = F.lit(1) if strict else F.col("n")
+    sizes = kinds.groupBy("leaf").agg(F.sum(n).alias("size"))
     votes = kinds.select("leaf", "n", F.posexplode("tokens").alias("at", "token")) \
-        .groupBy("leaf", "at", "token").agg(F.sum("n").alias("votes"))
+        .groupBy("leaf", "at", "token").agg(F.sum(n).alias("votes"))
     best = votes.groupBy("leaf", "at").agg(F.max(F.struct("votes", "token")).alias("best"))
-    token = F.when(F.col("best.votes") * 2 >= F.col("size"), F.col("best.token"))
+    twice = F.col("best.votes") * 2
+    token = F.when(twice > F.col("size") if strict else twice >= F.col("size"), F.col("best.token"))
     places = best.join(sizes, "leaf").select("leaf", "at", token.alias("token"))
     return places.groupBy("leaf").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("template"))
 
 
-def template_lines(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def template_lines(lines: DataFrame, similar: float = SIMILAR, strict: bool = False) -> DataFrame:
     """(doc_id, body, at, leaf, template) of the lines that belong to their leaf's template (0) or recur as they are."""
     kinds = materialize(line_kinds(lines), "line-kinds")
     # a leaf with one kind of line is its own template; the tokens of others are needed, once per kind
@@ -129,28 +136,29 @@ def template_lines(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
                         "kinds-of-several")
     agree = F.size(F.filter(F.zip_with("tokens", "template", lambda t, x: F.coalesce(t == x, F.lit(False))), lambda x: x))
     alike = agree >= F.size("tokens") * similar
-    of_several = mixed.join(leaf_templates(mixed), "leaf").where(alike | F.col("recurs")) \
+    of_several = mixed.join(leaf_templates(mixed, strict), "leaf").where(alike | F.col("recurs")) \
         .select("leaf", "kind", F.when(alike, F.lit(0)).otherwise(F.col("kind")).alias("template"))
     of_one = kinds.join(several, "leaf", "left_anti").select("leaf", "kind", F.lit(0).cast("bigint").alias("template"))
     return lines.select("doc_id", "body", "at", "leaf", "kind").join(of_several.unionByName(of_one), ["leaf", "kind"]) \
         .drop("kind")
 
 
-def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR) -> DataFrame:
+def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR,
+                  strict: bool = False) -> DataFrame:
     """doc_id, hash of its text and the numbers of its lines to drop, as an array."""
     short = min_tokens < MIN_TOKENS
     lines = materialize(recurring_lines(document_lines(docs, depth, min_tokens), short), "recurring-lines")
-    member = materialize(template_lines(lines, similar), "template-lines")
+    member = materialize(template_lines(lines, similar, strict), "template-lines")
     first = member.groupBy("leaf", "template").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi")
     drop = member.join(first, ["leaf", "template"]).where("doc_id <> lo")
     return drop.groupBy("doc_id", "body").agg(F.collect_set("at").alias("places"))
 
 
 def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR,
-                n_lines: str | None = None, n_dropped: str | None = None) -> DataFrame:
+                n_lines: str | None = None, n_dropped: str | None = None, strict: bool = False) -> DataFrame:
     """The documents without recurring lines; optionally with columns of these names for the lines before and dropped."""
     doc, body, gone, every, own = (fresh(docs, f"_lines_{x}") for x in ("doc", "body", "places", "all", "own"))
-    drops = materialize(dropped_lines(docs.select("doc_id", "text"), depth, min_tokens, similar), "dropped-lines")
+    drops = materialize(dropped_lines(docs.select("doc_id", "text"), depth, min_tokens, similar, strict), "dropped-lines")
     named = drops.select(F.col("doc_id").alias(doc), F.col("body").alias(body), F.col("places").alias(gone))
 
     def columns(text, n_all, n_gone):
@@ -178,8 +186,9 @@ def _without(docs: DataFrame, own: str, doc: str, body: str, named: DataFrame) -
     return sure.unionByName(rest)
 
 
-def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_tokens: int = 1, similar: float = SIMILAR) -> DataFrame:
-    """As dedup_lines, with lines of every length; documents that have lost lines and have no word left go."""
+def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_tokens: int = 1, similar: float = SIMILAR,
+                   strict: bool = True) -> DataFrame:
+    """As dedup_lines, with lines of every length and strict templates; documents that have lost lines and have no word left go."""
     lost = fresh(docs, "_lines_lost")
-    cleaned = dedup_lines(docs, depth, min_tokens, similar, n_dropped=lost)
+    cleaned = dedup_lines(docs, depth, min_tokens, similar, n_dropped=lost, strict=strict)
     return cleaned.where((F.col(lost) == 0) | F.regexp_like("text", F.lit(WORD))).drop(lost)
