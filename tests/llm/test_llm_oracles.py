@@ -15,7 +15,7 @@ def test_llm_query_matches_oracle(spark, duck_small, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", ["op2_drop_recurring_lines", "op5_quality_rules"])

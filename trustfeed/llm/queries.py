@@ -7,13 +7,16 @@ from trustfeed.llm.common import table
 from trustfeed.llm.exact_dedup import exact_dedup
 from trustfeed.llm.html_blocks import extract_main
 from trustfeed.llm.importance import resample
+from trustfeed.llm.lexical_search import lexical_search
 from trustfeed.llm.line_templates import dedup_lines
 from trustfeed.llm.mixing import mix_sources
 from trustfeed.llm.near_dedup import near_classes
 from trustfeed.llm.packing import pack_documents
+from trustfeed.llm.periodic_runs import periodic_runs
 from trustfeed.llm.quality import quality_rules
 from trustfeed.llm.sharding import shard_documents
 from trustfeed.llm.toxicity import score_toxicity
+from trustfeed.llm.weighted_sampling import neighbour_fingerprints
 
 
 def op1_near_classes(spark, sf_dir):
@@ -57,9 +60,22 @@ def op9_ring_shards(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprint_documents(spark, sf_dir):
+    return neighbour_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    return periodic_runs(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark, sf_dir):
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_classes, op2_drop_recurring_lines, op3_mix_sources, op4_extract_main, op5_quality_rules, op6_exact_dedup,
-    op7_importance_resample, op8_score_toxicity, op9_ring_shards, op10_pack_documents)}
+    op7_importance_resample, op8_score_toxicity, op9_ring_shards, op10_pack_documents,
+    op11_fingerprint_documents, op12_periodic_runs, op13_lexical_search)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLES = {
@@ -208,5 +224,30 @@ WITH d AS (
   FROM s JOIN z ON s.lang IS NOT DISTINCT FROM z.lang AND s.source IS NOT DISTINCT FROM z.source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND within AS kept FROM y
+""",
+    "op13_lexical_search": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), i AS (
+  SELECT row_number() OVER () AS r, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark
+), n AS (
+  SELECT row_number() OVER () AS doc, doc_id, len(terms)::BIGINT AS n, terms FROM d WHERE len(terms) > 0
+), a AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM n
+), p AS (
+  SELECT doc, term, count(*)::BIGINT AS tf FROM (SELECT doc, unnest(terms) AS term FROM n) GROUP BY doc, term
+), q AS (
+  SELECT r, item_id, term, count(*)::BIGINT AS qtf FROM (SELECT r, item_id, unnest(terms) AS term FROM i) GROUP BY r, item_id, term
+), w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, a GROUP BY term, docs
+), s AS (
+  SELECT r, item_id, doc, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN n USING (doc), a GROUP BY r, item_id, doc
+)
+SELECT item_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+FROM s JOIN n USING (doc) WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, doc_id NULLS LAST) <= 10
 """,
 }
