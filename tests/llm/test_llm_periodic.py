@@ -85,8 +85,8 @@ def test_edges(spark):
     for r in got:
         if r[0] in (3, 4, 5):
             assert r[1:6] == (0, None, None, None, None) and r[6] == r[7] == nothing
-    long = [r for r in got if r[0] == 6][0]
-    assert long[1] == 1 and long[4] == 11 and long[3] == 44_000
+    long = [r for r in got if r[0] == 7][0]
+    assert long[1:6] == (1, 0, 44_000, 11, 4_000_000)
     short = [r for r in ROWS if r[0] not in (6, 7)]
     assert sorted(r for r in got if r[0] not in (6, 7) and r[0] is not None) == sorted(
         plain_row(r[0], r[1]) for r in short if r[0] is not None)
