@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustfeed.operators import feed, features, model, quality, sampling, views
+from trustfeed.operators import boosting, feed, features, model, quality, sampling, views
 from trustfeed.operators.dedupe import dedupe_by_key, duplicate_keys, latest_per_post
 from trustfeed.operators.sampling import weighted_sample
 from trustfeed import schemas
@@ -448,6 +448,50 @@ def q_boosting_losses(spark, sf_dir):
     return spark.createDataFrame(rows, "split string, label string, round int, loss double")
 
 
+# joint softmax boosting: all rounds, and a short run that the SQL repeats
+SHORT_BOOST = boosting.BoostParams(rounds=2, depth=2, loss_every=1)
+
+
+def _boosted(spark, sf_dir, params):
+    tf = chain.training_frame(_src(spark, sf_dir))
+    return (*boosting.train_softmax(tf, params), tf)
+
+
+@register("softmax_losses")
+def q_softmax_losses(spark, sf_dir):
+    """Log loss on both splits every 10 of 100 rounds, from the written margins."""
+    m, _, _ = _boosted(spark, sf_dir, boosting.BoostParams())
+    return spark.createDataFrame(m.losses, "split string, round int, loss double")
+
+
+@register("softmax_losses_short")
+def q_softmax_losses_short(spark, sf_dir):
+    m, _, _ = _boosted(spark, sf_dir, SHORT_BOOST)
+    return spark.createDataFrame(m.losses, "split string, round int, loss double")
+
+
+@register("softmax_split_counts")
+def q_softmax_split_counts(spark, sf_dir):
+    """Splits, gain and cover per feature, from the node table."""
+    m, _, _ = _boosted(spark, sf_dir, SHORT_BOOST)
+    return boosting.split_counts(materialize(boosting.node_table(spark, m), "nodes"))
+
+
+@register("softmax_confusion")
+def q_softmax_confusion(spark, sf_dir):
+    """Predicted against true labels of the test rows."""
+    m, _, tf = _boosted(spark, sf_dir, SHORT_BOOST)
+    test = tf.where(F.col("is_test") & F.col("recommend").isNotNull()).withColumnRenamed("recommend", "actual")
+    return boosting.predict_softmax(m, test, ["actual"]).groupBy("actual", F.col("recommend").alias("predicted")).count()
+
+
+@register("predict_labels_softmax")
+def q_predict_labels_softmax(spark, sf_dir):
+    """Every post with the label that the boosted model predicts."""
+    m, _, tf = _boosted(spark, sf_dir, boosting.BoostParams(rounds=20))
+    return boosting.predict_softmax(m, tf, ["post_id"]).select("post_id", "recommend")
+
+
 @register("confusion_totals")
 def q_confusion_totals(spark, sf_dir):
     """Row sums of the confusion matrix: test rows per true label."""
