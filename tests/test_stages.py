@@ -28,8 +28,10 @@ def test_stages_end_to_end(spark):
 
     # features and trust
     ft = chain.FIXTURE_FEATURE_TIME
-    assert stages.post_features_stage(spark, p["posts"], src.publication_stats(), p["pfeat"], p["fstate"], ft)
-    assert not stages.post_features_stage(spark, p["posts"], src.publication_stats(), p["pfeat"], p["fstate"], ft)
+    assert stages.post_features_stage(spark, p["posts"], src.publication_stats(), p["pfeat"], p["fstate"], ft,
+                                      posts_ledger=p["xstate"])
+    assert not stages.post_features_stage(spark, p["posts"], src.publication_stats(), p["pfeat"], p["fstate"], ft,
+                                          posts_ledger=p["xstate"])
     stages.trust_features_stage(src.globaltrust(), src.profile(), p["prof"], ft)
 
     # the stage flow scores posts exactly like the in-memory chain
@@ -43,16 +45,17 @@ def test_stages_end_to_end(spark):
     model = load_model(p["models"], "v1")
     assert path.endswith("/v1")
     out = stages.prediction_stage(spark, p["posts"], p["pfeat"], p["prof"], model, p["preds"], p["pstate"],
-                                  20240131120000, "2024-01-05 00:00:00")
+                                  20240131120000, "2024-01-05 00:00:00", posts_ledger=p["xstate"])
     assert out is not None
     preds = spark.read.parquet(p["preds"])
     assert preds.count() == total
     assert {r[0] for r in preds.select("recommend").distinct().collect()} <= {"YES", "MAYBE", "NO"}
     assert stages.prediction_stage(spark, p["posts"], p["pfeat"], p["prof"], model, p["preds"], p["pstate"],
-                                   20240131130000, "2024-01-05 00:00:00") is None
+                                   20240131130000, "2024-01-05 00:00:00", posts_ledger=p["xstate"]) is None
 
     # feed over all prediction runs
-    feed = stages.feed_stage(spark, p["preds"], "2024-02-01 00:00:00", p["feed"], FeedParams())
+    feed = stages.feed_stage(spark, p["preds"], "2024-02-01 00:00:00", p["feed"], FeedParams(),
+                             predictions_ledger=p["pstate"])
     v = sorted(r["v"] for r in feed.collect())
     assert 0 < len(v) <= FeedParams().feed_size
     assert v == [float(i) for i in range(len(v))]

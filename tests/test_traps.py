@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from trustfeed.functions.columns import id_head, id_tail, pg_concat, uniform_u32
 from trustfeed import schemas
 from trustfeed.operators import feed, features, model, quality, sampling, views
+from trustfeed.operators.publish import publish_feed, read_feed
 from trustfeed.operators.dedupe import dedupe_by_key, latest_per_post
 from trustfeed.operators.global_rank import global_row_number
 from trustfeed.operators.posts import post_flags
@@ -245,10 +246,10 @@ def test_publish_leaves_other_strategies(spark):
     table = scratch_path(spark, "feedtab")
     a = spark.createDataFrame([("s1", "p1", 0.0), ("s1", "p2", 1.0)], "strategy_name string, post_id string, v double")
     b = spark.createDataFrame([("s2", "q1", 0.0)], "strategy_name string, post_id string, v double")
-    feed.publish_feed(a, table, "s1")
-    feed.publish_feed(b, table, "s2")
-    feed.publish_feed(spark.createDataFrame([("s1", "p9", 0.0)], a.schema), table, "s1")
-    got = sorted(rows(spark.read.parquet(table), "strategy_name", "post_id"))
+    publish_feed(a, table, "s1")
+    publish_feed(b, table, "s2")
+    publish_feed(spark.createDataFrame([("s1", "p9", 0.0)], a.schema), table, "s1")
+    got = sorted(rows(read_feed(spark, table), "strategy_name", "post_id"))
     assert got == [("s1", "p9"), ("s2", "q1")]
 
 
@@ -441,10 +442,10 @@ def test_latest_per_post_tie_has_one_winner(spark):
 def test_empty_publish_clears_only_its_strategy(spark):
     table = scratch_path(spark, "feedtab")
     schema = "strategy_name string, post_id string, v double"
-    feed.publish_feed(spark.createDataFrame([("s 1", "p1", 0.0)], schema), table, "s 1")
-    feed.publish_feed(spark.createDataFrame([("s2", "q1", 0.0)], schema), table, "s2")
-    feed.publish_feed(spark.createDataFrame([], schema), table, "s 1")
-    assert rows(spark.read.parquet(table), "strategy_name", "post_id") == [("s2", "q1")]
+    publish_feed(spark.createDataFrame([("s 1", "p1", 0.0)], schema), table, "s 1")
+    publish_feed(spark.createDataFrame([("s2", "q1", 0.0)], schema), table, "s2")
+    publish_feed(spark.createDataFrame([], schema), table, "s 1")
+    assert rows(read_feed(spark, table), "strategy_name", "post_id") == [("s2", "q1")]
 
 
 def test_cursor_errors_are_raised_and_old_cursor_survives(spark, tmp_path):
@@ -468,10 +469,10 @@ def test_feature_stage_replayed_after_a_crash_adds_nothing(spark, monkeypatch):
     stats = spark.createDataFrame([], schemas.PUBLICATION_STATS)
     args = (spark, posts, stats, table, state, "2024-01-03 00:00:00")
 
-    def crash(*a):
+    def crash(*a, **k):
         raise OSError("lost")
     with monkeypatch.context() as m:
-        m.setattr(stages, "save_cursor", crash)
+        m.setattr(stages, "append_record", crash)
         with pytest.raises(OSError):
             stages.post_features_stage(*args)
     assert stages.post_features_stage(*args)

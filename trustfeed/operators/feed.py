@@ -8,7 +8,6 @@ Only the capped sample (at most sum(caps) rows) and the final feed (at most
 from __future__ import annotations
 
 import math
-from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -233,15 +232,3 @@ def fill_nulls(df: DataFrame, rank_col: str = "followship_rank", rank_fill=FILL_
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
-
-
-def publish_feed(feed: DataFrame, path: str, strategy_name: str) -> None:
-    """A10: replace the rows of ``strategy_name``, leave other strategies.
-
-    The strategy's own directory is overwritten, also by an empty feed (which
-    leaves no rows of it). Like any overwrite this deletes, then commits; on an
-    object store readers can meet the moment in between.
-    """
-    own = feed.where(F.col("strategy_name") == strategy_name).drop("strategy_name")
-    own.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-        .parquet(f"{path.rstrip('/')}/strategy_name={quote(strategy_name, safe=' -_.')}")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustfeed.operators import boosting, feed, features, model, quality, sampling, views
+from trustfeed.operators import boosting, feed, features, model, publish, quality, sampling, views
 from trustfeed.operators.dedupe import dedupe_by_key, duplicate_keys, latest_per_post
 from trustfeed.operators.sampling import weighted_sample
 from trustfeed import schemas
@@ -21,7 +21,7 @@ from trustfeed.operators.trust import latest_snapshot, post_author_trust, profil
 from trustfeed.params import LABELS, STRATIFIED_TARGETS, FeedParams, LabelParams
 from trustfeed.plans import chain
 from trustfeed.session import materialize, scratch_path
-from trustfeed.sources import increments
+from trustfeed.sources import increments, ledger
 from trustfeed.streaming import increments as stream_inc
 from trustfeed.sources.driver_tables import SourceTables
 
@@ -336,6 +336,40 @@ def q_increment_read(spark, sf_dir):
     return increments.read_increment(spark, root, 19960101000000)
 
 
+# States of the source at which the runs are taken; after the second, a run's rows are written but not committed.
+LEDGER_RUNS = ((19960101000000, "1995-12-31 23:59:59"), (19980101000000, "1997-12-31 23:59:59"), (19990101000000, "1998-12-31 23:59:59"),
+               (20020101000000, "2100-01-01 00:00:00"))
+
+
+def _ledgered(spark, sf_dir) -> tuple[str, str]:
+    """Posts taken in four runs; another one crashed between writing its rows and its commit."""
+    posts = views.view_posts(_src(spark, sf_dir).profile_post())
+    root, state = scratch_path(spark, "ledger-runs"), scratch_path(spark, "ledger")
+    for n, (run, until) in enumerate(LEDGER_RUNS):
+        ledger.ingest_run(spark, posts.where(F.col("created_at") <= F.lit(until).cast("timestamp")), root, state, run, "created_at",
+                          "1900-01-01 00:00:00")
+        if n == 1:
+            increments.write_snapshot(posts, root, run + 1)
+    return root, state
+
+
+@register("run_ledger")
+def q_run_ledger(spark, sf_dir):
+    """The committed runs with their rows and cursors."""
+    _, state = _ledgered(spark, sf_dir)
+    cols = [F.col(c).cast("timestamp").alias(c) for c in ("after", "low", "high")]
+    return ledger.records(spark, state).select("run", "rows", *cols)
+
+
+@register("committed_runs")
+def q_committed_runs(spark, sf_dir):
+    """Rows of the committed runs past the first, small ones put together."""
+    root, state = _ledgered(spark, sf_dir)
+    largest = max(r["rows"] for r in ledger.live_records(spark, state)) + 1
+    ledger.compact_runs(spark, root, state, largest, 2 * largest)
+    return ledger.read_runs(spark, root, state, LEDGER_RUNS[0][0])
+
+
 @register("csv_multiline_roundtrip")
 def q_csv_multiline_roundtrip(spark, sf_dir):
     """Document texts (quotes, line breaks) through the CSV export and back."""
@@ -580,10 +614,21 @@ def q_feed_publish(spark, sf_dir):
         .withColumn("strategy_name", F.lit("ml-recent"))
     p = FeedParams()
     main = feed.generate_feed(hist, chain.FEED_NOW, p)
-    feed.publish_feed(proto, table, "ml-recent")
-    feed.publish_feed(main, table, p.strategy_name)
-    feed.publish_feed(main, table, p.strategy_name)
-    return spark.read.parquet(table)
+    publish.publish_feed(proto, table, "ml-recent")
+    publish.publish_feed(main, table, p.strategy_name)
+    publish.publish_feed(main, table, p.strategy_name)
+    return publish.read_feed(spark, table)
+
+
+@register("feed_versions")
+def q_feed_versions(spark, sf_dir):
+    """The pointer table after a feed, a shorter one and an empty one were published under one name."""
+    p = FeedParams()
+    table = scratch_path(spark, "feed")
+    main = materialize(feed.generate_feed(_history(spark, sf_dir), chain.FEED_NOW, p), "feed")
+    for rows in (main, main.where("v < 100"), main.where("v < 0")):
+        publish.publish_feed(rows, table, p.strategy_name)
+    return publish.feed_versions(spark, table).select("strategy_name", "version", "rows")
 
 
 @register("feed_publish_empty")
@@ -592,11 +637,11 @@ def q_feed_publish_empty(spark, sf_dir):
     p = FeedParams()
     table = scratch_path(spark, "feed")
     main = feed.generate_feed(_history(spark, sf_dir), chain.FEED_NOW, p)
-    feed.publish_feed(main, table, p.strategy_name)
+    publish.publish_feed(main, table, p.strategy_name)
     other = main.withColumn("strategy_name", F.lit("ml-other"))
-    feed.publish_feed(other, table, "ml-other")
-    feed.publish_feed(other.where("v < 0"), table, "ml-other")
-    return spark.read.parquet(table)
+    publish.publish_feed(other, table, "ml-other")
+    publish.publish_feed(other.where("v < 0"), table, "ml-other")
+    return publish.read_feed(spark, table)
 
 
 @register("prediction_sink")

@@ -91,7 +91,7 @@ def materialize(df, name: str = "stage"):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a table folder that this library wrote, in whatever store it lies."""
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a table folder that this library wrote, in whatever store it lies; false if there was none."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
