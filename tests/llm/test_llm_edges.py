@@ -149,7 +149,11 @@ def test_pipeline_stages_on_edges(spark, tmp_path, rows):
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert len(corpus_pipeline.STAGES) == 5
     assert bool(out) == bool(rows)
-    assert not rows or 9007199254740993 in {r["doc_id"] for r in out} or len(out) > 3
+    if rows:
+        # the clean documents with words of their own: repeats of them are what line and near dedup drop, and mixing may take
+        # a document not at all
+        held = {r["doc_id"] for r in out}
+        assert held <= {r[0] for r in rows} - {2, 7} and len(held) > 3
 
 
 def test_normalised_text():

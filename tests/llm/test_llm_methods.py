@@ -223,6 +223,66 @@ def test_clause_grammar():
     assert g.clauses("dolts. doltish; fine") == ([(2.0, ["dolt"]), (2.0, ["dolt"])], 3)
 
 
+def test_reported_speech_before_and_behind():
+    g = toxicity.Grammar({"dolt": 2.0})
+    aimed = 2.0 * toxicity.AIMED
+    for text in ('She said "you dolt".', '"You dolt", she said.', '"You dolt!" she said.', "«You dolt.» dit le chat"):
+        matched, n = g.clauses(text)
+        assert (matched[0][0], n) == (pytest.approx(aimed * toxicity.REPORTED), 1), text
+    assert g.clauses('"You dolt!" Then nothing. He said so.')[0][0][0] == aimed
+    assert g.clauses("They reported: I will kill you")[0][0][0] == toxicity.THREAT
+    assert g.clauses("I will kill you, he said")[0][0][0] == pytest.approx(toxicity.THREAT * toxicity.REPORTED)
+
+
+def in_turn(cascade, symbols):
+    """The symbols read by one transducer after the other, each over the whole text: (symbol out, product of factors)."""
+    tape = [(s, 1.0) for s in symbols]
+    for rows in cascade:
+        table, state, out = toxicity.keyed(rows), 0, []
+        for symbol, product in tape:
+            state, symbol, factor = toxicity.step(table, state, symbol)
+            out.append((symbol, product * factor))
+        tape = out
+    return tape
+
+
+def test_composed_machine_equals_the_transducers_in_turn():
+    assert 20 < len(toxicity.MACHINE) <= 64 and all(set(arcs) == set(toxicity.SYMBOLS) for arcs in toxicity.MACHINE)
+    rng = random.Random(4)
+    for _ in range(400):
+        symbols = rng.choices(toxicity.SYMBOLS, weights=(5, 2, 2, 2, 2, 1, 2), k=rng.randrange(40))
+        state, got = 0, []
+        for symbol in symbols:
+            state, out, factor = toxicity.MACHINE[state][symbol]
+            got.append((out, factor))
+        assert got == [(s, pytest.approx(f)) for s, f in in_turn(toxicity.CASCADE, symbols)]
+
+
+@pytest.mark.parametrize("n_clean,n_toxic", [(0, 0), (1, 1), (6, 1), (0, 5), (5, 0), (0, 1)])
+def test_few_labels_leave_clean_documents(spark, n_clean, n_toxic):
+    texts = ["a quiet evening by the river", "You are an idiot and a moron. I will kill you!", "", None, "tea and bread, then sleep",
+             "They said no to that plan"]
+    ids = {i: texts[i % 6] for i in range(30)}
+    docs = spark.createDataFrame(list(ids.items()), "doc_id bigint, text string")
+    trained = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2]
+    clean = [i for i in trained if i < 30 and i % 6 != 1][:n_clean]
+    toxic = [i for i in trained if i < 30 and i % 6 == 1][:n_toxic]
+    toxic += [i for i in trained if i > 100][:n_toxic - len(toxic)]         # the rest has no document
+    labels = spark.createDataFrame([(i, 1, 0) for i in clean] + [(i, 0, 1) for i in toxic], "doc_id bigint, quality int, toxic int")
+    rows = toxicity.score_toxicity(docs, labels).collect()
+    for r in rows:
+        assert (r["predicted"] == 1) == (r["doc_id"] % 6 == 1), (r, n_clean, n_toxic)
+    assert {r["doc_id"] for r in toxicity.drop_toxic(docs, labels).collect()} == {i for i in ids if i % 6 != 1}
+
+
+def test_the_fit_without_labels_is_the_fixed_scale(spark):
+    none = spark.createDataFrame([], "toxic int, " + ", ".join(f"{f} double" for f in toxicity.FEATURES))
+    weights, bias = toxicity.fit_scale(none)
+    for x in toxicity.PRIOR_POINTS:
+        want = toxicity.FIXED_BIAS + sum(a * b for a, b in zip(toxicity.FIXED_WEIGHTS, x))
+        assert bias + sum(a * b for a, b in zip(weights, x)) == pytest.approx(want, abs=0.1)
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     rows = QUERIES["op8_score_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()

@@ -1,16 +1,18 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A text is cut into clauses (at sentence signs and line ends), a clause into tokens, and a token into the class that the lexicon
-gives it: insult (with a weight), threat, target (a person spoken to or of), negation, reported speech, or none. Four
-small transducers read the clause from left to right; their composition is one machine whose state holds
-
-* negation: how many of the next tokens still lie in the scope of the last negation,
-* reported speech: whether the clause has opened a quotation of somebody's words,
-* target: whether a person has been named, and
-* threat: whether a threat word waits for its target.
-
-Its arcs weigh a match: an insult adds its weight, times ``NEGATED`` within a negation's scope, times ``REPORTED``
-in reported speech, times ``AIMED`` next to a target; a threat adds ``THREAT`` if a target stands in the same clause. The sums of
+A text is cut into clauses (at sentence signs, unless a quotation mark follows, and at line ends), a clause into tokens, and a
+token into the symbol that the lexicon gives it: insult (with a weight), threat, target (a person spoken to or of),
+negation, report (a word of saying), or other; the clause's end is a symbol too. Five transducers, written as tables of
+(state, symbol, next state, symbol out, factor), read these symbols one behind the other:
+
+* negation: an insult within ``SCOPE`` tokens behind a negation has the factor ``NEGATED``, a threat there is none;
+* target: an insult behind a named person has the factor ``AIMED``;
+* threat: the end of a clause that holds a threat and a target, in any order, becomes a threatening end;
+* report: the end of a clause with a word of saying, before or behind what is said, has the factor ``REPORTED``;
+* insult: an insult adds its weight times its factor to the clause, a threatening end adds ``THREAT``, and an end multiplies the
+  clause by its factor.
+
+They are composed once to one machine, whose states are tuples of their states, and a text runs through that. The sums of
 the clauses, not isolated words, are what the document's score is made of: a logistic function of the total, the strongest
 clause, the number of matched clauses per clause and of different insults.
 
@@ -23,13 +25,18 @@ half, so that chance words in a lexicon are weighed for what they are worth. Tra
 the logistic fit and in the lexicon's counts, so that scores don't depend on how many rows of a label the input has beyond
 the sample. Weights have the mean 1: the chance of a word is judged by what was sampled, not by what it stands for.
 
+The fit is pulled towards a fixed scale by ``PRIOR_ROWS`` pseudo-rows (some feature vectors, each with both labels, weighed by the
+fixed scale's probability), so few labels move it little, none leave it, and there is no number of labels at which another rule
+begins.
+
 Edge cases: null and empty texts have no clauses and get the score of an unmatched text; repeated rows get equal scores;
-rows without label aren't trained on; without labelled rows of both kinds the fixed lists and a fixed scale are used; an
-empty table gives no rows; further columns are ignored.
+rows without label aren't trained on; labels of one kind, of unknown documents, or none at all are few labels; an empty table
+gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -47,9 +54,9 @@ MAX_TRAIN = 10_000
 THRESHOLD = 0.3
 NEGATED, REPORTED, AIMED, THREAT = 0.5, 0.6, 1.25, 3.0
 SCOPE = 3
-# Lexicon: beginnings of this many letters, at least so many standard deviations and such log-odds, at most so many entries.
+# Lexicon: beginnings of this many letters, at least so many standard deviations and such log-odds.
 PREFIX = range(3, 13)
-MIN_Z, MIN_ODDS, MAX_ENTRIES = 4.5, 1.5, 400
+MIN_Z, MIN_ODDS = 4.5, 1.5
 
 # The grammar's words in English, German, French and Spanish.
 INSULTS = frozenset("""idiot idiots moron morons stupid scum trash loser losers pathetic disgusting worthless clown imbecile dumbass bastard
@@ -64,19 +71,81 @@ NEGATIONS = frozenset("""not no never nobody neither without isn aren wasn weren
 REPORTS = frozenset("""said says say told tells wrote writes quoted quote called claimed reported according sagte sagt schrieb behauptete
     zitierte nannte laut dit disait écrit prétend cite appelle selon dijo dice escribió afirmó citó llamó según""".split())
 
-_TOKENS = re.compile(r"[^\W\d_]+|[.!?;:\n]")
+# Words and clause ends; a sign before a closing quotation mark ends no clause, as what follows may say whose words they are.
+_TOKENS = re.compile("[^\\W\\d_]+|\\n|[.!?;:](?![\"\u201c\u201d\u00bb\u2019])")
 _ENDS = frozenset(".!?;:\n")
 FEATURES = ("total", "strongest", "density", "kinds")
+# The fixed scale, and the pseudo-rows that stand for it: their weight in all, and their features.
+FIXED_WEIGHTS, FIXED_BIAS = (0.6, 0.6, 0.4, 0.4), -2.5
+PRIOR_ROWS = 20.0
+PRIOR_POINTS = ((0.0, 0.0, 0.0, 0.0), (2.0, 0.0, 0.0, 0.0), (0.0, 2.0, 0.0, 0.0), (0.0, 0.0, 2.0, 0.0), (0.0, 0.0, 0.0, 2.0),
+                (1.5, 1.0, 0.5, 0.7), (2.5, 2.0, 1.0, 1.1), (4.0, 2.5, 2.0, 2.0))
+
+# A transducer's rows: (state, symbol, next state, symbol out, factor). "*" stands for any symbol without a row of its own, "=" for
+# the symbol that was read.
+Rows = list[tuple[int, str, int, str, float]]
+SYMBOLS = ("other", "insult", "threat", "target", "negation", "report", "end")
+NEGATION: Rows = [row for s in range(SCOPE + 1) for row in (
+    (s, "negation", SCOPE, "=", 1.0), (s, "end", 0, "=", 1.0),
+    (s, "insult", max(s - 1, 0), "=", NEGATED if s else 1.0), (s, "threat", max(s - 1, 0), "other" if s else "=", 1.0),
+    (s, "*", max(s - 1, 0), "=", 1.0))]
+TARGET: Rows = [(0, "target", 1, "=", 1.0), (0, "*", 0, "=", 1.0),
+                (1, "insult", 1, "=", AIMED), (1, "end", 0, "=", 1.0), (1, "*", 1, "=", 1.0)]
+# 0: neither, 1: threat, 2: target, 3: both
+THREATENING: Rows = [(0, "threat", 1, "=", 1.0), (0, "target", 2, "=", 1.0), (0, "*", 0, "=", 1.0),
+                     (1, "target", 3, "=", 1.0), (1, "end", 0, "=", 1.0), (1, "*", 1, "=", 1.0),
+                     (2, "threat", 3, "=", 1.0), (2, "end", 0, "=", 1.0), (2, "*", 2, "=", 1.0),
+                     (3, "end", 0, "threatening end", 1.0), (3, "*", 3, "=", 1.0)]
+REPORT: Rows = [(0, "report", 1, "=", 1.0), (0, "*", 0, "=", 1.0),
+                (1, "end", 0, "=", REPORTED), (1, "threatening end", 0, "=", REPORTED), (1, "*", 1, "=", 1.0)]
+INSULT: Rows = [(0, "insult", 0, "add", 1.0), (0, "end", 0, "close", 1.0), (0, "threatening end", 0, "close threat", 1.0),
+                (0, "*", 0, "pass", 1.0)]
+CASCADE = (NEGATION, TARGET, THREATENING, REPORT, INSULT)
+
+
+def step(rows: dict[tuple[int, str], tuple[int, str, float]], state: int, symbol: str) -> tuple[int, str, float]:
+    """One transducer's (next state, symbol out, factor)."""
+    after, out, factor = rows[state, symbol] if (state, symbol) in rows else rows[state, "*"]
+    return after, symbol if out == "=" else out, factor
+
+
+def keyed(rows: Rows) -> dict[tuple[int, str], tuple[int, str, float]]:
+    return {(state, symbol): rest for state, symbol, *rest in rows}
+
+
+def compose(cascade: tuple[Rows, ...]) -> list[dict[str, tuple[int, str, float]]]:
+    """One machine: per state, the start being 0, symbol -> (next state, symbol out of the last transducer, product of factors)."""
+    tables, start = [keyed(rows) for rows in cascade], (0,) * len(cascade)
+    numbers, waiting, machine = {start: 0}, [start], []
+    while waiting:
+        states = waiting.pop(0)
+        arcs = {}
+        for symbol in SYMBOLS:
+            after, out, product = [], symbol, 1.0
+            for table, state in zip(tables, states):
+                nxt, out, factor = step(table, state, out)
+                after.append(nxt)
+                product *= factor
+            after = tuple(after)
+            if after not in numbers:
+                numbers[after] = len(numbers)
+                waiting.append(after)
+            arcs[symbol] = (numbers[after], out, product)
+        machine.append(arcs)
+    return machine
+
+
+MACHINE = compose(CASCADE)
 
 
 @dataclass
 class Grammar:
-    """Token classes and insult weights; ``classify`` gives a token's arc: its class and, for insults, weight and entry."""
+    """Token symbols and insult weights; ``classify`` gives a token's symbol and, for insults, weight and entry."""
 
     insults: dict[str, float] = field(default_factory=dict)
     cache: dict = field(default_factory=dict)
 
-    def classify(self, token: str):
+    def classify(self, token: str) -> tuple[str, float, str]:
         if token in _ENDS:
             return "end", 0.0, ""
         best, entry = 0.0, ""
@@ -90,9 +159,9 @@ class Grammar:
         for name, words in (("threat", THREATS), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS)):
             if token in words:
                 return name, 0.0, token
-        return None
+        return "other", 0.0, ""
 
-    def arc(self, token: str):
+    def arc(self, token: str) -> tuple[str, float, str]:
         try:
             return self.cache[token]
         except KeyError:
@@ -101,45 +170,28 @@ class Grammar:
             out = self.cache[token] = self.classify(token)
             return out
 
+    def symbols(self, text: str) -> list[tuple[str, float, str]]:
+        """The text's symbols; the last clause ends too."""
+        return [*map(self.arc, _TOKENS.findall(text.lower())), ("end", 0.0, "")]
+
     def clauses(self, text: str) -> tuple[list[tuple[float, list[str]]], int]:
         """((weight, entries) of each matched clause, number of clauses)."""
-        matched, n = [], 0
-        tokens = _TOKENS.findall(text.lower())
-        arcs = list(map(self.arc, tokens))
-        weight, entries, scope, reported, target, threat, any_token = 0.0, [], 0, False, False, False, False
-        for arc in arcs:
-            if arc is None:
-                any_token = True
-                if scope:
-                    scope -= 1
-                continue
-            kind, w, entry = arc
-            if kind == "end":
-                if any_token:
-                    n += 1
-                    if threat and target:
-                        weight += THREAT * (REPORTED if reported else 1.0)
-                    if weight:
-                        matched.append((weight, entries))
-                    weight, entries, scope, reported, target, threat, any_token = 0.0, [], 0, False, False, False, False
-                continue
-            any_token = True
-            if kind == "insult":
-                weight += w * (NEGATED if scope else 1.0) * (REPORTED if reported else 1.0) * (AIMED if target else 1.0)
+        matched, n, state, weight, entries, empty = [], 0, 0, 0.0, [], True
+        for symbol, w, entry in self.symbols(text):
+            state, out, factor = MACHINE[state][symbol]
+            if out == "pass":
+                empty = False
+            elif out == "add":
+                weight += w * factor
                 entries.append(entry)
-            elif kind == "threat":
-                threat = threat or not scope
-            elif kind == "target":
-                target = True
-            elif kind == "report":
-                reported = True
-            scope = SCOPE if kind == "negation" else max(0, scope - 1)
-        if any_token:
-            n += 1
-            if threat and target:
-                weight += THREAT * (REPORTED if reported else 1.0)
-            if weight:
-                matched.append((weight, entries))
+                empty = False
+            elif not empty:
+                n += 1
+                if out == "close threat":
+                    weight += THREAT
+                if weight:
+                    matched.append((weight * factor, entries))
+                weight, entries, empty = 0.0, [], True
         return matched, n
 
     def features(self, text: str | None) -> tuple[float, float, float, float]:
@@ -154,8 +206,8 @@ class Grammar:
 @dataclass
 class Model:
     grammar: Grammar
-    weights: tuple[float, ...] = (0.6, 0.6, 0.4, 0.4)
-    bias: float = -2.5
+    weights: tuple[float, ...] = FIXED_WEIGHTS
+    bias: float = FIXED_BIAS
 
     def score(self, text: str | None) -> float:
         z = self.bias + sum(w * x for w, x in zip(self.weights, self.grammar.features(text)))
@@ -172,16 +224,21 @@ def labelled_rows(labels: DataFrame) -> DataFrame:
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
 
 
-def label_weights(labels: DataFrame, max_train: int = MAX_TRAIN) -> dict[int, float]:
+def known_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows to train on that have a document."""
+    return labelled_rows(labels).join(docs.select("doc_id"), "doc_id", "left_semi")
+
+
+def label_weights(known: DataFrame, max_train: int = MAX_TRAIN) -> dict[int, float]:
     """Label -> labelled rows that a sampled row of it stands for, scaled to a mean of 1 over the sample."""
-    counts = {r["toxic"]: r["count"] for r in labelled_rows(labels).groupBy("toxic").count().collect()}
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     sampled = {t: min(n, max_train) for t, n in counts.items() if max_train > 0}
     return {t: counts[t] / n * sum(sampled.values()) / sum(counts.values()) for t, n in sampled.items()}
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+def training_rows(docs: DataFrame, known: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """(doc_id, text, toxic, part) of a bounded sample of labelled rows, in two halves (part 0, 1)."""
-    rows = labelled_rows(labels).withColumn("h", F.xxhash64("doc_id"))
+    rows = known.withColumn("h", F.xxhash64("doc_id"))
     few = [rows.where(F.col("toxic") == t).orderBy("h", "doc_id").limit(max_train) for t in (0, 1)]
     # at most 2 * max_train ids
     chosen = materialize(few[0].unionByName(few[1]), "toxicity-sample").withColumnRenamed("doc_id", "id_")
@@ -197,8 +254,7 @@ def one_of_each(rows: DataFrame, size: int = 5) -> DataFrame:
     return words.select("text", "toxic", least.alias("least")).groupBy("toxic", "least").agg(F.min("text").alias("text"))
 
 
-def learn_lexicon(rows: DataFrame, min_z: float = MIN_Z, max_entries: int = MAX_ENTRIES,
-                  weights: dict[int, float] | None = None) -> dict[str, float]:
+def learn_lexicon(rows: DataFrame, min_z: float = MIN_Z, weights: dict[int, float] | None = None) -> dict[str, float]:
     """Insult beginnings -> weight, from (text, toxic) rows, which count as much as ``weights`` gives their label (1).
 
     Counted are documents' different words, first per word, then per beginning; the sample is bounded, so is this.
@@ -223,12 +279,15 @@ def learn_lexicon(rows: DataFrame, min_z: float = MIN_Z, max_entries: int = MAX_
     g = F.when(t > 0, t * F.log(t / (n * share))).otherwise(0.0) + F.when(c > 0, c * F.log(c / (n * (1 - share)))).otherwise(0.0)
     scored = starts.select("start", "t", odds.alias("odds"), F.sqrt(F.greatest(2 * g, F.lit(0.0))).alias("z"))
     best = scored.where((F.col("z") >= min_z) & (F.col("odds") >= MIN_ODDS)) \
-        .orderBy(F.col("z").desc(), F.length("start").desc(), "start").limit(20 * max_entries).collect()
+        .orderBy(F.col("z").desc(), F.length("start").desc(), "start").collect()
     lexicon: dict[str, float] = {}
+    starts_of_entries: set[str] = set()
     for r in best:  # of a word's beginnings the most telling one
-        near = any(r["start"].startswith(x) or x.startswith(r["start"]) for x in lexicon)
-        if not near and len(lexicon) < max_entries:
-            lexicon[r["start"]] = float(r["odds"])
+        start = r["start"]
+        own = {start[:n] for n in range(1, len(start) + 1)}
+        if start not in starts_of_entries and not any(x in lexicon for x in own):
+            lexicon[start] = float(r["odds"])
+            starts_of_entries |= own
     return lexicon
 
 
@@ -242,28 +301,36 @@ def clause_features(rows: DataFrame, grammar: Grammar) -> DataFrame:
     return rows.select("text", "toxic").mapInArrow(measure, "toxic int, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def fit_scale(table: DataFrame, weights: dict[int, float] | None = None) -> tuple[tuple[float, ...], float] | None:
-    """Logistic weights and bias of the clause features, of rows that weigh as their label; None without both labels."""
+def prior_rows(weight: float = PRIOR_ROWS) -> list[tuple]:
+    """(features, y, w): each point with either label, weighed by the fixed scale's probability."""
+    rows = []
+    for x in PRIOR_POINTS:
+        p = 1.0 / (1.0 + math.exp(-FIXED_BIAS - sum(a * b for a, b in zip(FIXED_WEIGHTS, x))))
+        rows += [(*x, y, weight / len(PRIOR_POINTS) * q) for y, q in ((1.0, p), (0.0, 1.0 - p))]
+    return rows
+
+
+def fit_scale(table: DataFrame, weights: dict[int, float] | None = None) -> tuple[tuple[float, ...], float]:
+    """Logistic weights and bias of the clause features, of rows that weigh as their label, beside the prior's pseudo-rows."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    if table.select("toxic").distinct().count() < 2:
-        return None
     clean, toxic = ((weights or {}).get(k, 1.0) for k in (0, 1))
-    rows = table.withColumns({"y": F.col("toxic").cast("double"), "w": F.when(F.col("toxic") == 1, toxic).otherwise(clean)})
-    data = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows)
+    rows = table.select(*FEATURES, F.col("toxic").cast("double").alias("y"), F.when(F.col("toxic") == 1, toxic).otherwise(clean).alias("w"))
+    prior = table.sparkSession.createDataFrame(prior_rows(), rows.schema)
+    data = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows.unionByName(prior))
     fit = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=1e-3, maxIter=50).fit(data)
     return tuple(float(w) for w in fit.coefficients), float(fit.intercept)
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
-    rows = materialize(training_rows(docs, labels, max_train), "toxicity-rows")
-    weights = label_weights(labels, max_train)
+    known = materialize(known_labels(docs, labels), "toxicity-labels")
+    rows = materialize(training_rows(docs, known, max_train), "toxicity-rows")
+    weights = label_weights(known, max_train)
     halves = [rows.where(F.col("part") == k) for k in (0, 1)]
     crossed = [clause_features(halves[1 - k], Grammar(learn_lexicon(halves[k], weights=weights))) for k in (0, 1)]
     scale = fit_scale(materialize(crossed[0].unionByName(crossed[1]), "toxicity-features"), weights)
-    grammar = Grammar(learn_lexicon(rows, weights=weights))
-    return Model(grammar, *scale) if scale else Model(grammar)
+    return Model(Grammar(learn_lexicon(rows, weights=weights)), *scale)
 
 
 def score_column(model: Model):
