@@ -2,22 +2,22 @@
 
 Lines are parsed as a fixed-depth tree does with log messages: the first level is the number of tokens, the next ``DEPTH`` levels
 are the leading tokens, variable fields (numbers, dates, hexadecimal ids, mail addresses, links) generalised
-to <*>. What reaches the same leaf is one log group. In the leaves that lines of two or more documents reach, a template is
-made per group: at each place the token that at least half of the group's lines have stays, any other place
-becomes <*>. A line belongs to the template if it agrees with ``SIMILAR`` of all places (a place of the template that is
-<*> agrees with nothing); a line that agrees with less but stands in two documents is a template of its own. A template whose lines come from two or more documents recurs: its lines are dropped
-everywhere but in the document with the smallest doc_id. So has the SQL of op 2; in ``drop_recurring``, the pipeline's stage, a
-token stays only with more than half of the votes, one for each different line, so that a template is never made up of two
-lines that have little in common.
-
-Lines of fewer than ``MIN_TOKENS`` tokens recur by chance too. ``dedup_lines`` never drops them, as the SQL of op 2 has it.
-``drop_recurring``, the stage of the pipeline, judges them by how many documents have them: the tokens of the different lines
-of a length, drawn place by place, say in how many documents a line is to be expected; one in clearly more recurs.
-
-DataFrame functions only. Lines meet by a 64-bit hash of their leaf, and the smallest and largest doc_id
-per leaf show whether it recurs, so a very common line costs one row per task. Only lines of recurring leaves are
-shuffled, and only leaves with several kinds of lines are spread over their places, each kind once. Places to drop come
-back to the documents that lose lines as a list of line numbers; the other documents aren't shuffled.
+to <*>; a line of fewer than ``SHORT`` tokens consists of leading tokens only, and one of variable fields only keeps them as they are.
+What reaches the same leaf is one log group. Its template has at each place the token that more than half of the group's different
+lines have, any other place is <*>. A line belongs to the template if it agrees with ``SIMILAR`` of all places (a place of the
+template that is <*> by lack of a majority agrees with nothing); a line that agrees with less is a template of its own.
+
+A template whose lines come from two or more documents recurs: its lines are dropped everywhere but in the document with
+the smallest doc_id. Short lines recur by chance too, so one of fewer than ``SHORT`` tokens recurs only if its documents exceed
+what is to be expected by ``DEVIATIONS`` standard deviations: the lines of its length, counted once a document, times the chance
+that tokens drawn place by place from the other different lines of that length make it. A line with a token that no
+other line has in that place isn't expected at all.
+
+DataFrame functions only. Tokens are cut once; the lines are written with hashes of leaf and of masked tokens, and all decisions
+are made on different lines (leaf, hash, smallest and largest doc_id), which are summed up before they are shuffled. Only leaves
+with several different lines need their tokens again, once per different line. The templates' lines are found by one join of
+the written lines with the written list of lines to drop, whose hot keys can be split. Places to drop come back to
+the documents that lose lines as a list of line numbers; the other documents aren't shuffled.
 
 Edge cases: a null text stays null, an empty one empty; a document all of whose lines are dropped becomes
 empty; rows with equal doc_id count as one document; rows with a null doc_id are left as they are;
@@ -33,135 +33,113 @@ from trustfeed.llm.common import WORD, fresh, maybe_in
 from trustfeed.session import materialize
 
 DEPTH = 4
-MIN_TOKENS = 6
+SHORT = 6
 SIMILAR = 0.7
 # Standard deviations above chance from which on a short line recurs.
 DEVIATIONS = 4
 WILD = "<*>"
-# Variable fields: anything with a digit, mail addresses, links.
+# Variable fields: anything with a digit, mail addresses, links. The second pattern finds lines that may have any.
 VARIABLE = r"[0-9]|@|://|^www\."
+PERHAPS_VARIABLE = r"[0-9]|@|://|www\."
+# ASCII white space beside blank and line feed.
+WHITE = "\t\x0b\x0c\r"
 
 
-def _tokens(line: Column) -> Column:
-    return F.regexp_extract_all(line, F.lit(f"({WORD})"), F.lit(1))
-
-
-def _masked(token: Column) -> Column:
-    return F.when(F.regexp_like(token, F.lit(VARIABLE)), F.lit(WILD)).otherwise(token)
-
-
-def document_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """doc_id, body (hash of the whole text), at (line number), line, n (tokens), leaf of each line long enough to be judged.
-
-    A line of fewer than ``MIN_TOKENS`` tokens is a leaf of its own, with its variable fields as they are.
-    """
+def document_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """doc_id, body (hash of the whole text), at (line number), n (tokens), leaf, kind (hash of the masked tokens) and the masked
+    line of every line with a token."""
     lines = docs.where("doc_id is not null and text is not null") \
         .select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    tokens = _tokens(F.col("line"))
-    heads = lines.select("*", F.size(tokens).alias("n"), F.slice(tokens, 1, depth).alias("head")).where(F.col("n") >= min_tokens)
-    leaf = F.xxhash64("n", F.transform("head", _masked))
-    if min_tokens < MIN_TOKENS:
-        leaf = F.when(F.col("n") < MIN_TOKENS, F.xxhash64("n", tokens)).otherwise(leaf)
-    return heads.select("doc_id", "body", "at", "line", "n", leaf.alias("leaf"))
-
-
-def short_boilerplate(lines: DataFrame) -> DataFrame:
-    """The leaves of the short lines that stand in more documents than chance explains.
-
-    Chance: each place's token is drawn from those that the different lines of that length have there, with half a vote less
-    for the line's own, so that a line which is the only one of its length isn't its own chance. A line recurs if its
-    documents exceed the expected number by ``DEVIATIONS`` standard deviations of a count that is one larger.
-    """
-    tokens = _tokens(F.col("line"))
-    shorts = lines.where(F.col("n") < MIN_TOKENS).select("doc_id", "n", F.concat_ws(" ", tokens).alias("line"), "leaf")
-    kinds = materialize(shorts.distinct().groupBy("n", "line", "leaf").agg(F.count(F.lit(1)).alias("docs")), "short-lines")
+    tokens = F.array_remove(F.split(F.translate("line", WHITE, " " * len(WHITE)), " "), "")
+    cut = lines.select("doc_id", "body", "at", tokens.alias("tokens"), F.regexp_like("line", F.lit(PERHAPS_VARIABLE)).alias("perhaps")) \
+        .where(F.size("tokens") > 0)
+    masked = F.transform("tokens", lambda t: F.when(F.regexp_like(t, F.lit(VARIABLE)), F.lit(WILD)).otherwise(t))
+    cut = cut.withColumn("masked", F.when(F.col("perhaps"), masked).otherwise(F.col("tokens")))
+    only_fields = F.col("perhaps") & (F.size(F.array_remove("masked", WILD)) == 0)
+    cut = cut.select("doc_id", "body", "at", F.when(only_fields, F.col("tokens")).otherwise(F.col("masked")).alias("tokens"))
+    n = F.size("tokens")
+    head = F.when(n < SHORT, F.col("tokens")).otherwise(F.slice("tokens", 1, depth))
+    return cut.select("doc_id", "body", "at", n.alias("n"), F.xxhash64(n, head).alias("leaf"), F.xxhash64("tokens").alias("kind"),
+                      F.concat_ws(" ", "tokens").alias("line"))
+
+
+def short_templates(lines: DataFrame) -> DataFrame:
+    """(leaf, kind, lo) of the short lines that stand in more documents than chance explains; lo: their first document."""
+    shorts = lines.where(F.col("n") < SHORT)
+    # a document counts once; what is common is summed up before it is shuffled
+    kinds = shorts.groupBy("doc_id", "n", "leaf", "kind").agg(F.min("line").alias("line")) \
+        .groupBy("n", "leaf", "kind").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("lo"), F.min("line").alias("line"))
+    kinds = materialize(kinds, "short-lines")
     sizes = kinds.groupBy("n").agg(F.sum("docs").alias("all_docs"), F.count(F.lit(1)).alias("all_kinds"))
     places = kinds.select("n", F.posexplode(F.split("line", " ")).alias("at", "token"))
     votes = places.groupBy("n", "at", "token").agg(F.count(F.lit(1)).alias("votes"))
-    # no line in fewer documents can exceed what is expected
-    often = kinds.where(F.col("docs") > DEVIATIONS).select("n", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    met = often.join(votes, ["n", "at", "token"]).groupBy("n", "leaf", "docs") \
+    several = kinds.where("docs > 1")
+    met = several.select("n", "leaf", "kind", "docs", "lo", F.posexplode(F.split("line", " ")).alias("at", "token")) \
+        .join(votes, ["n", "at", "token"]).groupBy("n", "leaf", "kind", "docs", "lo") \
         .agg(F.array_sort(F.collect_list(F.struct("at", "votes"))).alias("places"))
-    share = F.aggregate("places", F.lit(1.0), lambda x, p: x * (p["votes"] - 0.5) / F.col("all_kinds"))
-    expected = met.join(F.broadcast(sizes), "n").select("leaf", "docs", (F.col("all_docs") * share).alias("expected"))
-    return expected.where(F.col("docs") > F.col("expected") + DEVIATIONS * F.sqrt(F.col("expected") + 1)).select("leaf")
-
-
-def recurring_lines(lines: DataFrame, short: bool = False) -> DataFrame:
-    """The lines whose leaf is reached from two or more documents, masked, with the hash of the masked tokens.
-
-    With ``short`` the lines of fewer than ``MIN_TOKENS`` tokens are among ``lines``; those that recur by chance are left out.
-    """
-    long = lines.where(F.col("n") >= MIN_TOKENS) if short else lines
-    leaves = long.groupBy("leaf").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")) \
-        .where("lo <> hi").select("leaf")
-    leaves = materialize(leaves.unionByName(short_boilerplate(lines)).distinct() if short else leaves, "recurring-leaves")
-    found = maybe_in(lines, "leaf", leaves).join(leaves, "leaf", "left_semi")
-    masked = F.concat_ws(" ", F.transform(_tokens(F.col("line")), _masked))
-    return found.select("doc_id", "body", "at", "leaf", masked.alias("line")).select("*", F.xxhash64("line").alias("kind"))
-
-
-def line_kinds(lines: DataFrame) -> DataFrame:
-    """The different lines of each leaf, with their number and whether two or more documents have them."""
-    return lines.groupBy("leaf", "kind").agg(
-        F.count(F.lit(1)).alias("n"), (F.min("doc_id") != F.max("doc_id")).alias("recurs"))
-
-
-def leaf_templates(kinds: DataFrame, strict: bool = False) -> DataFrame:
-    """(leaf, template): at each place the token that half or more of the leaf's lines have, or null.
-
-    With ``strict`` the token that more than half of the leaf's different lines have.
-    """
-    n = F.lit(1) if strict else F.col("n")
-    sizes = kinds.groupBy("leaf").agg(F.sum(n).alias("size"))
-    votes = kinds.select("leaf", "n", F.posexplode("tokens").alias("at", "token")) \
-        .groupBy("leaf", "at", "token").agg(F.sum(n).alias("votes"))
+    others = F.greatest(F.col("all_kinds") - 1, F.lit(1))
+    # five rows at most: one per length
+    met = met.join(F.broadcast(sizes), "n")
+    chance = F.aggregate("places", F.lit(1.0), lambda x, p: x * (p["votes"] - 1) / others)
+    expected = F.col("all_docs") * chance
+    return met.where(F.col("docs") > expected + DEVIATIONS * F.sqrt(expected)).select("leaf", "kind", "lo")
+
+
+def leaf_templates(kinds: DataFrame) -> DataFrame:
+    """(leaf, template): at each place the token that more than half of the leaf's different lines have, or null."""
+    sizes = kinds.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))
+    votes = kinds.select("leaf", F.posexplode("tokens").alias("at", "token")) \
+        .groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("votes"))
     best = votes.groupBy("leaf", "at").agg(F.max(F.struct("votes", "token")).alias("best"))
-    twice = F.col("best.votes") * 2
-    token = F.when(twice > F.col("size") if strict else twice >= F.col("size"), F.col("best.token"))
+    token = F.when(F.col("best.votes") * 2 > F.col("size"), F.col("best.token"))
     places = best.join(sizes, "leaf").select("leaf", "at", token.alias("token"))
     return places.groupBy("leaf").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("template"))
 
 
-def template_lines(lines: DataFrame, similar: float = SIMILAR, strict: bool = False) -> DataFrame:
-    """(doc_id, body, at, leaf, template) of the lines that belong to their leaf's template (0) or recur as they are."""
-    kinds = materialize(line_kinds(lines), "line-kinds")
+def long_templates(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(leaf, kind, lo) of the different lines whose template recurs; lo: the template's first document."""
+    long = lines.where(F.col("n") >= SHORT)
+    kinds = long.groupBy("leaf", "kind").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    kinds = materialize(kinds, "line-kinds")
+    leaves = kinds.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi")
+    leaves = materialize(leaves, "recurring-leaves")
     # a leaf with one kind of line is its own template; the tokens of others are needed, once per kind
-    several = materialize(kinds.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("leaf"),
-                          "several-kinds")
-    text = maybe_in(lines.select("leaf", "kind", "line"), "leaf", several).join(several, "leaf", "left_semi") \
-        .groupBy("leaf", "kind").agg(F.first("line").alias("line"))
-    mixed = materialize(text.join(kinds, ["leaf", "kind"]).select("leaf", "kind", "n", "recurs", F.split("line", " ").alias("tokens")),
+    of_one = maybe_in(kinds, "leaf", leaves.where("kinds = 1").select("leaf")) \
+        .join(leaves.where("kinds = 1").select("leaf"), "leaf", "left_semi").select("leaf", "kind", "lo")
+    several = leaves.where("kinds > 1").select("leaf")
+    text = maybe_in(long.select("leaf", "kind", "line"), "leaf", several).join(several, "leaf", "left_semi") \
+        .groupBy("leaf", "kind").agg(F.min("line").alias("line"))
+    mixed = materialize(text.join(kinds, ["leaf", "kind"]).select("leaf", "kind", "lo", "hi", F.split("line", " ").alias("tokens")),
                         "kinds-of-several")
     agree = F.size(F.filter(F.zip_with("tokens", "template", lambda t, x: F.coalesce(t == x, F.lit(False))), lambda x: x))
-    alike = agree >= F.size("tokens") * similar
-    of_several = mixed.join(leaf_templates(mixed, strict), "leaf").where(alike | F.col("recurs")) \
-        .select("leaf", "kind", F.when(alike, F.lit(0)).otherwise(F.col("kind")).alias("template"))
-    of_one = kinds.join(several, "leaf", "left_anti").select("leaf", "kind", F.lit(0).cast("bigint").alias("template"))
-    return lines.select("doc_id", "body", "at", "leaf", "kind").join(of_several.unionByName(of_one), ["leaf", "kind"]) \
-        .drop("kind")
+    own = F.when(agree >= F.size("tokens") * similar, F.lit(0)).otherwise(F.col("kind"))
+    member = materialize(mixed.join(leaf_templates(mixed), "leaf").select("leaf", "kind", own.alias("template"), "lo", "hi"), "members")
+    first = member.groupBy("leaf", "template").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first <> last")
+    of_several = member.join(materialize(first, "recurring-templates"), ["leaf", "template"]) \
+        .select("leaf", "kind", F.col("first").alias("lo"))
+    return of_one.unionByName(of_several)
 
 
-def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR,
-                  strict: bool = False) -> DataFrame:
+def dropped_lines(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR) -> DataFrame:
     """doc_id, hash of its text and the numbers of its lines to drop, as an array."""
-    short = min_tokens < MIN_TOKENS
-    lines = materialize(recurring_lines(document_lines(docs, depth, min_tokens), short), "recurring-lines")
-    member = materialize(template_lines(lines, similar, strict), "template-lines")
-    first = member.groupBy("leaf", "template").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi")
-    drop = member.join(first, ["leaf", "template"]).where("doc_id <> lo")
+    lines = materialize(document_lines(docs, depth), "lines")
+    gone = materialize(long_templates(lines, similar).unionByName(short_templates(lines)), "recurring-lines") \
+        .withColumnRenamed("leaf", "leaf_")
+    narrow = lines.select("doc_id", "body", "at", "leaf", "kind")
+    drop = maybe_in(narrow, "kind", gone.select("kind")).join(gone.withColumnRenamed("kind", "kind_"), (F.col("kind") == F.col("kind_")) &
+                                                             (F.col("leaf") == F.col("leaf_"))).where("doc_id <> lo")
     return drop.groupBy("doc_id", "body").agg(F.collect_set("at").alias("places"))
 
 
-def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR,
-                n_lines: str | None = None, n_dropped: str | None = None, strict: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, n_lines: str | None = None,
+                n_dropped: str | None = None) -> DataFrame:
     """The documents without recurring lines; optionally with columns of these names for the lines before and dropped."""
     doc, body, gone, every, own = (fresh(docs, f"_lines_{x}") for x in ("doc", "body", "places", "all", "own"))
-    drops = materialize(dropped_lines(docs.select("doc_id", "text"), depth, min_tokens, similar, strict), "dropped-lines")
+    drops = materialize(dropped_lines(docs.select("doc_id", "text"), depth, similar), "dropped-lines")
     named = drops.select(F.col("doc_id").alias(doc), F.col("body").alias(body), F.col("places").alias(gone))
 
-    def columns(text, n_all, n_gone):
+    def columns(text: Column, n_all: Column, n_gone: Column) -> list[Column]:
         out = [text.alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns]
         return out + [n.cast("bigint").alias(name) for n, name in ((n_all, n_lines), (n_gone, n_dropped)) if name]
 
@@ -186,9 +164,8 @@ def _without(docs: DataFrame, own: str, doc: str, body: str, named: DataFrame) -
     return sure.unionByName(rest)
 
 
-def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_tokens: int = 1, similar: float = SIMILAR,
-                   strict: bool = True) -> DataFrame:
-    """As dedup_lines, with lines of every length and strict templates; documents that have lost lines and have no word left go."""
+def drop_recurring(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR) -> DataFrame:
+    """As dedup_lines; documents that have lost lines and have no word left go."""
     lost = fresh(docs, "_lines_lost")
-    cleaned = dedup_lines(docs, depth, min_tokens, similar, n_dropped=lost, strict=strict)
+    cleaned = dedup_lines(docs, depth, similar, n_dropped=lost)
     return cleaned.where((F.col(lost) == 0) | F.regexp_like("text", F.lit(WORD))).drop(lost)

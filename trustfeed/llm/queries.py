@@ -123,41 +123,47 @@ SELECT doc_id, keep_id, group_size,
 FROM d JOIN g USING (text_sha256)
 """,
     "op2_drop_recurring_lines": r"""
-WITH l AS (
-  SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos
+WITH raw AS (
+  SELECT doc_id, generate_subscripts(ls, 1) - 1 AS pos, regexp_extract_all(unnest(ls), '[^\x20\x09-\x0D]+') AS words
   FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)
-), t AS (
-  SELECT doc_id, pos, tokens, len(tokens) AS n, tokens[1:4] AS head FROM (
-    SELECT doc_id, pos, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
-      lambda x: CASE WHEN regexp_matches(x, '[0-9]|@|://|^www\.') THEN '<*>' ELSE x END) AS tokens FROM l)
-  WHERE len(tokens) >= 6
-), m AS (
-  SELECT t.* FROM t JOIN (SELECT n, head FROM t GROUP BY n, head HAVING min(doc_id) <> max(doc_id)) USING (n, head)
-), k AS (
-  SELECT n, head, tokens, count(*) AS c, min(doc_id) <> max(doc_id) AS recurs FROM m GROUP BY n, head, tokens
-), p AS (
-  SELECT n, head, tokens, c, unnest(tokens) AS tok, generate_subscripts(tokens, 1) AS place FROM k
-), v AS (
-  SELECT n, head, place, tok, sum(c) AS votes FROM p GROUP BY n, head, place, tok
-  QUALIFY row_number() OVER (PARTITION BY n, head, place ORDER BY sum(c) DESC, tok DESC) = 1
+), masked AS (
+  SELECT doc_id, pos, words, list_transform(words, lambda x: CASE WHEN regexp_matches(x, '[0-9]|@|://|^www\.') THEN '<*>' ELSE x END) AS m
+  FROM raw WHERE len(words) > 0
+), line AS (
+  -- a line of variable fields only keeps them
+  SELECT doc_id, pos, len(words) AS n, CASE WHEN len(list_filter(m, lambda x: x <> '<*>')) = 0 THEN words ELSE m END AS tokens
+  FROM masked
+), kind AS MATERIALIZED (
+  SELECT n, tokens, CASE WHEN n < 6 THEN tokens ELSE tokens[1:4] END AS head,
+    count(DISTINCT doc_id) AS docs, min(doc_id) AS lo, max(doc_id) AS hi FROM line GROUP BY n, tokens
+), token AS MATERIALIZED (
+  SELECT n, head, tokens, docs, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS place FROM kind
+), short AS (
+  -- the documents of a short line against those that chance gives it
+  SELECT tokens, lo FROM kind JOIN (SELECT n, sum(docs) AS all_docs, count(*) AS kinds FROM kind GROUP BY n) USING (n)
+  JOIN (SELECT tokens, list(votes ORDER BY place) AS votes
+        FROM token JOIN (SELECT n, place, word, count(*) AS votes FROM token WHERE n < 6 GROUP BY n, place, word) USING (n, place, word)
+        WHERE docs > 1 GROUP BY tokens) USING (tokens)
+  WHERE n < 6 AND docs > 1 AND docs > all_docs * list_reduce(list_prepend(1.0::DOUBLE, votes), lambda x, y: x * (y - 1) / greatest(kinds - 1, 1))
+    + 4 * sqrt(all_docs * list_reduce(list_prepend(1.0::DOUBLE, votes), lambda x, y: x * (y - 1) / greatest(kinds - 1, 1)))
+), leaf AS (
+  SELECT n, head, count(*) AS size FROM kind WHERE n >= 6 GROUP BY n, head HAVING min(lo) <> max(hi)
 ), template AS (
-  SELECT n, head, place, CASE WHEN votes * 2 >= size THEN tok END AS word
-  FROM v JOIN (SELECT n, head, sum(c) AS size FROM k GROUP BY n, head) USING (n, head)
-), a AS (
-  SELECT n, head, tokens, sum(CASE WHEN tok = word THEN 1 ELSE 0 END) >= n * 0.7::DOUBLE AS alike
-  FROM p JOIN template USING (n, head, place) GROUP BY n, head, tokens
-), own AS (
-  SELECT n, head, tokens, CASE WHEN alike THEN []::VARCHAR[] ELSE tokens END AS tid
-  FROM k JOIN a USING (n, head, tokens) WHERE alike OR recurs
+  SELECT n, head, place, word FROM token JOIN leaf USING (n, head) GROUP BY n, head, place, word, size HAVING count(*) * 2 > size
+), agreed AS (
+  SELECT tokens, count(*) >= any_value(n) * 0.7::DOUBLE AS alike FROM token JOIN template USING (n, head, place, word) GROUP BY tokens
 ), member AS (
-  SELECT m.doc_id, m.pos, n, head, tid FROM m JOIN own USING (n, head, tokens)
+  SELECT n, head, tokens, lo, hi, CASE WHEN alike THEN []::VARCHAR[] ELSE tokens END AS own
+  FROM kind JOIN leaf USING (n, head) LEFT JOIN agreed USING (tokens)
 ), gone AS (
-  SELECT doc_id, list(DISTINCT pos) AS places
-  FROM member JOIN (SELECT n, head, tid, min(doc_id) AS lo, max(doc_id) AS hi FROM member GROUP BY n, head, tid)
-    USING (n, head, tid)
-  WHERE lo <> hi AND doc_id <> lo GROUP BY doc_id
+  SELECT tokens, first AS lo FROM member
+  JOIN (SELECT n, head, own, min(lo) AS first, max(hi) AS last FROM member GROUP BY n, head, own) USING (n, head, own)
+  WHERE first <> last
+  UNION ALL SELECT tokens, lo FROM short
+), places AS (
+  SELECT doc_id, list(DISTINCT pos) AS places FROM line JOIN gone USING (tokens) WHERE doc_id <> lo GROUP BY doc_id
 ), d AS (
-  SELECT doc_id, text, string_split(text, chr(10)) AS ls, places FROM documents LEFT JOIN gone USING (doc_id)
+  SELECT doc_id, text, string_split(text, chr(10)) AS ls, places FROM documents LEFT JOIN places USING (doc_id)
 )
 SELECT doc_id,
   CASE WHEN places IS NULL THEN text ELSE array_to_string(
