@@ -38,29 +38,36 @@ SIMILAR = 0.7
 # Standard deviations above chance from which on a short line recurs.
 DEVIATIONS = 4
 WILD = "<*>"
-# Variable fields: anything with a digit, mail addresses, links. The second pattern finds lines that may have any.
+# Variable fields: anything with a digit, mail addresses, links.
 VARIABLE = r"[0-9]|@|://|^www\."
-PERHAPS_VARIABLE = r"[0-9]|@|://|www\."
 # ASCII white space beside blank and line feed.
 WHITE = "\t\x0b\x0c\r"
 
 
 def document_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """doc_id, body (hash of the whole text), at (line number), n (tokens), leaf, kind (hash of the masked tokens) and the masked
-    line of every line with a token."""
+    line, one blank between tokens, of every line with a token.
+
+    Most lines are written that way already and have no variable field; only the others are cut into tokens.
+    """
+    line = F.col("line")
     lines = docs.where("doc_id is not null and text is not null") \
         .select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    tokens = F.array_remove(F.split(F.translate("line", WHITE, " " * len(WHITE)), " "), "")
-    cut = lines.select("doc_id", "body", "at", tokens.alias("tokens"), F.regexp_like("line", F.lit(PERHAPS_VARIABLE)).alias("perhaps")) \
-        .where(F.size("tokens") > 0)
-    masked = F.transform("tokens", lambda t: F.when(F.regexp_like(t, F.lit(VARIABLE)), F.lit(WILD)).otherwise(t))
-    cut = cut.withColumn("masked", F.when(F.col("perhaps"), masked).otherwise(F.col("tokens")))
-    only_fields = F.col("perhaps") & (F.size(F.array_remove("masked", WILD)) == 0)
-    cut = cut.select("doc_id", "body", "at", F.when(only_fields, F.col("tokens")).otherwise(F.col("masked")).alias("tokens"))
-    n = F.size("tokens")
-    head = F.when(n < SHORT, F.col("tokens")).otherwise(F.slice("tokens", 1, depth))
-    return cut.select("doc_id", "body", "at", n.alias("n"), F.xxhash64(n, head).alias("leaf"), F.xxhash64("tokens").alias("kind"),
-                      F.concat_ws(" ", "tokens").alias("line"))
+    odd = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" ")) | F.contains(line, F.lit("  "))
+    for c in WHITE:
+        odd = odd | F.contains(line, F.lit(c))
+    tidy = F.array_join(F.array_remove(F.split(F.translate("line", WHITE, " " * len(WHITE)), " "), ""), " ")
+    lines = lines.select("doc_id", "body", "at", F.when(odd, tidy).otherwise(line).alias("line")).where(line != "")
+    perhaps = F.contains(line, F.lit("@")) | F.contains(line, F.lit("://")) | F.contains(line, F.lit("www.")) | \
+        F.regexp_like(line, F.lit("[0-9]"))
+    fields = F.transform(F.split(line, " "), lambda t: F.when(F.regexp_like(t, F.lit(VARIABLE)), F.lit(WILD)).otherwise(t))
+    masked = lines.select("doc_id", "body", "at", "line", F.when(perhaps, fields).alias("masked"))
+    only_fields = F.size(F.array_remove("masked", WILD)) == 0
+    cut = masked.select("doc_id", "body", "at", F.when(F.col("masked").isNull() | only_fields, line)
+                        .otherwise(F.array_join("masked", " ")).alias("line"))
+    cut = cut.withColumn("n", F.octet_length("line") - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
+    head = F.when(F.col("n") < SHORT, line).otherwise(F.substring_index("line", " ", depth))
+    return cut.select("doc_id", "body", "at", "n", F.xxhash64("n", head).alias("leaf"), F.xxhash64("line").alias("kind"), "line")
 
 
 def short_templates(lines: DataFrame) -> DataFrame:
@@ -143,25 +150,18 @@ def dedup_lines(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, n
         out = [text.alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns]
         return out + [n.cast("bigint").alias(name) for n, name in ((n_all, n_lines), (n_gone, n_dropped)) if name]
 
-    # documents that lose lines meet their list; the others stay where they are
-    hashed = docs.withColumn(own, F.coalesce(F.xxhash64("text"), F.lit(0)))
-    few = maybe_in(hashed, own, drops.select("body")).join(
-        named, (F.col("doc_id") == F.col(doc)) & (F.col(own) == F.col(body))).withColumn(every, F.split("text", "\n"))
+    # documents that may lose lines meet their list; the others stay where they are
+    hashed, bodies = docs.withColumn(own, F.coalesce(F.xxhash64("text"), F.lit(0))), drops.select("body")
+    perhaps = maybe_in(hashed, own, bodies).join(named, (F.col("doc_id") == F.col(doc)) & (F.col(own) == F.col(body)), "left")
+    at_all = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
+    n_all = F.when(F.col("text").isNull(), 0).otherwise(at_all)
     left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(gone))
     kept = F.concat_ws("\n", F.transform(left, lambda i: F.get(every, i)))
-    changed = few.select(*columns(kept, F.size(every), F.size(gone)))
-    same = _without(hashed, own, doc, body, named)
-    whole = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
-    return changed.unionByName(same.select(*columns(F.col("text"), whole, F.lit(0))))
-
-
-def _without(docs: DataFrame, own: str, doc: str, body: str, named: DataFrame) -> DataFrame:
-    """The documents that aren't named; only those that may be are shuffled to find out."""
-    bodies = named.select(body)
-    perhaps = maybe_in(docs, own, bodies)
-    sure = maybe_in(docs, own, bodies, missing=True)
-    rest = perhaps.join(named.select(doc, body), F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(body)), "left_anti")
-    return sure.unionByName(rest)
+    perhaps = perhaps.withColumn(every, F.when(F.col(gone).isNotNull(), F.split("text", "\n")))
+    changed = perhaps.select(*columns(F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept), n_all,
+                                      F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone))))
+    sure = maybe_in(hashed, own, bodies, missing=True)
+    return changed.unionByName(sure.select(*columns(F.col("text"), n_all, F.lit(0))))
 
 
 def drop_recurring(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR) -> DataFrame:
