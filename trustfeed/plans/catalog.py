@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustfeed.operators import boosting, feed, features, model, publish, quality, sampling, views
+from trustfeed.functions.columns import dtime_to_timestamp, uniform_u32
 from trustfeed.operators.dedupe import dedupe_by_key, duplicate_keys, latest_per_post
 from trustfeed.operators.sampling import weighted_sample
 from trustfeed import schemas
@@ -605,6 +606,25 @@ def q_stream_dedupe(spark, sf_dir):
     return latest_per_post(stream_inc.read_output(spark, out)).select("post_id", "dtime", "recommend")
 
 
+# Runs in the order of their arrival; the last one is late.
+ARRIVALS = (20231101000000, 20240115000000, 20240129000000, 20240131120000, 20230601000000)
+
+
+@register("stream_watermark")
+def q_stream_watermark(spark, sf_dir):
+    """Predictions arrive run by run; a tenth of the earlier ones comes again with the fourth run, and the last run is late.
+    Within ten days a post counts once."""
+    hist = _history(spark, sf_dir).select("post_id", "dtime")
+    again = hist.where(F.col("dtime").isin(*ARRIVALS[:3])).where(uniform_u32("post_id", "again") % 10 == 0)
+    events = hist.unionByName(again.withColumn("dtime", F.lit(ARRIVALS[3]).cast("bigint")))
+    events = materialize(events.withColumn("at", dtime_to_timestamp("dtime")), "arrivals")
+    root, out, ckpt = (scratch_path(spark, n) for n in ("watermark-src", "watermark-out", "watermark-ckpt"))
+    for run in ARRIVALS:
+        events.where(F.col("dtime") == run).write.mode("append").parquet(root)
+        stream_inc.run_watermarked(spark, root, events.schema, ckpt, out, "post_id", "at", "10 days")
+    return spark.read.schema(events.schema).parquet(out).select("post_id", "dtime")
+
+
 @register("feed_publish")
 def q_feed_publish(spark, sf_dir):
     """Publish two strategies, then republish one: the other stays untouched."""

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from trustfeed.operators.dedupe import latest_per_post
-from trustfeed.session import drop_path, materialize
-from trustfeed.sources.increments import read_if_written
+from trustfeed.session import materialize
+from trustfeed.streaming.keyed_state import KeyState
 
 
 def run_increment(spark: SparkSession, source_root: str, schema: StructType, checkpoint: str,
@@ -32,10 +32,9 @@ def run_increment(spark: SparkSession, source_root: str, schema: StructType, che
     ``schema`` must include the partition column (``dtime``). With
     ``dedupe_key`` (L2) a batch keeps the newest row per key and drops keys
     already stored with an equal or newer ``time_col``. What is stored is known
-    from a state table beside the output with one row per key (its newest
-    time): batch n reads version n-1 and writes version n before its output, so a
-    batch replayed after a failure starts from the same state again. The
-    two newest versions are kept.
+    from a key table in parts beside the output (``keyed_state``): a batch reads
+    the buckets of its own keys and writes its own keys, before its output, so
+    a batch replayed after a failure starts from the same state again.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -48,19 +47,16 @@ def run_increment(spark: SparkSession, source_root: str, schema: StructType, che
         if dedupe_key is None:
             out.write.mode("overwrite").parquet(target)
             return
-        out = latest_per_post(out, dedupe_key, time_col)
-        state = f"{out_root.rstrip('/')}-keys"
-        stored = read_if_written(spark, f"{state}/version={batch_id - 1}") if batch_id else None
-        if stored is not None:
-            out = out.join(stored, (out[dedupe_key] == stored["_tf_k"]) & (stored["_tf_t"] >= out[time_col]),
-                           "left_anti")
+        # read for its buckets, its keys and its rows
+        out = materialize(latest_per_post(out, dedupe_key, time_col), "stream-newest")
+        state = KeyState(spark, f"{out_root.rstrip('/')}-keys", *(out.schema[c].dataType.simpleString() for c in (dedupe_key, time_col)))
+        known = state.known(batch_id, out, dedupe_key)
+        if known is not None:
+            out = out.join(known, (out[dedupe_key] == known["key"]) & (known["time"] >= out[time_col]), "left_anti")
         out = materialize(out, "stream-batch")
-        keys = out.select(F.col(dedupe_key).alias("_tf_k"), F.col(time_col).alias("_tf_t"))
-        keys = keys if stored is None else stored.unionByName(keys)
-        keys.groupBy("_tf_k").agg(F.max("_tf_t").alias("_tf_t")) \
-            .write.mode("overwrite").parquet(f"{state}/version={batch_id}")
+        state.store(batch_id, out.select(F.col(dedupe_key).alias("key"), F.col(time_col).alias("time")))
         out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
-        drop_path(spark, f"{state}/version={batch_id - 2}")
+        state.forget(batch_id)
 
     query = stream.writeStream.foreachBatch(handle) \
         .option("checkpointLocation", checkpoint) \
@@ -71,3 +67,16 @@ def run_increment(spark: SparkSession, source_root: str, schema: StructType, che
 def read_output(spark: SparkSession, out_root: str) -> DataFrame:
     """All written batches (the ``batch`` directory column dropped)."""
     return spark.read.parquet(out_root).drop("batch")
+
+
+def run_watermarked(spark: SparkSession, source_root: str, schema: StructType, checkpoint: str, out_root: str, key: str,
+                    event_time: str, delay: str) -> None:
+    """L2 with bounded state: the first row of a key stays, others of it within ``delay`` go; process what is new and stop.
+
+    Spark's own state store holds a key until the watermark (the newest ``event_time`` less ``delay``) has passed its time
+    by ``delay``; rows older than the watermark are late and dropped. A key that comes again after that is new.
+    """
+    rows = spark.readStream.schema(schema).parquet(source_root).withWatermark(event_time, delay)
+    query = rows.dropDuplicatesWithinWatermark([key]).writeStream.format("parquet").option("path", out_root) \
+        .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
