@@ -9,7 +9,8 @@ Jaccard similarity. Registers are joined to bands, and texts that agree in a ban
 Texts with the same words are one node from the start. In each bucket every node is compared with one centre (the node that
 shares buckets with most others, so the text that near copies were made from, if there is one), which links a large
 group with one comparison per member. Then, in buckets whose nodes are still in different classes, pairs across classes are
-compared, so that no candidate link between classes is lost. Most such pairs are ruled out beforehand, without being made: a node
+compared (but for those that the register sketch below cuts: it follows the weighted similarity, so links of texts with a block
+that repeats many times can be lost). Most such pairs are ruled out beforehand, without being made: a node
 that isn't similar to the centre is similar to another node of about the centre's size only if the two have shingles in common which the
 centre hasn't. Pairs are therefore met in the rarest shingles beside their centre's, and in their bucket only if both have
 enough in common with the centre for a partner of the other's size. Pairs within the bucket's largest class are never
