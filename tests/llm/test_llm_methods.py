@@ -85,6 +85,26 @@ def test_near_classes_of_texts_far_from_their_centre(spark):
     assert any(i > 1000 and want[i] == i - 1000 for i in want) and len(set(want.values())) > 20
 
 
+def test_near_classes_of_copies_with_a_block_that_repeats(spark):
+    """The sets' similarity is 0.8 or more, the weighted one far less."""
+    random.seed(3)
+    rows = []
+    for i in range(150):
+        words = [f"w{i}_{k}" for k in range(200)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + [f"x{i}_{k}" for k in range(35)] * 20))]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    want = brute_classes(dict(rows))
+    assert sum(want[2 * i + 1] == 2 * i for i in range(150)) == 150
+    assert sum(got[2 * i + 1] == 2 * i for i in range(150)) >= 149
+
+
+def test_near_duplicates_keep_the_same_repeated_row(spark):
+    rows = [(1, "a b c d e f", x) for x in range(40)]
+    kept = {near_dedup.drop_near_duplicates(spark.createDataFrame(random.sample(rows, 40), "doc_id bigint, text string, x int")
+                                            .repartition(n)).collect()[0]["x"] for n in (1, 3, 7)}
+    assert len(kept) == 1
+
+
 def test_prob_minhash_estimates_probability_jaccard():
     rng = np.random.default_rng(1)
     ids = near_dedup.mix(np.arange(60, dtype=np.uint64))

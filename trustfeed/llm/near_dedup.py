@@ -4,17 +4,19 @@ A text's shingles are its runs of five words (lower case; a shorter text is one
 number. Every shingle sends arrivals of a Poisson process whose rate is its weight, each to a register that a hash draws;
 a register keeps the shingle that arrived first. A shingle stops as soon as its next arrival comes later than the last of the
 document's registers, so most send only one or two. Two texts agree in a register with their probability
-Jaccard similarity. Registers are joined to bands, and texts that agree in a band are candidates.
+Jaccard similarity. Registers are joined to bands, and texts that agree in a band are candidates. A text with repeated shingles
+sends a second set of arrivals in which every shingle weighs 1; there two texts agree with the plain Jaccard similarity of their
+sets, by which links are defined, and its bands join the others (a text without repeats has the same registers both
+ways). So a block that one of two copies repeats many times costs no link.
 
 Texts with the same words are one node from the start. In each bucket every node is compared with one centre (the node that
 shares buckets with most others, so the text that near copies were made from, if there is one), which links a large
 group with one comparison per member. Then, in buckets whose nodes are still in different classes, pairs across classes are
-compared (but for those that the register sketch below cuts: it follows the weighted similarity, so links of texts with a block
-that repeats many times can be lost). Most such pairs are ruled out beforehand, without being made: a node
+compared. Most such pairs are ruled out beforehand, without being made: a node
 that isn't similar to the centre is similar to another node of about the centre's size only if the two have shingles in common which the
 centre hasn't. Pairs are therefore met in the rarest shingles beside their centre's, and in their bucket only if both have
 enough in common with the centre for a partner of the other's size. Pairs within the bucket's largest class are never
-made, nor pairs of which one has too few shingles in common with all nodes of such buckets together. Before shingles are compared, two bits of each register are: pairs that agree in far fewer registers than a
+made, nor pairs of which one has too few shingles in common with all nodes of such buckets together. Before shingles are compared, two bits of each register of weight 1 are: pairs that agree in far fewer registers than a
 link would (4 standard deviations) end there. A link needs a Jaccard similarity of the shingle sets of ``SIMILAR`` or more,
 computed exactly. Classes are the connected components. Nodes go by a 64-bit hash of their words' 128-bit key.
 
@@ -38,7 +40,7 @@ from trustfeed.session import materialize
 
 WORDS = 5
 SIMILAR = 0.8
-# A pair with similarity 0.8 misses all bands with probability (1 - 0.8^5)^24 < 0.0001.
+# A pair whose sets have a similarity of 0.8 misses all bands of weight 1 with probability (1 - 0.8^5)^24 < 0.0001.
 BANDS, ROWS = 24, 5
 PART = 1 << 20          # bytes of a text hashed at once
 SLACK = 1e-6            # against rounding where a bound is met exactly
@@ -177,9 +179,13 @@ def _signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
             def flush():
                 live = [i for i, (ids, _) in enumerate(sets) if len(ids)]
-                registers = prob_minhash([sets[i] for i in live], bands * rows)
-                hashes = band_hashes(registers, bands, rows).view(np.int64)
-                lists = dict(zip(live, zip(sketch_bits(registers).tolist(), hashes.tolist())))
+                plain = prob_minhash([(sets[i][0], np.ones(len(sets[i][0]))) for i in live], bands * rows)
+                lists = dict(zip(live, zip(sketch_bits(plain).tolist(), band_hashes(plain, bands, rows).view(np.int64).tolist())))
+                repeats = [i for i in live if sets[i][1].max() > 1]
+                weighted = prob_minhash([sets[i] for i in repeats], bands * rows)
+                for i, more in zip(repeats, band_hashes(weighted, bands, rows).view(np.int64).tolist()):
+                    bits, hashes = lists[i]
+                    lists[i] = bits, [*hashes, *(set(more) - set(hashes))]
                 return arrow_rows([(d, k, n, *s, b) for i, (d, k, n) in enumerate(held)
                                    for s, b in [lists.get(i, ((0,) * len(SKETCH), []))]], _SIGNED)
 
@@ -376,7 +382,8 @@ def near_classes(docs: DataFrame, similar: float = SIMILAR, size: int = WORDS, b
     named = signed.select("doc_id", "key", "node").join(classes, "node", "left") \
         .select("doc_id", "key", F.coalesce("class", "node").alias("class"))
     named = materialize(named, "near-named")
-    sizes = named.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    # written, so that a very large class's rows can be split in the join
+    sizes = materialize(named.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "near-sizes")
     again = Window.partitionBy("class", "doc_id").orderBy("key")
     kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("again") == 1)
     return named.withColumn("again", F.row_number().over(again)).join(sizes, "class") \
@@ -385,7 +392,7 @@ def near_classes(docs: DataFrame, similar: float = SIMILAR, size: int = WORDS, b
 
 def drop_near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int = WORDS, bands: int = BANDS,
                          rows: int = ROWS) -> DataFrame:
-    """The documents with all their columns, one of each class (the smallest doc_id; of repeated rows the first)."""
+    """The documents with all their columns, one of each class (the smallest doc_id; of repeated rows the one whose columns' hash is least)."""
     number, ident, at = (fresh(docs, f"_near_{x}") for x in ("number", "ident", "at"))
     # rows are numbered by what they hold: equal rows (same doc_id and text) share a number
     numbered = docs.select("*", F.xxhash64("doc_id", "text").alias(number), F.coalesce("doc_id", F.lit(0)).cast("bigint").alias(ident))
@@ -394,6 +401,8 @@ def drop_near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int =
     names = first.select("real", "doc_id").distinct().join(classes.distinct(), "doc_id")
     stays = names.groupBy("class_id").agg(F.min(F.struct(F.col("real").isNull().alias("none"), "real", "doc_id")).alias("s")) \
         .select(F.col("s.doc_id").alias("stay"), F.coalesce("s.real", F.lit(0)).alias("stay_id"))
-    one = Window.partitionBy(number, ident).orderBy(F.lit(1))
+    # repeated rows with other extra columns go by a hash of them, so reruns keep the same one
+    hashed = [f"`{c.name}`" for c in docs.schema if "map<" not in c.dataType.simpleString()]
+    one = Window.partitionBy(number, ident).orderBy(F.xxhash64(*hashed))
     joined = numbered.join(stays, (F.col(number) == F.col("stay")) & (F.col(ident) == F.col("stay_id")))
     return joined.withColumn(at, F.row_number().over(one)).where(F.col(at) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
