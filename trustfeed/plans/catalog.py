@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from trustfeed.operators import boosting, feed, features, model, publish, quality, sampling, views
 from trustfeed.functions.columns import dtime_to_timestamp, uniform_u32
 from trustfeed.operators.dedupe import dedupe_by_key, duplicate_keys, latest_per_post
+from trustfeed.operators.running_maxima import RunningScores
 from trustfeed.operators.sampling import weighted_sample
 from trustfeed import schemas
 from trustfeed.operators.posts import format_timestamp, post_flags, posts_with_stats
@@ -77,6 +78,20 @@ def q_post_score(spark, sf_dir):
     return chain.scored_posts(_src(spark, sf_dir), columns=("followship_score",)).select(*chain.score_columns())
 
 
+# Increments by the posts' age in days, oldest first.
+SCORE_INCREMENTS = ((3100, 100000), (2600, 3100), (1900, 2600), (-100000, 1900))
+
+
+@register("post_score_incremental")
+def q_post_score_incremental(spark, sf_dir):
+    """The scores after all posts came in four increments."""
+    posts = materialize(chain.posts_with_trust(_src(spark, sf_dir), columns={*chain.SCORE_INPUTS, "followship_score"}), "features")
+    running = RunningScores(spark, scratch_path(spark, "running-scores"), posts.schema)
+    for n, (low, high) in enumerate(SCORE_INCREMENTS):
+        running.add(n, posts.where((F.col("age") > low) & (F.col("age") <= high) | (F.col("age").isNull() & F.lit(n == 0))))
+    return running.current().select(*chain.score_columns())
+
+
 @register("top_posts")
 def q_top_posts(spark, sf_dir):
     p = chain.FIXTURE_LABELS
