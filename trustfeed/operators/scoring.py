@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trustfeed.operators.topk import top_k
 from trustfeed.params import LabelParams, SCORE_WEIGHTS, SCORE_ZERO_DIVISOR
 from trustfeed.session import materialize
 
@@ -68,11 +69,10 @@ def top_posts(scored: DataFrame, rank_bound: int, k: int, rank_col: str = "follo
               score_col: str = "post_score", key: str = "post_id") -> DataFrame:
     """F2: the best ``k`` posts by score among authors ranked <= ``rank_bound``.
 
-    Score descending with NULLs last, then post id. Planned as a distributed
-    top-k (each task keeps k rows, the driver merges k per task).
+    Score descending with NULLs last, then post id. A threshold found beforehand
+    (topk.py) keeps the rows that reach the final sort near k.
     """
-    return scored.where(F.col(rank_col) <= rank_bound) \
-        .orderBy(F.col(score_col).desc_nulls_last(), F.col(key).asc()).limit(k)
+    return top_k(scored.where(F.col(rank_col) <= rank_bound), score_col, key, k)
 
 
 def heuristic_labels(scored: DataFrame, params: LabelParams = LabelParams(),
