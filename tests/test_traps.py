@@ -538,7 +538,7 @@ def _labelled_rows(spark, n, languages):
 @pytest.mark.parametrize("kind,size", [("rf", {"num_trees": 3, "max_depth": 3}), ("gbt", {"max_iter": 2, "max_depth": 2})])
 def test_training_with_many_languages(spark, kind, size):
     df = _labelled_rows(spark, 600, 300)
-    m = model.train(df, kind, partitions=2, **size)
+    m = model.train(df, kind, partition_rows=300, **size)
     assert model.predict(m, df).count() == 600
     importance = dict(model.feature_importance(m))
     assert set(importance) == set(model.build_pipeline(kind)[1])

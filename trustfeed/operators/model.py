@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustfeed.params import (BOOSTING_DEPTH, BOOSTING_ROUNDS, FILL_RANK, FOREST_DEPTH, FOREST_TREES, LABELS, LOSS_EVERY,
-                              TRAIN_PARTITIONS)
+                              TRAIN_PARTITION_ROWS)
 from trustfeed.session import materialize
 
 LABEL_COL = "recommend"
@@ -81,8 +81,8 @@ def label_indexer(label_col: str = LABEL_COL) -> StringIndexer:
                          handleInvalid="error")
 
 
-def training_rows(labelled: DataFrame, key: str = "post_id", partitions: int = TRAIN_PARTITIONS) -> DataFrame:
-    """The labelled rows, written once and dealt out by key hash into a stated number of sorted partitions.
+def training_rows(labelled: DataFrame, key: str = "post_id", partition_rows: int = TRAIN_PARTITION_ROWS) -> DataFrame:
+    """The labelled rows, written once and dealt out by key hash into sorted partitions, as many as their number asks for.
 
     Trees draw their bootstrap samples per partition, by position: with the
     partitions fixed by the rows alone the fitted model is the same on any
@@ -90,14 +90,16 @@ def training_rows(labelled: DataFrame, key: str = "post_id", partitions: int = T
     """
     cols = [key, LABEL_COL, *NUMERIC_FEATURES, *BOOL_FEATURES, *CATEGORICAL_FEATURES]
     rows = labelled.where(F.col(LABEL_COL).isNotNull()).select(*dict.fromkeys(cols))
-    return materialize(rows, "training-rows").repartition(partitions, key).sortWithinPartitions(key, F.xxhash64(*rows.columns))
+    rows = materialize(rows, "training-rows")
+    partitions = max(1, -(-rows.count() // partition_rows))
+    return rows.repartition(partitions, key).sortWithinPartitions(key, F.xxhash64(*rows.columns))
 
 
-def train(labelled: DataFrame, classifier: str = "rf", leaky: bool = True, partitions: int = TRAIN_PARTITIONS,
+def train(labelled: DataFrame, classifier: str = "rf", leaky: bool = True, partition_rows: int = TRAIN_PARTITION_ROWS,
           **kw) -> PipelineModel:
     """Fit the pipeline on rows with a label; the returned model also maps
     the class id back to the label text (``predicted_recommend``)."""
-    rows = training_rows(labelled, partitions=partitions)
+    rows = training_rows(labelled, partition_rows=partition_rows)
     lab = label_indexer().fit(rows)
     pipeline, _ = build_pipeline(classifier, leaky, **kw)
     fitted = pipeline.fit(lab.transform(rows))

@@ -72,9 +72,9 @@ FOREST_TREES = 100
 BOOSTING_DEPTH = 4
 FOREST_DEPTH = 6
 LOSS_EVERY = 10
-# Training rows are dealt to this many partitions by key and sorted, so that a
-# fitted model doesn't depend on the cluster or on how its input was split.
-TRAIN_PARTITIONS = 32
+# Training rows are dealt by key to partitions of about this many rows and sorted, so that a
+# fitted model depends on the rows alone, not on the cluster or on how its input was split.
+TRAIN_PARTITION_ROWS = 20_000
 # ----------------------------------------------------------- end fixed values
 
 

@@ -19,6 +19,7 @@ from trustfeed.operators.sampling import weighted_sample
 from trustfeed import schemas
 from trustfeed.operators.posts import format_timestamp, post_flags, posts_with_stats
 from trustfeed.operators.scoring import top_posts
+from trustfeed.operators.validity import FeatureIntervals
 from trustfeed.operators.trust import latest_snapshot, post_author_trust, profile_trust_by_handle
 from trustfeed.params import LABELS, STRATIFIED_TARGETS, FeedParams, LabelParams
 from trustfeed.plans import chain
@@ -326,6 +327,21 @@ def q_point_in_time_asof(spark, sf_dir):
         "timestamp", chain.LOOKUP_START)
 
 
+@register("feature_intervals")
+def q_feature_intervals(spark, sf_dir):
+    """A11/A12/C12 from tables of validity intervals: both ingests of each kind close the one before."""
+    src = _src(spark, sf_dir)
+    out = chain.lookup_instances(src, per_row_time=True)
+    for column, history, times in (
+            ("entity_type_posts", chain.post_feature_history(src), chain.POST_INGEST_TIMES),
+            ("entity_type_profiles", chain.profile_feature_history(src), chain.PROFILE_SNAPSHOTS)):
+        table = FeatureIntervals(spark, [f for f in history.schema if f.name not in (features.ENTITY, features.FEATURE_TIME)])
+        for t in times:
+            table.ingest(history.where(F.col(features.FEATURE_TIME) == F.lit(t).cast("timestamp")), t)
+        out = table.lookup(out, column, "timestamp", chain.LOOKUP_START)
+    return out
+
+
 # --------------------------------------------- increments, cursors, CSV
 INCREMENT_WATERMARK = "1996-06-30 00:00:00"
 
