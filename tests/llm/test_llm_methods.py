@@ -224,9 +224,31 @@ def test_colliding_fingerprints_are_found_by_comparison(spark):
     docs = spark.createDataFrame([(1, "same"), (2, "same"), (3, "one"), (4, "two")], "doc_id bigint, text string")
     prints = spark.createDataFrame([(1, 5, 4, "s"), (2, 5, 4, "s"), (3, 6, 3, "x"), (4, 6, 3, "y")],
                                    "doc_id bigint, fp bigint, n_bytes bigint, text_sha256 string")
+    prints = prints.join(docs, "doc_id").withColumn("h", F.xxhash64("text")).drop("text")
     assert [tuple(r) for r in exact.differing_groups(docs, prints).collect()] == [(6, 3)]
 
 
+def test_chunks_hashed_apart_give_the_fingerprint_of_the_text(spark):
+    random.seed(5)
+    long = ["".join(random.choice("abc \n\u00e9") for _ in range(n)) for n in (70_000, 300_000)]
+    texts = [*long, long[1].replace(" ", "\t "), "short", "", None, " " * 100_000, "x" * exact.CHUNK, "x" * (exact.CHUNK + 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: (r["fp"], r["n_bytes"]) for r in exact.fingerprints(docs).collect()}
+    for i, text in enumerate(texts):
+        a, b, n = exact.fingerprint(exact.normalised(text))
+        assert got[i] == (a << 31 | b, n)
+    rows = {r["doc_id"]: r for r in exact.exact_dedup(docs).collect()}
+    assert [rows[i]["keep_id"] for i in range(len(texts))] == [0, 1, 1, 3, 4, 4, 6, 7, 8]
+
+
+def test_dedup_of_rows_without_ids(spark):
+    """A third of the rows agrees in its null doc_id and text, another third has null doc_ids and other texts."""
+    rows = [(None, "same  text")] * 100 + [(None, f"text {i}") for i in range(100)] + [(i, f"text {i}") for i in range(100)]
+    got = exact.exact_dedup(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
+    assert len(got) == 300 and sum(r["kept"] for r in got) == 101
+    assert sorted(r["doc_id"] for r in got if r["kept"] and r["doc_id"] is not None) == list(range(100))
+
+
 # ------------------------------------------------------------------ 7
 def test_importance_prefers_the_target(spark):
     good = [(i, f"calm water runs over stone number{i} and on") for i in range(60)]
