@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from trustfeed.llm.common import fresh, n_words, text_or_empty
 from trustfeed.operators.global_rank import global_row_number
@@ -70,7 +71,8 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, share_percent: int =
 
     Rows: every document, also those not drawn (copies 0).
     """
-    sized = docs.select("doc_id", "source", n_words(text_or_empty()).alias("size"))
+    # written first: the order samples its input before it sorts it, and would count the words twice
+    sized = materialize(docs.select("doc_id", "source", n_words(text_or_empty()).alias("size")), "mix-sizes")
     ranked = global_row_number(sized, [F.col("source").asc_nulls_last(), F.col("size").desc(), F.col("doc_id")], "at")
     ranked = materialize(ranked, "mix-ranked")
     targets = source_targets(ranked.select("source", "size"), weights, share_percent, most) \
@@ -87,19 +89,21 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, share_percent: in
                     most: int = MOST_COPIES) -> DataFrame:
     """The mix itself: the documents with all their columns, each repeated as often as it was drawn.
 
-    Documents are found again by (doc_id, source, size, number among equals); rows that agree in these are
-    interchangeable for the mix.
+    Documents are found again by (doc_id, source, size, number among equals); of rows that agree in these, those
+    with the smaller hash of all their columns are drawn more often.
     """
     names = {x: fresh(docs, f"_mix_{x}") for x in ("size", "n", "copies", "i")}
     size, n, i = names["size"], names["n"], names["i"]
 
-    def numbered(df, size):
-        same = Window.partitionBy("doc_id", "source", size).orderBy("doc_id")
+    def numbered(df, size, *order):
+        same = Window.partitionBy("doc_id", "source", size).orderBy(*order)
         return df.withColumn(n, F.row_number().over(same))
-    drawn = numbered(mix_sources(docs, weights, share_percent, most), "size").where("copies > 0") \
+    drawn = numbered(mix_sources(docs, weights, share_percent, most), "size", F.col("copies").desc()).where("copies > 0") \
         .select(F.col("doc_id").alias("d_"), F.col("source").alias("s_"), F.col("size").alias("z_"),
                 F.col(n).alias("n_"), "copies")
-    rows = numbered(docs.withColumn(size, n_words(text_or_empty())), size)
+    hashed = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if isinstance(f.dataType, (MapType, ArrayType, StructType)) else F.col(f"`{f.name}`")
+              for f in docs.schema]       # a map can't be hashed, also not within other types
+    rows = numbered(docs.withColumn(size, n_words(text_or_empty())), size, F.xxhash64(*hashed))
     rows = rows.alias("a").join(
         drawn.alias("b"),
         F.col(f"a.{size}").eqNullSafe(F.col("b.z_")) & (F.col(f"a.{n}") == F.col("b.n_"))
