@@ -266,9 +266,11 @@ def pack_lengths(lengths: list[int], capacity: int = MAX_TOKENS, rounds: int = R
 def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, max_tokens: int = MAX_TOKENS,
                    group_pieces: int = GROUP_PIECES, rounds: int = ROUNDS) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = materialize(document_pieces(docs, tokenizer_path, max_tokens), "pieces")
+    # numbered as they are written, so that equal pieces spread over the groups as well
+    numbered = document_pieces(docs, tokenizer_path, max_tokens).withColumn("row_no", F.monotonically_increasing_id())
+    pieces = materialize(numbered, "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
-    key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("int")
+    key = F.pmod(F.xxhash64("row_no"), F.lit(groups)).cast("int")
 
     def packed(group: pa.Table) -> pa.Table:
         group = group.sort_by([(c, "ascending") for c in ("length", "doc_id", "piece", "ids_crc32")])
@@ -279,7 +281,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, max_token
     # full-length pieces need no search: sequences with even numbers; the others: odd numbers of (group, bin)
     whole = pieces.where(F.col("length") == max_tokens).select(
         "*", (F.monotonically_increasing_id() * 2).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
-    rest = pieces.where(F.col("length") < max_tokens).withColumn("group_id", key) \
+    rest = pieces.where(F.col("length") < max_tokens).withColumn("group_id", key).drop("row_no") \
         .groupBy("group_id").applyInArrow(packed, PACKED_DDL) \
         .withColumn("sequence_id", (F.col("group_id").cast("bigint") * (1 << 31) + F.col("bin")) * 2 + 1)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
