@@ -13,6 +13,7 @@ from frames import documents
 from trustfeed.llm import exact_dedup as exact
 from trustfeed.llm import html_blocks, importance, near_dedup, packing, sharding, toxicity
 from trustfeed.llm.line_templates import dedup_lines, drop_recurring
+from trustfeed.llm.mixing import mixed_documents
 from trustfeed.llm.queries import QUERIES
 
 
@@ -396,6 +397,39 @@ def test_ring_bounds_and_movement(spark):
     assert moved < 0.3                          # a fresh hash would move 94 %
 
 
+def test_equal_sizes_are_drawn_alike_in_every_run(spark):
+    """Rows that agree in doc_id, source and size but not in text; a column of a map beside them."""
+    docs = spark.createDataFrame([(None, f"word{i} and", "s" if i % 2 else "t", {"k": i}) for i in range(40)],
+                                 "doc_id bigint, text string, source string, extra map<string, int>")
+    runs = [sorted(r["text"] for r in mixed_documents(docs.repartition(n)).collect()) for n in (2, 5)]
+    assert runs[0] == runs[1] and len(runs[0]) >= 40
+
+
+def test_a_third_of_equal_rows_is_spread(spark):
+    rows = [(None, None)] * 700 + [(i, f"text {i} " * (i % 9 + 1)) for i in range(1400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    placed = sharding.shard_documents(docs).collect()
+    loads, slots = Counter(), defaultdict(list)
+    for r in placed:
+        loads[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert len(placed) == 2100 and max(loads.values()) <= 1.05 * min(loads.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    packed = packing.pack_documents(docs.select("doc_id", F.when(F.col("doc_id") < 300, F.col("text")).alias("text")), group_pieces=300)
+    seen = defaultdict(list)
+    for r in packed.collect():
+        seen[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert sum(map(len, seen.values())) == 2100
+    groups = Counter((s - 1) // 2 >> 31 for s, pieces in seen.items() for _ in pieces)
+    assert len(groups) == 7 and max(groups.values()) < 420
+    for pieces in seen.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
 def test_ring_loads_are_near_equal(spark):
     rows = QUERIES["op9_ring_shards"](spark, "/root/testdata/sf0.01").collect()
     loads, slots = Counter(), defaultdict(list)

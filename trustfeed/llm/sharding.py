@@ -12,7 +12,8 @@ documents themselves are never moved whole: only (doc_id, size, crc, cell) is wr
 and the place in the shard is the number of rows in the shard's earlier cells plus the place within the cell.
 
 Edge cases: a null text has no bytes and counts as size 1, its CRC is 0; null doc_ids are spread by their text;
-identical rows (same doc_id and text) share a cell and so a shard, with different slots; an empty table gives no rows;
+identical rows (same doc_id and text) share a cell and so a shard, with different slots, unless they are so many
+that they fill a cell: then they are spread over all cells by their row number, so neither a task nor a shard takes them all; an empty table gives no rows;
 further columns are ignored.
 """
 
@@ -29,6 +30,8 @@ from trustfeed.session import materialize
 CELLS = 1 << 16
 VNODES = 128
 SLACK = 0.001
+# A cell is heavy with more than HEAVY_ROWS rows and more than HEAVY_TIMES the mean cell's.
+HEAVY_ROWS, HEAVY_TIMES = 64, 16
 
 
 def ring_owners(shards: int, vnodes: int = VNODES) -> list[tuple[int, int]]:
@@ -62,6 +65,17 @@ def place_cells(loads: list[tuple[int, int, int]], shards: int, cells: int = CEL
     return out
 
 
+def spread_heavy(rows: DataFrame, loads: list, cells: int) -> DataFrame:
+    """Rows of cells with very many rows are dealt to all cells by their number.
+
+    Different rows hash evenly, so such a cell holds repeated rows, which may go anywhere.
+    """
+    most = max(HEAVY_ROWS, HEAVY_TIMES * sum(n for _, _, n in loads) // cells)
+    heavy = [cell for cell, _, n in loads if n > most]
+    again = F.pmod(F.xxhash64("row_no", F.lit(1)), F.lit(cells)).cast("int")
+    return rows.withColumn("cell", F.when(F.col("cell").isin(heavy), again).otherwise(F.col("cell"))) if heavy else rows
+
+
 def shard_documents(docs: DataFrame, shards: int = 16, slack: float = SLACK, cells: int = CELLS,
                     vnodes: int = VNODES) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard (null: the law is ``bytes``)."""
@@ -70,13 +84,17 @@ def shard_documents(docs: DataFrame, shards: int = 16, slack: float = SLACK, cel
     crc = F.coalesce(F.crc32(body), F.lit(0)).cast("bigint")
     rows = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
                        crc.alias("text_crc32"))
-    rows = materialize(rows.withColumn("cell", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(cells)).cast("int")),
-                       "ring-rows")
-    # a histogram of at most ``cells`` rows
-    loads = rows.groupBy("cell").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()
-    plan = spark.createDataFrame(place_cells([tuple(r) for r in loads], shards, cells, vnodes, slack),
-                                 "cell int, shard int, base bigint")
-    order = Window.partitionBy("cell").orderBy("doc_id", "text_crc32", "size")
+    cell = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(cells)).cast("int")
+    rows = materialize(rows.withColumns({"cell": cell, "row_no": F.monotonically_increasing_id()}), "ring-rows")
+
+    def histogram(df):      # at most ``cells`` rows
+        return [tuple(r) for r in df.groupBy("cell").agg(F.sum("size"), F.count(F.lit(1))).collect()]
+    loads = histogram(rows)
+    spread = spread_heavy(rows, loads, cells)
+    if spread is not rows:
+        rows, loads = spread, histogram(spread)
+    plan = spark.createDataFrame(place_cells(loads, shards, cells, vnodes, slack), "cell int, shard int, base bigint")
+    order = Window.partitionBy("cell").orderBy("doc_id", "text_crc32", "size", "row_no")
     placed = rows.withColumn("at", F.row_number().over(order)).join(F.broadcast(plan), "cell")
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                          (F.col("base") + F.col("at") - 1).cast("bigint").alias("slot"),
