@@ -573,3 +573,24 @@ def test_metrics_equal_a_plain_computation(spark):
         guessed = sum(p == c for _, p, _ in scored)
         f1 += actual / n * 2 * sum(a == c == p for a, p, _ in scored) / (actual + guessed)
     assert got["f1"] == pytest.approx(f1)
+
+
+@pytest.mark.parametrize("bits", [0, 2, 16])
+def test_split_cuts_inside_a_cell(spark, monkeypatch, bits):
+    """Exact shares and the plain order of draws with few cells and many, repeated and null keys; the wide rows are not sorted."""
+    monkeypatch.setattr(sampling, "SPLIT_CELL_BITS", bits)
+    data = [(f"p{i // 2}" if i % 3 else None if i % 2 else f"q{i}", ["YES", "NO", None][i % 3] if i else "ONE", i) for i in range(400)]
+    out = sampling.train_test_split(spark.createDataFrame(data, "post_id string, recommend string, n int"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [" not in plan
+    got = rows(out, "recommend", "post_id", "n", "is_test")
+    assert sorted(r[2] for r in got) == list(range(400))
+
+    def draw(key):
+        import hashlib
+        return (0, 0, "") if key is None else (1, int(hashlib.md5((key + "1").encode()).hexdigest()[:8], 16), key)
+    for label in ("YES", "NO", None, "ONE"):
+        part = sorted((draw(key), test) for lab, key, _, test in got if lab == label)
+        tests = (len(part) + 2) // 4
+        assert sum(t for _, t in part) == tests
+        assert all(d <= part[tests - 1][0] for d, t in part if t) and all(d >= part[max(tests - 1, 0)][0] for d, t in part if not t)
