@@ -594,3 +594,8 @@ def test_split_cuts_inside_a_cell(spark, monkeypatch, bits):
         tests = (len(part) + 2) // 4
         assert sum(t for _, t in part) == tests
         assert all(d <= part[tests - 1][0] for d, t in part if t) and all(d >= part[max(tests - 1, 0)][0] for d, t in part if not t)
+
+
+def test_boosted_partitions_stay_few():
+    assert [model.training_partitions(n, "gbt") for n in (0, 20_001, 640_000, 5_400_000, 40_000_000)] == [1, 2, 32, 32, 160]
+    assert [model.training_partitions(n, "rf") for n in (0, 20_001, 5_400_000)] == [1, 2, 270]
