@@ -599,3 +599,22 @@ def test_split_cuts_inside_a_cell(spark, monkeypatch, bits):
 def test_boosted_partitions_stay_few():
     assert [model.training_partitions(n, "gbt") for n in (0, 20_001, 640_000, 5_400_000, 40_000_000)] == [1, 2, 32, 32, 160]
     assert [model.training_partitions(n, "rf") for n in (0, 20_001, 5_400_000)] == [1, 2, 270]
+
+
+@pytest.mark.parametrize("per_feature", [False, True])
+def test_asof_writes_only_pieces_with_keys(spark, monkeypatch, per_feature):
+    """Of many old versions, those are carried on that a key asks for; entities without versions carry nothing."""
+    t0, written = dt.datetime(2024, 1, 1), {}
+    vers = [(f"e{e}", t0 + dt.timedelta(days=d), None if d == 29 else e * 100 + d) for e in range(5) for d in range(30)]
+    table = spark.createDataFrame(vers, "entity_id string, feature_time timestamp, a int")
+    keys = spark.createDataFrame([(e, t0 + dt.timedelta(days=40)) for e in ("e0", "e3", "none")], "e string, timestamp timestamp")
+
+    def write(df, name="stage"):
+        out = materialize(df, name)
+        written[name] = out.count()
+        return out
+    materialize = features.materialize
+    monkeypatch.setattr(features, "materialize", write)
+    got = dict(rows(features.point_in_time_asof(keys, [("e", table, "x")], per_feature=per_feature), "e", "a"))
+    assert got == ({"e0": 28, "e3": 328, "none": None} if per_feature else {"e0": None, "e3": None, "none": None})
+    assert written["asof-carried"] == 2

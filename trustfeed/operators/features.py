@@ -7,6 +7,8 @@ stored as Parquet, one directory per feature time.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,20 +127,24 @@ def asof_versions(keys: DataFrame, features: DataFrame, per_feature: bool = Fals
                                *[v.alias(n) for n, v in values.items()])
     asked = keys.select("_tf_e", "_tf_t", F.lit(None).cast("bigint").alias("_tf_o"), F.lit(True).alias("_tf_k"),
                         *[F.lit(None).cast(versions.schema[n].dataType).alias(n) for n in values])
-    stream = materialize(versions.unionByName(asked).select("*", bucket), "asof-stream")
+    stream = versions.unionByName(asked).select("*", bucket)
     # a version at a key's own time counts for it: versions sort before keys
-    order = Window.partitionBy("_tf_e", "_tf_b").orderBy("_tf_t", "_tf_k", "_tf_o") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = stream.select("_tf_e", "_tf_b", "_tf_t", "_tf_k",
-                           *[F.last(n, ignorenulls=True).over(order).alias(n) for n in values]).where("_tf_k")
+    piece = Window.partitionBy("_tf_e", "_tf_b").orderBy("_tf_t", "_tf_k", "_tf_o")
+    order = piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = stream.select("_tf_e", "_tf_b", "_tf_t", "_tf_k", F.lead(F.lit(True)).over(piece).isNull().alias("_tf_end"),
+                        F.max("_tf_k").over(order).alias("_tf_asked"),
+                        *[F.last(n, ignorenulls=True).over(order).alias(n) for n in values])
+    # keys, and the last row of each piece, from one pass over the pieces
+    run = materialize(run.where(F.col("_tf_k") | F.col("_tf_end")), "asof-run")
+    inside = run.where("_tf_k").select("_tf_e", "_tf_b", "_tf_t", *values)
     # the last value of each piece, carried over the earlier pieces of the entity
-    t = F.struct("_tf_t", "_tf_o")
-    ends = stream.groupBy("_tf_e", "_tf_b").agg(
-        *[F.max_by(F.col(n), F.when(~F.col("_tf_k") & F.col(n).isNotNull(), t)).alias(n) for n in values])
+    ends = run.where("_tf_end").select("_tf_e", "_tf_b", "_tf_asked", *values)
     earlier = Window.partitionBy("_tf_e").orderBy("_tf_b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(F.col("_tf_e").alias("_tf_ce"), F.col("_tf_b").alias("_tf_cb"),
+    carried = ends.select(F.col("_tf_e").alias("_tf_ce"), F.col("_tf_b").alias("_tf_cb"), "_tf_asked",
                           *[F.last(n, ignorenulls=True).over(earlier).alias(f"_tf_c_{n}") for n in values])
-    carried = materialize(carried, "asof-carried")
+    # only pieces with a key, and with something to carry to it, are written and joined
+    some = reduce(or_, [F.col(f"_tf_c_{n}").isNotNull() for n in values], F.lit(False))
+    carried = materialize(carried.where(F.col("_tf_asked") & some).drop("_tf_asked"), "asof-carried")
     both = inside.join(carried, (F.col("_tf_e") == F.col("_tf_ce")) & (F.col("_tf_b") == F.col("_tf_cb")), "left")
     found = both.select("_tf_e", "_tf_t", *[F.coalesce(n, f"_tf_c_{n}").alias(n) for n in values])
     return _expand(found, cols, per_feature)
