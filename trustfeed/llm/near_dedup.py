@@ -236,8 +236,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in ("a", "b")],
                                              schema=_LINKS).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("node").alias("a"), F.col("ids").alias("ids_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("ids").alias("ids_b"))
+    # only the sets that the pairs name are moved
+    left = maybe_in(sets, "node", pairs.select("a")).select(F.col("node").alias("a"), F.col("ids").alias("ids_a"))
+    right = maybe_in(sets, "node", pairs.select("b")).select(F.col("node").alias("b"), F.col("ids").alias("ids_b"))
     # the members' sets first; the centres' are met last, where their rows can be split
     full = pairs.join(right, "b").join(left, "a").select("a", "b", "ids_a", "ids_b")
     return full.mapInArrow(compare, "a bigint, b bigint")
@@ -257,8 +258,10 @@ def _beside_centres(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             both = pa.array([n - len(rest) for n, rest in rests], pa.int64())
             yield pa.RecordBatch.from_arrays([*named, both, pa.array([rest for _, rest in rests], _RESTS.field("rest").type)], schema=_RESTS)
 
-    of_centre = sets.select(F.col("node").alias("centre"), F.col("ids").alias("ids_c"))
-    return pairs.join(sets, "node").join(of_centre, "centre").select("centre", "node", "ids_c", "ids") \
+    # only the sets that the pairs name are moved
+    of_node = maybe_in(sets, "node", pairs.select("node"))
+    of_centre = maybe_in(sets, "node", pairs.select("centre")).select(F.col("node").alias("centre"), F.col("ids").alias("ids_c"))
+    return pairs.join(of_node, "node").join(of_centre, "centre").select("centre", "node", "ids_c", "ids") \
         .mapInArrow(compare, "centre bigint, node bigint, both bigint, rest array<bigint>")
 
 
@@ -298,13 +301,16 @@ def _node_sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int)
 
 
 def _shared_shingles(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and how many of its shingles (by 32 bits of their hash) stand in another wanted node, too."""
-    ids = sets.join(wanted, "node", "left_semi").select("node", F.size("ids").alias("n"), "ids")
+    """Of (node, n) rows: node and at most how many of its n shingles stand in another wanted node, too.
+
+    Shingles go by 32 bits of their hash, and a few sets beside the wanted ones are read with them; both only raise the number.
+    The sets stay where they are, only their shingles are dealt out.
+    """
+    ids = maybe_in(sets, "node", wanted.select("node")).select("node", "ids")
     each = ids.select("node", F.explode("ids").alias("id")).select("node", F.shiftright("id", 32).cast("int").alias("id"))
     alone = each.groupBy("id").agg(F.min("node").alias("node"), F.max("node").alias("hi")).where("node = hi") \
         .groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    return ids.select("node", "n").join(alone, "node", "left") \
-        .select("node", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
+    return wanted.join(alone, "node", "left").select("node", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -356,11 +362,12 @@ def near_classes(docs: DataFrame, similar: float = SIMILAR, size: int = WORDS, b
         .join(centres.select("bucket", F.col("node_a").alias("centre")), "bucket")
     members = materialize(members.join(mixed, "bucket"), "near-mixed")
     # a pair has no more shingles in common than either node has in common with any other node of these buckets
-    members = members.join(_shared_shingles(sets, members.select("node").distinct()), "node") \
+    members = members.join(_shared_shingles(sets, members.select("node", "n").distinct()), "node") \
         .where(F.col("common") >= similar * F.col("n") - SLACK)
     members = materialize(members, "near-mixed")
     # without a common shingle beside the centre's, a pair has no more in common than either has with the centre, which bounds the other's size
-    rests = materialize(_beside_centres(members.select("centre", "node").distinct(), sets), "near-rests")
+    beside = materialize(members.select("centre", "node").distinct(), "near-beside")
+    rests = materialize(_beside_centres(beside, sets), "near-rests")
     by_rest = _pairs_by_rest(members, rests, similar, alike)
     members = members.join(rests.select("centre", "node", "both"), ["centre", "node"]) \
         .withColumn("largest", F.col("both") * (1 + similar) / similar - F.col("n") + SLACK)
