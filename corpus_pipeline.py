@@ -19,26 +19,31 @@ from trustfeed.llm.mixing import mixed_documents
 from trustfeed.llm.near_dedup import drop_near_duplicates
 from trustfeed.llm.packing import pack_documents
 from trustfeed.llm.toxicity import drop_toxic
-from trustfeed.session import materialize
+from trustfeed.session import apply_text_conf, materialize
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    apply_text_conf(spark)
     return drop_toxic(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    apply_text_conf(spark)
     return drop_recurring(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    apply_text_conf(spark)
     return drop_near_duplicates(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    apply_text_conf(spark)
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    apply_text_conf(spark)
     return pack_documents(docs)
 
 

@@ -156,5 +156,30 @@ def test_pipeline_stages_on_edges(spark, tmp_path, rows):
         assert held <= {r[0] for r in rows} - {2, 7} and len(held) > 3
 
 
+def test_pipeline_stages_bound_text_batches(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "bytes": [batch.nbytes]})
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.range(60).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), 30000) as text").coalesce(1) \
+        .write.parquet(f"{tmp_path}/documents.parquet")                     # 12 MB or more
+    spark.createDataFrame([(1, 1, 0)], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    for name in ("drop_toxic", "drop_recurring", "drop_near_duplicates", "mixed_documents", "pack_documents"):
+        monkeypatch.setattr(corpus_pipeline, name, lambda docs, *_: docs.coalesce(1).mapInArrow(sizes, "n bigint, bytes bigint"))
+    own = spark.conf.get(key, None)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(key)
+            rows = stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect()
+            assert sum(r["n"] for r in rows) == 60 and max(r["bytes"] for r in rows) < 6_000_000
+        spark.conf.set(key, "1m")                                          # a bound of the session's own holds
+        corpus_pipeline.mixing(spark, spark.range(1), str(tmp_path))
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key) if own is None else spark.conf.set(key, own)
+
+
 def test_normalised_text():
     assert normalised("a \t\n b c") == "a b c".encode() and normalised(None) == b""

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -452,6 +453,21 @@ def test_tokens_equal_the_tokenizer(spark):
         assert words.of_text(text) == np.asarray(ids, dtype="<u4").tobytes()
 
 
+def test_word_cache_ends_with_its_task(spark):
+    docs = spark.createDataFrame([(i, f"some words of document number{i}") for i in range(400)], "doc_id bigint, text string")
+
+    def held(batches):
+        import gc
+        n = sum(isinstance(x, packing.WordIds) for x in gc.get_objects())
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([n] * batch.num_rows, pa.int64())})
+    assert packing.document_pieces(docs.repartition(4)).count() == 400
+    kept = docs.repartition(8).mapInArrow(held, "n bigint").collect()      # in workers that the pieces were made in
+    assert len(kept) == 400 and {r["n"] for r in kept} == {0}
+    a, b = packing.word_ids(None), packing.word_ids(None)
+    assert a["word"] and not b and a.tokenizer is b.tokenizer
+
+
 def test_packing_is_near_the_lower_bound():
     random.seed(4)
     for draw in (lambda: random.randint(1, 2047), lambda: random.randint(600, 1100), lambda: int(random.lognormvariate(6, 1)) % 2047 + 1):

@@ -38,7 +38,7 @@ MAX_TOKENS = 2048
 GROUP_PIECES = 20_000
 ROUNDS = 8
 END = (0).to_bytes(4, "little")
-# Caches of a worker: words, parts of words, and the longest word that they hold.
+# Caches of a task: words, parts of words, and the longest word that they hold.
 CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 300_000, 600_000, 48
 PIECES_DDL = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PACKED_DDL = PIECES_DDL + ", group_id int, bin int, offset bigint"
@@ -100,13 +100,18 @@ class WordIds(dict):
 
 
 @lru_cache(maxsize=1)
-def word_ids(path: str | None) -> WordIds:
-    """The tokenizer of this worker process, with its cache."""
+def tokenizer_of(path: str | None):
+    """The tokenizer of this worker process."""
     from tokenizers import Tokenizer
     if path is None:
         import public_tokenizers
         path = public_tokenizers.path("word_bpe_49k.json")
-    return WordIds(Tokenizer.from_file(path))
+    return Tokenizer.from_file(path)
+
+
+def word_ids(path: str | None) -> WordIds:
+    """A task's word ids. Their cache ends with the task: kept in the worker, it would take memory from the stages that use it next."""
+    return WordIds(tokenizer_of(path))
 
 
 def cut(ids: bytes, max_tokens: int) -> list[tuple[int, int, int, int]]:
