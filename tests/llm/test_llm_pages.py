@@ -47,6 +47,17 @@ def test_long_malformed_pages_take_linear_time(bad):
     assert time.time() - began < 60
 
 
+@pytest.mark.parametrize("page,want", [
+    # short articles beside and within a long one
+    (f"<article>{P * 3}</article><article><h2>Note</h2><p>Short.</p></article>", [LONG] * 3 + ["Note", "Short."]),
+    (f"<main><article>{P * 3}<article><p>Part.</p></article></article></main><p>Out</p>", [LONG] * 3 + ["Part."]),
+    # the text stands outside a short article
+    (f"<div><article><p>Teaser</p></article></div><div id=text>{P * 3}</div>", ["Teaser"] + [LONG] * 3),
+])
+def test_no_article_is_left_out(page, want):
+    assert html_blocks.main_text(page) == "\n".join(want)
+
+
 def test_stray_signs_are_text():
     assert html_blocks.main_text("a <b 1 < 2 </ x") == "a <b 1 < 2 </ x"
 
