@@ -48,13 +48,14 @@ def test_long_malformed_pages_take_linear_time(bad):
 
 
 @pytest.mark.parametrize("page,want", [
-    # short articles beside and within a long one
-    (f"<article>{P * 3}</article><article><h2>Note</h2><p>Short.</p></article>", [LONG] * 3 + ["Note", "Short."]),
+    # short articles within a long one, and one beside it
     (f"<main><article>{P * 3}<article><p>Part.</p></article></article></main><p>Out</p>", [LONG] * 3 + ["Part."]),
+    (f"<article>{P * 3}<section><article><p>Part.</p></article></section><p>End.</p></article><article><p>Out</p></article>",
+     [LONG] * 3 + ["Part.", "End."]),
     # the text stands outside a short article
     (f"<div><article><p>Teaser</p></article></div><div id=text>{P * 3}</div>", ["Teaser"] + [LONG] * 3),
 ])
-def test_no_article_is_left_out(page, want):
+def test_no_part_of_the_text_is_left_out(page, want):
     assert html_blocks.main_text(page) == "\n".join(want)
 
 
